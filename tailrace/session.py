@@ -6,9 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 
+from tailrace.sources.files import locate
+
 _local_root: str | None = None
 
 
@@ -34,9 +39,15 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage by writing ``df`` as a table in the shared folder and reading it back."""
+@contextmanager
+def written(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Cut lineage by writing ``df`` as a table in the shared folder; the table is removed on exit."""
     spark = df.sparkSession
     path = fresh_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        system, name = locate(path)
+        if system.get_file_info(name).type == FileType.Directory:
+            system.delete_dir(name)
