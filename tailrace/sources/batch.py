@@ -82,7 +82,7 @@ def read_topic_log(
 ) -> DataFrame:
     """Messages of a topic log; an unfinished record at the end of a file is left out."""
     files = _with_start(list_files(spark, base, pattern, topic_dirs), starting_offsets)
-    return _scan(files, _envelope_reader, RECORDS, part_bytes)
+    return _scan(files, envelope_reader, RECORDS, part_bytes)
 
 
 def read_count_blob(
@@ -95,7 +95,7 @@ def read_count_blob(
 ) -> DataFrame:
     """Length-prefixed records without envelope."""
     files = _with_start(list_files(spark, base, pattern, topic_dirs), starting_offsets)
-    return _scan(files, _blob_reader, BLOBS, part_bytes)
+    return _scan(files, blob_reader, BLOBS, part_bytes)
 
 
 def read_framed(
@@ -113,20 +113,30 @@ def read_framed(
     bytes they take; what it leaves is offered again with more bytes behind it.
     """
     files = _with_start(list_files(spark, base, pattern, topic_dirs), starting_offsets)
-    types = T._parse_datatype_string(fields)
-    arrow = [(f.name, _arrow_type(f.dataType)) for f in types]
+    return _whole_files(files, *framed_reader(framing, fields))
 
-    def reader(path: str, start: int, end: int, place) -> Iterator[pa.RecordBatch]:
+
+def framed_reader(framing: Framing, fields: str):
+    """Reader of a user's framing, and the schema of what it returns."""
+    types = [(f.name, _arrow_type(f.dataType)) for f in T._parse_datatype_string(fields)]
+
+    def reader(path: str, start: int, end: int, place, position=None) -> Iterator[pa.RecordBatch]:
         def consume(buf: bytes, at: int):
             rows, used = framing(buf)
-            return (at, rows), used
+            return (at, rows, used), used
 
-        for at, rows in read_complete(path, start, end, consume):
+        for at, rows, used in read_complete(path, start, end, consume):
             offsets = np.array([at + r[0] for r in rows], dtype=np.int64)
-            columns = [pa.array([r[i + 1] for r in rows], t) for i, (_, t) in enumerate(arrow)]
-            yield place(offsets, dict(zip([n for n, _ in arrow], columns)))
+            columns = {name: pa.array([r[i + 1] for r in rows], t) for i, (name, t) in enumerate(types)}
+            yield place(offsets, columns)
+            _advance(position, at + used)
+
+    return reader, f"{_PLACE}, record_offset bigint, {fields}"
+
 
-    return _whole_files(files, reader, f"{_PLACE}, record_offset bigint, {fields}")
+def _advance(position, at: int) -> None:
+    if position is not None:
+        position.at = at
 
 
 def _arrow_type(t: T.DataType) -> pa.DataType:
@@ -177,12 +187,12 @@ def _whole_files(files: DataFrame, reader, schema: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for f in batch.to_pylist():
-                yield from reader(f["file"], f["start"], f["length"], _placer(f))
+                yield from reader(f["file"], f["start"], f["length"], placer(f))
 
     return files.select("topic", "file", "base_offset", "start", "length").mapInArrow(read, schema)
 
 
-def _placer(f: dict):
+def placer(f: dict):
     def place(offsets: np.ndarray, columns: dict[str, pa.Array], stream: bool = False) -> pa.RecordBatch:
         n = len(offsets)
         out = {
@@ -207,15 +217,17 @@ def _frames(path: str, start: int, end: int):
     return read_complete(path, start, end, consume)
 
 
-def _envelope_reader(path: str, start: int, end: int, place) -> Iterator[pa.RecordBatch]:
+def envelope_reader(path: str, start: int, end: int, place, position=None) -> Iterator[pa.RecordBatch]:
     for buf, at, starts, used in _frames(path, start, end):
         time, payload = decode_envelopes(buf, starts, used, f"after byte {at} of {path}")
         yield place(starts + at, {"time": time, "payload": payload}, stream=True)
+        _advance(position, at + used)
 
 
-def _blob_reader(path: str, start: int, end: int, place) -> Iterator[pa.RecordBatch]:
+def blob_reader(path: str, start: int, end: int, place, position=None) -> Iterator[pa.RecordBatch]:
     for buf, at, starts, used in _frames(path, start, end):
         yield place(starts + at, {"content": frame_bodies(buf, starts, used)})
+        _advance(position, at + used)
 
 
 def _cuts(path: str, start: int, end: int, part_bytes: int) -> Iterator[tuple[int, int]]:
