@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,29 +12,35 @@ from tailrace.operators.metrics import SERVER_INTERVALS
 
 
 def stream_interval_metrics(
-    recs: DataFrame, intervals: Sequence[int] = SERVER_INTERVALS, watermark: str = "10 seconds", t0: int = 0
+    recs: DataFrame, intervals: Sequence[int] = SERVER_INTERVALS, late_seconds: int = 10, t0: int = 0
 ) -> DataFrame:
     """Messages and exact unique topics per tick, each tick once it is complete (append mode).
 
-    ``recs`` has ``topic`` and ``time`` (epoch milliseconds); ticks count from ``t0``. Messages later than
-    the watermark are dropped, and ticks without messages are not reported. The first aggregate counts
-    per topic, which makes the topics of a tick countable without a distinct count.
-    """
-    timed = recs.where(F.col("topic") != METRICS_TOPIC).select("topic", F.timestamp_millis("time").alias("ts"))
-    timed = timed.withWatermark("ts", watermark)
-    return reduce(DataFrame.unionByName, [_at_interval(timed, i, t0) for i in sorted(set(intervals))])
-
+    ``recs`` has ``topic`` and ``time`` (epoch milliseconds); ticks count from ``t0``. Messages may come
+    ``late_seconds`` after newer ones; later ones are dropped. Ticks without messages are not reported.
 
-def _at_interval(timed: DataFrame, interval: int, t0: int) -> DataFrame:
-    width = interval * 1000
-    tick_window = F.window("ts", f"{interval} seconds", startTime=f"{t0 % width} milliseconds")
-    per_topic = timed.groupBy(tick_window, "topic").agg(F.count(F.lit(1)).alias("n"))
-    ticks = per_topic.groupBy("window").agg(F.count(F.lit(1)).alias("unique_topics"), F.sum("n").alias("messages"))
-    tick = F.call_function("div", F.unix_millis("window.start") - t0, F.lit(width).cast("bigint"))
+    All intervals share one pass. Event time is the end of a tick, which lies up to the longest interval
+    ahead of its messages, so the watermark waits that much longer. The first aggregate counts per topic,
+    which makes the topics of a tick countable without a distinct count.
+    """
+    intervals = sorted(set(intervals))
+    width = F.col("interval").cast("bigint") * 1000
+    ends = (
+        recs.where((F.col("topic") != METRICS_TOPIC) & (F.col("time") >= t0))
+        .select("topic", "time", F.explode(F.array(*[F.lit(i) for i in intervals])).alias("interval"))
+        .withColumn("tick", F.call_function("div", F.col("time") - t0, width))
+        .select("topic", "interval", F.timestamp_millis((F.col("tick") + 1) * width + t0).alias("tick_end"))
+        .withWatermark("tick_end", f"{late_seconds + intervals[-1]} seconds")
+    )
+    per_topic = ends.groupBy("interval", "tick_end", "topic").agg(F.count(F.lit(1)).alias("n"))
+    ticks = per_topic.groupBy("interval", "tick_end").agg(
+        F.count(F.lit(1)).alias("unique_topics"), F.sum("n").alias("messages")
+    )
+    past = F.call_function("div", F.unix_millis("tick_end") - t0, width)
     return ticks.select(
-        F.lit(interval).alias("interval"),
-        tick.alias("tick"),
-        ((tick + 1) * interval).cast("double").alias("time"),
+        "interval",
+        (past - 1).alias("tick"),
+        (past * F.col("interval")).cast("double").alias("time"),
         "unique_topics",
         "messages",
     )

@@ -7,9 +7,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tailrace.operators.status import counter_changes
 
+_VALUES = ("int_add", "int_set", "double_add", "double_set")
 _STATE = "int_value bigint, double_value double"
 
 
@@ -19,13 +21,19 @@ def stream_status_counters(log: DataFrame) -> DataFrame:
     Entries of a batch apply in note order, batches in the order they arrive. How much of one counter a
     batch holds is limited by what its source admits per trigger.
     """
-    keyed = counter_changes(log).groupBy("id", "key")
+    changes = counter_changes(log)
+    # pandas would turn whole numbers with gaps into doubles, so gaps travel as flags.
+    for name in _VALUES:
+        zero = F.lit(0).cast(changes.schema[name].dataType)
+        changes = changes.withColumns({f"has_{name}": F.col(name).isNotNull(), name: F.coalesce(name, zero)})
+    keyed = changes.groupBy("id", "key")
     schema = "id int, key string, ivalue bigint, dvalue double"
     return keyed.applyInPandasWithState(_apply_changes, schema, _STATE, "update", "NoTimeout")
 
 
 def _apply_changes(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     changes = pd.concat(list(chunks)).sort_values(["time", "pos"], kind="stable")
+    changes["place"] = range(len(changes))
     ints, doubles = state.get if state.exists else (None, None)
     ints = _folded(changes, "int", ints, lambda added: int(added.sum()))
     doubles = _folded(changes, "double", doubles, lambda added: math.fsum(added))
@@ -41,15 +49,11 @@ def _apply_changes(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.Da
 
 
 def _folded(changes: pd.DataFrame, kind: str, value, total):
-    sets = changes[f"{kind}_set"].notna().to_numpy().nonzero()[0]
-    added = changes[f"{kind}_add"]
+    sets = changes[f"has_{kind}_set"].to_numpy().nonzero()[0]
+    adds = changes.loc[changes[f"has_{kind}_add"], ["place", f"{kind}_add"]]
     if len(sets):
-        last = sets[-1]
-        value = changes[f"{kind}_set"].iloc[last].item()
-        added = added.iloc[last:]
-    added = added.dropna()
-    if len(added):
-        value = (value or 0) + total(added)
-    if value is None:
-        return None
-    return int(value) if kind == "int" else float(value)
+        value = changes[f"{kind}_set"].iloc[sets[-1]].item()
+        adds = adds[adds["place"] >= sets[-1]]
+    if len(adds):
+        value = (value or 0) + total(adds[f"{kind}_add"])
+    return value

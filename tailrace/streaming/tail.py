@@ -12,7 +12,7 @@ import json
 import re
 from collections.abc import Iterator
 
-import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,8 @@ from tailrace.sources.batch import BLOBS, RECORDS, Framing, blob_reader, envelop
 from tailrace.sources.files import locate
 
 _GONE = -1
+# Without this, pandas turns whole numbers with gaps into doubles.
+_WHOLE_NUMBERS = {pa.int64(): pd.Int64Dtype()}
 _RANGES_PER_TASK = 1000
 
 
@@ -39,8 +41,8 @@ def tail_topic_log(
     """Streaming messages of a topic log, including new topics, new files and growth of any file.
 
     ``starting_offsets`` (file to offset) seeds a query without checkpoint. ``max_bytes_per_topic`` limits
-    what one trigger takes from a topic, so a topic that lags far behind does not hold up the others; give
-    the query's ``checkpoint`` as well and the limit also holds in the first batch after a restart.
+    what one trigger takes from a topic, so a topic that lags far behind does not hold up the others. It needs
+    the query's ``checkpoint``, from which the source learns what was planned before a restart.
     """
     ranges = _ranges(spark, base, pattern, starting_offsets, max_bytes_per_topic, topic_dirs, checkpoint)
     return _follow(ranges, envelope_reader, RECORDS)
@@ -60,6 +62,8 @@ def tail_framed(spark: SparkSession, base: str, framing: Framing, fields: str, p
 def _ranges(
     spark, base, pattern, starting_offsets=None, max_bytes_per_topic=None, topic_dirs=True, checkpoint=None
 ) -> DataFrame:
+    if max_bytes_per_topic is not None and checkpoint is None:
+        raise ValueError("max_bytes_per_topic needs the checkpoint of the query")
     spark.dataSource.register(TopicLogRanges)
     options = {
         "path": base.rstrip("/"),
@@ -89,7 +93,7 @@ def _follow(ranges: DataFrame, reader, schema: str) -> DataFrame:
             place = placer({"topic": topic, "file": file, "base_offset": base_offset})
             position = _Position(at)
             for batch in reader(file, at, row.until, place, position):
-                yield batch.to_pandas()
+                yield batch.to_pandas(types_mapper=_WHOLE_NUMBERS.get)
             state.update((position.at, row.until))
 
     keyed = ranges.groupBy("topic", "file")
@@ -135,23 +139,20 @@ class _RangeReader(DataSourceStreamReader):
         self.topic_dirs = options["topicdirs"] == "true"
         self.starting = json.loads(options["startingoffsets"])
         self.limit = int(options["maxbytespertopic"]) if "maxbytespertopic" in options else None
-        self.planned = _last_planned(options.get("checkpoint"))
+        if self.limit is not None:
+            self.planned = _last_planned(options["checkpoint"]) or self.initialOffset()
 
     def initialOffset(self) -> dict:
         prefix = self._full("")
-        first = {f[len(prefix) :] if f.startswith(prefix) else f: n for f, n in self.starting.items()}
-        self.planned = first
-        return first
+        return {f[len(prefix) :] if f.startswith(prefix) else f: n for f, n in self.starting.items()}
 
     def latestOffset(self) -> dict:
         sizes = self._sizes()
-        if self.limit is not None and self.planned is not None:
-            sizes = self._limited(sizes)
-        self.planned = sizes
+        if self.limit is not None:
+            self.planned = sizes = self._limited(sizes)
         return sizes
 
     def partitions(self, start: dict, end: dict):
-        self.planned = end
         rows = [self._row(f, start.get(f, 0), n) for f, n in end.items() if start.get(f, 0) != n]
         rows += [self._row(f, 0, _GONE) for f in start if f not in end]
         cuts = range(0, len(rows), _RANGES_PER_TASK)
@@ -200,10 +201,8 @@ class _RangeReader(DataSourceStreamReader):
         return taken
 
 
-def _last_planned(checkpoint: str | None) -> dict | None:
-    """Offsets of the last batch in a query's offset log, of the source that reads topic files."""
-    if checkpoint is None:
-        return None
+def _last_planned(checkpoint: str) -> dict | None:
+    """Offsets of the last batch in a query's offset log; None before the first batch."""
     system, folder = locate(f"{checkpoint.rstrip('/')}/offsets")
     if system.get_file_info(folder).type != pafs.FileType.Directory:
         return None
@@ -213,4 +212,6 @@ def _last_planned(checkpoint: str | None) -> dict | None:
     with system.open_input_stream(max(batches, key=lambda e: int(e.base_name)).path) as source:
         lines = source.read().decode().splitlines()
     # A version line and the batch's settings come first, then one line per source.
-    return json.loads(lines[2]) if len(lines) == 3 else None
+    if len(lines) != 3:
+        raise ValueError("max_bytes_per_topic needs a query that reads this source only")
+    return json.loads(lines[2])
