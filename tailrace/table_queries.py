@@ -12,9 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailrace.functions.columns import frame_size, message_id, same_hosts
+from tailrace.functions.columns import frame_size, message_id, same_hosts, stream_offset
 from tailrace.operators import audit, delivery, metrics, offsets, routing, status
 from tailrace.plans.rollover import rollover_plan
+from tailrace.session import fresh_dir
+from tailrace.sinks.topic_log import write_count_blob, write_metrics, write_topic_log
+from tailrace.sources.batch import read_count_blob, read_metrics, read_topic_log
+from tailrace.sources.progress import read_progress, write_progress
+from tailrace.streaming import metrics as metric_stream
+from tailrace.streaming import status as status_stream
+from tailrace.streaming.sink import append_topic_log
+from tailrace.streaming.tail import tail_topic_log
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,9 +54,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def messages(spark: SparkSession, sf_dir: str, topic=BY_USER) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, topic=BY_USER, source: DataFrame | None = None) -> DataFrame:
     millis = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
-    return table(spark, sf_dir, "events").select(
+    return (source or table(spark, sf_dir, "events")).select(
         F.expr(topic).alias("topic"),
         F.col("event_id").alias("seq"),
         millis.alias("time"),
@@ -458,7 +466,7 @@ def next_seen(spark, sf_dir):
 # --- status logs --------------------------------------------------------------------------------------
 
 
-def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def status_log(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
     """Each event is a note with two entries: sign-ups set a counter of the user, others add to it."""
     cents = F.round(F.col("value") * 100).cast("bigint")
     signup = F.col("event_type") == "signup"
@@ -477,7 +485,7 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         entry("cents", F.when(~signup, cents), F.when(signup, cents)),
         entry("seen", F.lit(1), none_big),
     )
-    return table(spark, sf_dir, "events").select(
+    return (source or table(spark, sf_dir, "events")).select(
         F.col("user_id").cast("int").alias("id"), F.col("event_id").alias("time"), notes.alias("count")
     )
 
@@ -492,3 +500,124 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fold_status_counters(spark, sf_dir):
     return status.fold_status_counters(status_log(spark, sf_dir)).drop("dvalue")
+
+
+# --- files and streams --------------------------------------------------------------------------------
+
+
+def _text(column: str):
+    return F.decode(column, "UTF-8").alias(column)
+
+
+def _read_back(spark, base):
+    return read_topic_log(spark, base).select("topic", "stream_offset", "time", _text("payload"))
+
+
+_SQL_LOG = f"{_STREAM} SELECT topic, stream_offset, time, payload FROM recs"
+
+
+@query(_SQL_LOG)
+def topic_log_round_trip(spark, sf_dir):
+    """Write every event as a message, with many files per topic, and read the log."""
+    base = fresh_dir(spark, "log")
+    write_topic_log(messages(spark, sf_dir), base, max_file_bytes=FILE_BYTES)
+    return _read_back(spark, base)
+
+
+@query(
+    """SELECT source AS topic, coalesce(sum(4 + octet_length(encode(text))) OVER (PARTITION BY source ORDER BY doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS stream_offset, text AS content FROM documents"""
+)
+def count_blob_round_trip(spark, sf_dir):
+    """Write whole documents as blobs and read them."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("source").alias("topic"), F.col("doc_id").alias("seq"), F.encode("text", "UTF-8").alias("payload")
+    )
+    base = fresh_dir(spark, "blobs")
+    write_count_blob(docs, base, max_file_bytes=DOCUMENT_FILE_BYTES)
+    blobs = read_count_blob(spark, base)
+    return blobs.select("topic", stream_offset("base_offset", "record_offset").alias("stream_offset"), _text("content"))
+
+
+@query(f"SELECT time, interval, unique_topics, messages FROM ({_sql_interval_metrics()})")
+def metrics_round_trip(spark, sf_dir):
+    """Log the data points of the interval metrics and read the metrics topic."""
+    base = fresh_dir(spark, "metrics")
+    write_metrics(interval_metrics(spark, sf_dir), base, t0=0)
+    return read_metrics(spark, base)
+
+
+@query(f"{_RESTART} SELECT file, record_offset, file IN (SELECT file FROM pending) AS seen FROM restart")
+def progress_round_trip(spark, sf_dir):
+    """Save restart offsets and seen files, and restore them."""
+    path = fresh_dir(spark, "progress")
+    offsets_ = checkpoint_offsets(spark, sf_dir)
+    write_progress(offsets_, pending_messages(spark, sf_dir).select("file").distinct(), path, sf_dir, ".*")
+    offsets_, seen = read_progress(spark, path)
+    known = seen.withColumn("known", F.lit(True))
+    return offsets_.join(known, "file", "left").select("file", "record_offset", F.coalesce("known", F.lit(False)).alias("seen"))
+
+
+def _run(writer, checkpoint: str) -> None:
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
+
+
+@query(f"WITH {_sql_messages(SQL_BY_TYPE)} SELECT topic, time, payload FROM msgs")
+def tail_round_trip(spark, sf_dir):
+    """Tail a log while it grows: half of the time span, a restart, then the rest."""
+    base, work = fresh_dir(spark, "log"), fresh_dir(spark, "tail")
+    msgs = messages(spark, sf_dir, BY_TYPE)
+    middle = msgs.agg(F.floor((F.min("time") + F.max("time")) / 2)).scalar()
+    for part in (msgs.where(F.col("time") < middle), msgs.where(F.col("time") >= middle)):
+        write_topic_log(part, base, max_file_bytes=10 * FILE_BYTES)
+        recs = tail_topic_log(spark, base).select("topic", "time", _text("payload"))
+        _run(recs.writeStream.format("parquet").option("path", f"{work}/out"), f"{work}/checkpoint")
+    return spark.read.parquet(f"{work}/out")
+
+
+@query(_SQL_LOG)
+def stream_sink(spark, sf_dir):
+    """Append a stream of the events to a log."""
+    base, work = fresh_dir(spark, "log"), fresh_dir(spark, "stream")
+    events = messages(spark, sf_dir, source=_event_stream(spark, sf_dir))
+    _run(append_topic_log(events, base, "events", max_file_bytes=FILE_BYTES), work)
+    return _read_back(spark, base)
+
+
+def _sql_stream_metrics() -> str:
+    ticks = " UNION ALL ".join(
+        f"SELECT {i} AS interval, time // {i * 1000} AS tick, topic FROM msgs" for i in (3600, 86400)
+    )
+    return f"""WITH {_sql_messages(SQL_BY_USER)}, ticks AS ({ticks})
+    SELECT interval, tick, ((tick + 1) * interval)::DOUBLE AS time, count(DISTINCT topic) AS unique_topics,
+    count(*) AS messages FROM ticks GROUP BY interval, tick
+    HAVING (tick + 1) * interval <= (SELECT max((tick + 1) * interval) FROM ticks) - 86410"""
+
+
+@query(_sql_stream_metrics())
+def stream_interval_metrics(spark, sf_dir):
+    """Ticks that the watermark has closed once all events have arrived."""
+    work = fresh_dir(spark, "stream")
+    events = messages(spark, sf_dir, source=_event_stream(spark, sf_dir))
+    ticks = metric_stream.stream_interval_metrics(events, (3600, 86400))
+    _run(metric_stream.on_tick(ticks, lambda df: df.write.mode("append").parquet(f"{work}/out")), f"{work}/checkpoint")
+    return spark.read.parquet(f"{work}/out")
+
+
+@query(ORACLES["fold_status_counters"])
+def stream_status_counters(spark, sf_dir):
+    """Counters after all events have gone through streaming state."""
+    work = fresh_dir(spark, "stream")
+    log = status_log(spark, sf_dir, _event_stream(spark, sf_dir))
+    changed = status_stream.stream_status_counters(log).writeStream.outputMode("update")
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{work}/out/batch={batch_id}")
+
+    _run(changed.foreachBatch(keep), f"{work}/checkpoint")
+    newest = spark.read.parquet(f"{work}/out").groupBy("id", "key")
+    return newest.agg(F.max_by("ivalue", "batch").alias("ivalue"))
