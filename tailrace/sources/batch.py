@@ -1,7 +1,7 @@
 """Batch readers of topic logs.
 
-Spark lists the files and packs them into tasks by size; each task then streams its files in chunks, so
-memory does not grow with a file. A file has no marks at which it could be split, so one far above the
+The files are listed and packed into tasks by size; each task then streams its files in chunks, so memory
+does not grow with a file. A file has no marks at which it could be split, so one far above the
 usual limit is first walked from header to header and cut at record starts, and the parts are spread out.
 """
 
@@ -11,27 +11,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow.fs import FileType
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tailrace.functions.codec import decode_data_point, decode_envelopes, frame_bodies, split_frames
-from tailrace.functions.columns import (
-    METRICS_TOPIC,
-    OFFSET_NAME_PATTERN,
-    TOPIC_PATTERN,
-    full_match,
-    name_offset,
-)
-from tailrace.sources.files import locate, read_complete
+from tailrace.functions.columns import METRICS_TOPIC, OFFSET_NAME_PATTERN
+from tailrace.sources.files import read_complete
+from tailrace.sources.listing import TopicLogFiles
 
 PART_BYTES = 256 << 20
 
-_TOPIC_GLOB = "[0-9a-zA-Z_-]*"
-
-FILES = "topic string, file string, name string, base_offset bigint, length bigint"
 _PLACE = "topic string, file string, base_offset bigint"
 RECORDS = f"{_PLACE}, record_offset bigint, stream_offset bigint, time bigint, payload binary"
 BLOBS = f"{_PLACE}, record_offset bigint, content binary"
@@ -40,36 +30,16 @@ Framing = Callable[[bytes], tuple[list[tuple], int]]
 
 
 def list_files(spark: SparkSession, base: str, pattern: str = ".*", topic_dirs: bool = True) -> DataFrame:
-    """Files below ``base`` whose name matches ``pattern`` as a whole.
+    """Files of a topic log whose whole name matches ``pattern``: ``topic, file, name, base_offset, length``.
 
     With ``topic_dirs`` every directory below ``base`` is a topic; otherwise ``base`` itself is one.
-    ``base_offset`` is NULL for names that are not offsets. Names that begin with a dot or an underscore
-    are hidden, as everywhere in Spark; topics may begin with an underscore.
+    ``base_offset`` is NULL for names that are not offsets. Files whose names begin with a dot or an
+    underscore are hidden, as everywhere in Spark; topics may begin with an underscore.
     """
-    root = base.rstrip("/")
-    where = f"{root}/{_TOPIC_GLOB}" if topic_dirs else root
-    try:
-        # The content column is not read, so this costs a listing only.
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", topic_dirs).load(where)
-    except AnalysisException as e:
-        system, path = locate(root)
-        if e.getCondition() != "PATH_NOT_FOUND" or system.get_file_info(path).type != FileType.Directory:
-            raise
-        return spark.createDataFrame([], FILES)  # a log without topics yet
-    return _named(listed.select("path", "length"), pattern)
-
-
-def _named(listed: DataFrame, pattern: str) -> DataFrame:
-    plain = F.regexp_replace("path", r"\Afile:/+", "/")
-    pieces = F.split(plain, "/")
-    name = F.element_at(pieces, -1)
-    return listed.where(full_match(name, pattern) & full_match(F.element_at(pieces, -2), TOPIC_PATTERN)).select(
-        F.element_at(pieces, -2).alias("topic"),
-        plain.alias("file"),
-        name.alias("name"),
-        name_offset(name).alias("base_offset"),
-        "length",
-    )
+    spark.dataSource.register(TopicLogFiles)
+    tasks = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
+    options = {"path": base, "pattern": pattern, "topicDirs": str(topic_dirs).lower(), "tasks": str(tasks)}
+    return spark.read.format("topic_log_files").options(**options).load()
 
 
 def read_topic_log(

@@ -9,7 +9,6 @@ an unfinished record stays in the file until the rest of it has arrived.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from tailrace.functions.columns import OFFSET_NAME_PATTERN, TOPIC_PATTERN
+from tailrace.functions.columns import OFFSET_NAME_PATTERN
 from tailrace.sources.batch import BLOBS, RECORDS, Framing, blob_reader, envelope_reader, framed_reader, placer
 from tailrace.sources.files import locate
+from tailrace.sources.listing import base_offset_of, full_path, topic_files
 
 _GONE = -1
 # Without this, pandas turns whole numbers with gaps into doubles.
@@ -89,7 +89,7 @@ def _follow(ranges: DataFrame, reader, schema: str) -> DataFrame:
             at, seen = state.get if state.exists else (row.first, row.first)
             if row.until < seen:
                 at = 0  # shorter than before: the file was deleted and created again
-            base_offset = None if row.base_offset < 0 else row.base_offset
+            base_offset = None if pd.isna(row.base_offset) else int(row.base_offset)
             place = placer({"topic": topic, "file": file, "base_offset": base_offset})
             position = _Position(at)
             for batch in reader(file, at, row.until, place, position):
@@ -135,7 +135,7 @@ class _RangeReader(DataSourceStreamReader):
     def __init__(self, options: dict):
         options = {k.lower(): v for k, v in options.items()}
         self.root = options["path"]
-        self.pattern = re.compile(options["pattern"])
+        self.pattern = options["pattern"]
         self.topic_dirs = options["topicdirs"] == "true"
         self.starting = json.loads(options["startingoffsets"])
         self.limit = int(options["maxbytespertopic"]) if "maxbytespertopic" in options else None
@@ -143,8 +143,8 @@ class _RangeReader(DataSourceStreamReader):
             self.planned = _last_planned(options["checkpoint"]) or self.initialOffset()
 
     def initialOffset(self) -> dict:
-        prefix = self._full("")
-        return {f[len(prefix) :] if f.startswith(prefix) else f: n for f, n in self.starting.items()}
+        prefix = full_path(self.root, "", "", False)
+        return {f.removeprefix(prefix): n for f, n in self.starting.items()}
 
     def latestOffset(self) -> dict:
         sizes = self._sizes()
@@ -162,28 +162,16 @@ class _RangeReader(DataSourceStreamReader):
         yield from partition.rows
 
     def _full(self, file: str) -> str:
-        _, root = locate(self.root)
-        local = self.root.startswith(("/", "file:"))
-        return f"{root if local else self.root}/{file}"
+        topic, _, name = file.rpartition("/")
+        return full_path(self.root, topic, name, self.topic_dirs)
 
     def _row(self, file: str, first: int, until: int) -> tuple:
         topic, _, name = file.rpartition("/")
-        topic = topic or self.root.rsplit("/", 1)[-1]
-        hexadecimal = re.fullmatch(OFFSET_NAME_PATTERN, name) and int(name, 16) < 1 << 63
-        return topic, self._full(file), int(name, 16) if hexadecimal else -1, first, until
+        return topic or self.root.rsplit("/", 1)[-1], self._full(file), base_offset_of(name), first, until
 
     def _sizes(self) -> dict:
-        system, root = locate(self.root)
-        depth = 1 if self.topic_dirs else 0
-        listing = pafs.FileSelector(root, recursive=self.topic_dirs, allow_not_found=False)
-        found = {}
-        for entry in system.get_file_info(listing):
-            parts = entry.path[len(root) :].strip("/").split("/")
-            if entry.type != pafs.FileType.File or len(parts) != depth + 1 or parts[-1][0] in "._":
-                continue
-            if self.pattern.fullmatch(parts[-1]) and (not depth or re.fullmatch(TOPIC_PATTERN, parts[0])):
-                found["/".join(parts)] = entry.size
-        return dict(sorted(found.items()))
+        listed = topic_files(self.root, self.pattern, self.topic_dirs)
+        return {f"{topic}/{name}" if self.topic_dirs else name: size for topic, name, size in listed}
 
     def _limited(self, sizes: dict) -> dict:
         """At most ``limit`` more bytes per topic than planned before, in file order."""

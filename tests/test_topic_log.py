@@ -228,5 +228,5 @@ def test_metrics_topic(spark, tmp_path):
 def test_empty_log(spark, tmp_path):
     assert read_topic_log(spark, str(tmp_path)).count() == 0
     write_topic_log(numbered(spark, 1, 0), str(tmp_path / "new"))
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        list_files(spark, str(tmp_path / "absent"))
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        list_files(spark, str(tmp_path / "absent")).collect()
