@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_LENGTH = struct.Struct(">i")
-_DOUBLE = struct.Struct("<d")
+_LENGTH = ">i"
+_DOUBLE = "<d"
 
 # Protobuf keys of the two envelope fields.
 _TIME_KEY = 0x08
@@ -23,7 +23,7 @@ _PAYLOAD_KEY = 0x12
 def split_frames(buf: bytes, where: str = "") -> tuple[np.ndarray, int]:
     """Starts of the complete frames in ``buf`` and the number of bytes they take."""
     starts = []
-    add, unpack = starts.append, _LENGTH.unpack_from
+    add, unpack = starts.append, struct.Struct(_LENGTH).unpack_from
     at, size = 0, len(buf)
     while at + 4 <= size:
         (n,) = unpack(buf, at)
@@ -224,7 +224,7 @@ def _plain_varint(value: int) -> bytes:
 
 def encode_data_point(time: float, interval: int, unique_topics: int, messages: int) -> bytes:
     """Fields 1 to 4: double time, then three unsigned varints."""
-    out = b"\x09" + _DOUBLE.pack(time)
+    out = b"\x09" + struct.pack(_DOUBLE, time)
     for key, value in ((0x10, interval), (0x18, unique_topics), (0x20, messages)):
         out += bytes([key]) + _plain_varint(value)
     return out
@@ -234,7 +234,7 @@ def decode_data_point(data: bytes) -> tuple[float | None, int | None, int | None
     values: list = [None] * 4
     for number, wire, value in _fields(data, 0, len(data), "in a data point"):
         if number == 1 and wire == 1:
-            values[0] = _DOUBLE.unpack_from(data, value[0])[0]
+            values[0] = struct.unpack_from(_DOUBLE, data, value[0])[0]
         elif 2 <= number <= 4 and wire == 0:
             values[number - 1] = value & 0xFFFFFFFF
     return tuple(values)

@@ -10,9 +10,11 @@ segment; then all segments are folded at once. Only offsets travel, never payloa
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tailrace.operators.audit import MAX_FILE_BYTES, TAKEOVER_PAD
@@ -55,7 +57,8 @@ def largest_topic(sizes: DataFrame) -> int:
 
 
 def plan_records(sizes, ends, max_file_bytes, pad, largest, segment_rows=SEGMENT_ROWS) -> DataFrame:
-    return _planned(sizes, ends, max_file_bytes, pad, largest, segment_rows, _record_rows, PLAN_SCHEMA)
+    placed = _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows)
+    return placed.mapInArrow(_fold(max_file_bytes, _record_rows), PLAN_SCHEMA)
 
 
 def plan_spans(
@@ -66,28 +69,45 @@ def plan_spans(
     def spans(*columns):
         return _span_rows(*columns, block_bits)
 
-    rows = _planned(sizes, ends, max_file_bytes, pad, largest, segment_rows, spans, SPAN_SCHEMA)
-    # A file that crosses a segment boundary yields a partial row on either side.
-    return rows.groupBy("topic", "base_offset", "block").agg(
-        F.min("first_seq").alias("first_seq"),
-        F.max("last_seq").alias("last_seq"),
-        F.sum("records").alias("records"),
-        F.sum("bytes").alias("bytes"),
+    placed = _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows)
+    # A file that crosses a batch or a segment yields a partial row on either side.
+    return (
+        placed.mapInArrow(_fold(max_file_bytes, spans), SPAN_SCHEMA)
+        .groupBy("topic", "base_offset", "block")
+        .agg(
+            F.min("first_seq").alias("first_seq"),
+            F.max("last_seq").alias("last_seq"),
+            F.sum("records").alias("records"),
+            F.sum("bytes").alias("bytes"),
+        )
     )
 
 
-def _planned(sizes, ends, max_file_bytes, pad, largest, segment_rows, output, schema) -> DataFrame:
+def _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows) -> DataFrame:
+    """Records with their start in the topic, the file that is open when their segment begins, and the
+    topic's begin; each segment in one partition and in order."""
     begins = _begins(sizes, ends, pad)
+    zero = F.lit(0).cast("bigint")
     if largest <= segment_rows:
-        fold = _fold_topic(max_file_bytes, output)
-        return sizes.groupBy("topic").cogroup(begins.groupBy("topic")).applyInArrow(fold, schema)
-    placed = exclusive_prefix(sizes, "topic", "seq", {"start": F.col("size"), "nth": F.lit(1)})
+        in_topic = Window.partitionBy("topic").orderBy("seq")
+        before = F.sum("size").over(in_topic.rowsBetween(Window.unboundedPreceding, -1))
+        placed = (
+            sizes.join(begins, "topic", "left")
+            .withColumn("start", F.coalesce(before, zero))
+            .select("topic", zero.alias("segment"), "seq", "size", "start", zero.alias("open"), F.coalesce("begin", zero).alias("begin"))
+        )
+        return placed.sortWithinPartitions("topic", "seq")
     segment_bits = segment_rows.bit_length() - 1
+    placed = exclusive_prefix(sizes, "topic", "seq", {"start": F.col("size"), "nth": F.lit(1)})
     placed = placed.withColumn("segment", F.shiftright("nth", segment_bits)).drop("nth")
     entries = _segment_entries(placed, begins, max_file_bytes, (largest - 1) >> segment_bits)
-    fold = _fold_segment(max_file_bytes, output)
-    keys = ["topic", "segment"]
-    return placed.groupBy(*keys).cogroup(entries.groupBy(*keys)).applyInArrow(fold, schema)
+    tasks = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        placed.join(entries, ["topic", "segment"])
+        .select("topic", "segment", "seq", "size", "start", "open", "begin")
+        .repartition(tasks, "topic", "segment")
+        .sortWithinPartitions("topic", "segment", "seq")
+    )
 
 
 def _begins(sizes: DataFrame, ends: DataFrame | None, pad: int) -> DataFrame:
@@ -131,7 +151,7 @@ def _segment_entries(placed, begins, max_file_bytes, last_segment) -> DataFrame:
 # --- what runs inside a group -------------------------------------------------------------------------
 
 
-def _ints(table: pa.Table, name: str) -> np.ndarray:
+def _ints(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
     return table.column(name).to_numpy().astype(np.int64, copy=False)
 
 
@@ -150,36 +170,33 @@ def _boundaries(starts: np.ndarray, open_at: int, limit: int) -> np.ndarray:
     return np.array(found, dtype=np.int64)
 
 
-def _file_of(starts: np.ndarray, open_at: int, limit: int) -> np.ndarray:
-    bounds = _boundaries(starts, open_at, limit)
-    bases = np.concatenate(([open_at], starts[bounds]))
-    return bases[np.searchsorted(bounds, np.arange(len(starts)), side="right")]
-
-
-def _fold_topic(limit: int, output):
-    def fold(records: pa.Table, begins: pa.Table) -> pa.Table:
-        if records.num_rows == 0:
-            return output(None, *[np.empty(0, dtype=np.int64)] * 4)
-        seq, size = _sorted(records, "seq", "size")
-        topic = records.column("topic")[0].as_py()
-        if (seq[1:] == seq[:-1]).any():
-            raise ValueError(f"seq is not unique in topic {topic}")
-        starts = np.cumsum(size) - size
-        begin = begins.column("begin")[0].as_py() if begins.num_rows else 0
-        base = _file_of(starts, 0, limit)
-        return output(topic, seq, size, base + begin, starts - base)
-
-    return fold
-
+def _fold(limit: int, output):
+    """Walks over sorted records, batch by batch, carrying the open file of the segment at hand."""
 
-def _fold_segment(limit: int, output):
-    def fold(records: pa.Table, entry: pa.Table) -> pa.Table:
-        if records.num_rows == 0:
-            return output(None, *[np.empty(0, dtype=np.int64)] * 4)
-        seq, size, starts = _sorted(records, "seq", "size", "start")
-        base = _file_of(starts, entry.column("open")[0].as_py(), limit)
-        begin = entry.column("begin")[0].as_py()
-        return output(records.column("topic")[0].as_py(), seq, size, base + begin, starts - base)
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, open_at, last_seq = None, 0, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            topic = batch.column("topic").dictionary_encode()
+            segment, seq, size, start, entry, begin = (
+                _ints(batch, n) for n in ("segment", "seq", "size", "start", "open", "begin")
+            )
+            code = topic.indices.to_numpy()
+            cuts = np.flatnonzero((np.diff(code) != 0) | (np.diff(segment) != 0)) + 1
+            base = np.empty_like(start)
+            for first, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(seq)]):
+                key = (topic.dictionary[code[first]].as_py(), int(segment[first]))
+                if key != current:
+                    current, open_at, last_seq = key, int(entry[first]), None
+                run = start[first:end]
+                if seq[first] == last_seq or (seq[first + 1 : end] == seq[first : end - 1]).any():
+                    raise ValueError(f"seq is not unique in topic {key[0]}")
+                bounds = _boundaries(run, open_at, limit)
+                bases = np.concatenate(([open_at], run[bounds]))
+                base[first:end] = bases[np.searchsorted(bounds, np.arange(end - first), side="right")]
+                open_at, last_seq = int(bases[-1]), seq[end - 1]
+            yield output(batch.column("topic"), code, seq, size, base + begin, start - base)
 
     return fold
 
@@ -188,35 +205,20 @@ def _topic_column(topic, n: int) -> pa.Array:
     return pa.repeat(pa.scalar(topic, pa.string()), n)
 
 
-def _record_rows(topic, seq, size, base, position) -> pa.Table:
-    return pa.table(
-        {
-            "topic": _topic_column(topic, len(seq)),
-            "seq": seq,
-            "size": size,
-            "base_offset": base,
-            "record_offset": position,
-        }
-    )
+def _record_rows(topic, code, seq, size, base, position) -> pa.RecordBatch:
+    names = ["topic", "seq", "size", "base_offset", "record_offset"]
+    return pa.RecordBatch.from_arrays([topic, *map(pa.array, (seq, size, base, position))], names)
 
 
-def _span_rows(topic, seq, size, base, position, block_bits) -> pa.Table:
+def _span_rows(topic, code, seq, size, base, position, block_bits) -> pa.RecordBatch:
     block = seq >> block_bits
     change = np.ones(len(seq), dtype=bool)
-    change[1:] = (block[1:] != block[:-1]) | (base[1:] != base[:-1])
+    change[1:] = (np.diff(block) != 0) | (np.diff(base) != 0) | (np.diff(code) != 0)
     first = np.flatnonzero(change)
     last = np.append(first[1:], len(seq)) - 1
-    return pa.table(
-        {
-            "topic": _topic_column(topic, len(first)),
-            "base_offset": base[first],
-            "block": block[first],
-            "first_seq": seq[first],
-            "last_seq": seq[last] if len(first) else seq[:0],
-            "records": last - first + 1 if len(first) else seq[:0],
-            "bytes": np.add.reduceat(size, first) if len(first) else size[:0],
-        }
-    )
+    columns = (base[first], block[first], seq[first], seq[last], last - first + 1, np.add.reduceat(size, first))
+    names = ["topic", "base_offset", "block", "first_seq", "last_seq", "records", "bytes"]
+    return pa.RecordBatch.from_arrays([topic.take(pa.array(first)), *map(pa.array, columns)], names)
 
 
 # A step function is a pair of arrays: for an open file at f, the last k with floor[k] <= f counts, and

@@ -359,7 +359,7 @@ def topic_end_offset(spark, sf_dir):
     gaps AS (SELECT topic, base_offset, lead(base_offset) OVER w AS next_base,
              lead(base_offset) OVER w - base_offset - length AS gap FROM runs
              WINDOW w AS (PARTITION BY topic ORDER BY base_offset))
-    SELECT topic, base_offset, next_base, gap, CASE WHEN gap IS NULL THEN 'last' WHEN gap < 0 THEN 'overlap'
+    SELECT topic, base_offset, coalesce(next_base, -1) AS next_base, coalesce(gap, 0) AS gap, CASE WHEN gap IS NULL THEN 'last' WHEN gap < 0 THEN 'overlap'
     WHEN gap = 0 THEN 'own_roll' WHEN gap >= 100000 THEN 'takeover' ELSE 'short_gap' END AS kind FROM gaps"""
 )
 def gap_audit(spark, sf_dir):
@@ -371,7 +371,7 @@ def gap_audit(spark, sf_dir):
         .select("topic", "end_offset", F.explode(later).alias("x"))
         .select("topic", (F.col("end_offset") + F.col("x.o")).alias("base_offset"), F.col("x.n").cast("bigint").alias("length"))
     )
-    return audit.gap_audit(files.unionByName(more))
+    return audit.gap_audit(files.unionByName(more)).fillna({"next_base": -1, "gap": 0})
 
 
 _STREAM = f"""WITH {_sql_messages(SQL_BY_USER)}, recs AS (SELECT topic, seq, time, payload, coalesce(sum(size) OVER
