@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from math import gcd
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tailrace.functions.columns import METRICS_TOPIC, floor_div
@@ -36,12 +36,12 @@ def interval_metrics(
     intervals = sorted(set(intervals))
     step = reduce(gcd, intervals)
     msgs = msgs.where(F.col("topic") != METRICS_TOPIC).select("topic", "time")
-    if t0 is None:
-        origin = msgs.agg(F.min("time")).scalar()
-    else:
-        origin = F.lit(t0).cast("bigint")
-        msgs = msgs.where(F.col("time") >= origin)
     msgs = msgs.where(F.col("time").isNotNull())
+    if t0 is not None:
+        msgs = msgs.where(F.col("time") >= t0)
+    ends = F.struct(F.min("time").alias("first"), F.max("time").alias("last"))
+    bounds = msgs.agg(ends).scalar()
+    origin = bounds["first"] if t0 is None else F.lit(t0).cast("bigint")
 
     per_slot = (
         msgs.select("topic", floor_div(F.col("time") - origin, step * 1000).alias("slot"))
@@ -49,15 +49,15 @@ def interval_metrics(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     every = F.explode(F.array(*[F.lit(i) for i in intervals])).alias("interval")
-    ticks_per = F.col("interval") / step
+    ticks_per = F.call_function("div", F.col("interval"), F.lit(step))
     per_topic = (
         per_slot.select("topic", "n", "slot", every)
-        .withColumn("tick", F.call_function("div", F.col("slot"), ticks_per.cast("bigint")))
+        .withColumn("tick", F.call_function("div", F.col("slot"), ticks_per))
         .groupBy("interval", "tick", "topic")
         .agg(F.sum("n").alias("messages"))
         .select("interval", "tick", "messages", F.lit(1).cast("bigint").alias("topics"))
     )
-    counted = per_topic.unionByName(_empty_ticks(msgs, origin, every)) if fill else per_topic
+    counted = per_topic.unionByName(_empty_ticks(msgs.sparkSession, origin, bounds["last"], every)) if fill else per_topic
     return (
         counted.groupBy("interval", "tick")
         .agg(F.sum("topics").alias("unique_topics"), F.sum("messages").alias("messages"))
@@ -71,24 +71,20 @@ def interval_metrics(
     )
 
 
-def _empty_ticks(msgs: DataFrame, origin, every) -> DataFrame:
+def _empty_ticks(spark: SparkSession, origin: Column, last_time: Column, every: Column) -> DataFrame:
     """One zero row per tick up to the last message; built in blocks so no array grows with the span."""
-    last = F.call_function("div", F.col("end") - origin, F.col("interval").cast("bigint") * 1000)
+    last = F.call_function("div", last_time - origin, F.col("interval").cast("bigint") * 1000)
+    last_block = F.call_function("div", F.col("last"), F.lit(_SPINE_BLOCK))
+    zero = F.lit(0).cast("bigint")
     blocks = (
-        msgs.agg(F.max("time").alias("end"))
-        .where(F.col("end").isNotNull())
-        .select("end", every)
+        spark.range(1)
+        .select(every)
         .select("interval", last.alias("last"))
-        .select(
-            "interval",
-            "last",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.call_function("div", F.col("last"), F.lit(_SPINE_BLOCK)))).alias("block"),
-        )
+        .select("interval", "last", F.explode(F.sequence(zero, last_block)).alias("block"))
     )
-    tasks = int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = F.col("block") * _SPINE_BLOCK
     ticks = F.sequence(first, F.least(first + (_SPINE_BLOCK - 1), F.col("last")))
-    zero = F.lit(0).cast("bigint")
     return blocks.repartition(tasks, "interval", "block").select(
         "interval", F.explode(ticks).alias("tick"), zero.alias("messages"), zero.alias("topics")
     )

@@ -15,8 +15,11 @@ def exclusive_prefix(
 
     ``order`` is a BIGINT, unique within a key. Rows are grouped by its high bits, so a window covers at
     most ``2**block_bits`` rows. Block totals are summed the same way and their prefixes joined back. The
-    grouping depends on the data alone, so a lost task recomputes to the same blocks.
+    grouping depends on the data alone, so a lost task recomputes to the same blocks. Rows without key or
+    order have no place in it and are left out.
     """
+    # With the keys known not to be null, both levels of totals share one exchange.
+    df = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
     block, upper = F.shiftright(order, block_bits), F.shiftright("_b1", block_bits)
     names = list(sums)
 

@@ -86,21 +86,20 @@ def plan_spans(
 def _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows) -> DataFrame:
     """Records with their start in the topic, the file that is open when their segment begins, and the
     topic's begin; each segment in one partition and in order."""
-    begins = _begins(sizes, ends, pad)
     zero = F.lit(0).cast("bigint")
     if largest <= segment_rows:
         in_topic = Window.partitionBy("topic").orderBy("seq")
         before = F.sum("size").over(in_topic.rowsBetween(Window.unboundedPreceding, -1))
         placed = (
-            sizes.join(begins, "topic", "left")
-            .withColumn("start", F.coalesce(before, zero))
-            .select("topic", zero.alias("segment"), "seq", "size", "start", zero.alias("open"), F.coalesce("begin", zero).alias("begin"))
+            _with_begin(sizes, ends, pad)
+            .withColumns({"segment": zero, "start": F.coalesce(before, zero), "open": zero})
+            .select("topic", "segment", "seq", "size", "start", "open", "begin")
         )
         return placed.sortWithinPartitions("topic", "seq")
     segment_bits = segment_rows.bit_length() - 1
     placed = exclusive_prefix(sizes, "topic", "seq", {"start": F.col("size"), "nth": F.lit(1)})
     placed = placed.withColumn("segment", F.shiftright("nth", segment_bits)).drop("nth")
-    entries = _segment_entries(placed, begins, max_file_bytes, (largest - 1) >> segment_bits)
+    entries = _segment_entries(placed, ends, pad, max_file_bytes, (largest - 1) >> segment_bits)
     tasks = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         placed.join(entries, ["topic", "segment"])
@@ -110,14 +109,16 @@ def _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows) -> DataFram
     )
 
 
-def _begins(sizes: DataFrame, ends: DataFrame | None, pad: int) -> DataFrame:
-    """Offset at which each topic goes on; topics without files are absent and start at 0."""
+def _with_begin(df: DataFrame, ends: DataFrame | None, pad: int) -> DataFrame:
+    """Adds the offset at which each topic goes on; topics without files begin at 0."""
+    zero = F.lit(0).cast("bigint")
     if ends is None:
-        return sizes.sparkSession.createDataFrame([], "topic string, begin bigint")
-    return ends.select("topic", (F.col("end_offset") + pad).alias("begin"))
+        return df.withColumn("begin", zero)
+    begins = ends.select("topic", (F.col("end_offset") + pad).alias("begin"))
+    return df.join(begins, "topic", "left").withColumn("begin", F.coalesce("begin", zero))
 
 
-def _segment_entries(placed, begins, max_file_bytes, last_segment) -> DataFrame:
+def _segment_entries(placed, ends, pad, max_file_bytes, last_segment) -> DataFrame:
     """Start of the file that is open when each segment begins, relative to the topic's begin."""
     keys = ["topic", "segment"]
     tree = [
@@ -135,8 +136,8 @@ def _segment_entries(placed, begins, max_file_bytes, last_segment) -> DataFrame:
             )
         )
     zero = F.lit(0).cast("bigint")
-    entries = placed.select("topic").distinct().join(begins, "topic", "left")
-    entries = entries.select("topic", zero.alias("parent"), zero.alias("open"), F.coalesce("begin", zero).alias("begin"))
+    entries = _with_begin(placed.select("topic").distinct(), ends, pad)
+    entries = entries.select("topic", zero.alias("parent"), zero.alias("open"), "begin")
     for level in reversed(tree):
         children = level.withColumn("parent", F.shiftright("segment", FAN_OUT_BITS))
         by = ["topic", "parent"]

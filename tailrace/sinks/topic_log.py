@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tailrace.functions.codec import encode_data_point, encode_frames, frame_bytes
-from tailrace.functions.columns import METRICS_TOPIC, TOPIC_PATTERN, frame_size, full_match
+from tailrace.functions.columns import METRICS_TOPIC, OFFSET_NAME_PATTERN, TOPIC_PATTERN, frame_size, full_match
 from tailrace.operators.audit import MAX_FILE_BYTES, TAKEOVER_PAD, topic_end_offset
 from tailrace.plans.rollover import plan_spans
 from tailrace.session import written
-from tailrace.sources.batch import OFFSET_NAME_PATTERN, list_files
+from tailrace.sources.batch import list_files
 from tailrace.sources.files import locate
 
 TASK_BYTES = 128 << 20
@@ -103,7 +103,7 @@ def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id) -> None:
         msgs = msgs.withColumn("time", F.unix_millis(F.current_timestamp()))
     if not envelope:
         msgs = msgs.withColumn("time", F.lit(None).cast("bigint"))
-    msgs = msgs.select(_checked_topic().alias("topic"), F.col("seq").cast("bigint").alias("seq"), "time", "payload")
+    msgs = msgs.select(_checked_topic().alias("topic"), _checked_seq().alias("seq"), "time", "payload")
 
     # Payloads are read twice: for their sizes, which are kept as a light table, and to be written.
     with written(msgs.select("topic", "seq", frame_size("time", "payload", envelope).alias("size")), "sizes") as sizes:
@@ -149,6 +149,10 @@ def _checked_topic():
     return F.when(full_match("topic", TOPIC_PATTERN), F.col("topic")).otherwise(bad)
 
 
+def _checked_seq():
+    return F.coalesce(F.col("seq").cast("bigint"), F.raise_error(F.lit("seq must not be NULL")).cast("bigint"))
+
+
 @dataclass
 class _Totals:
     records: int

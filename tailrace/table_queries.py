@@ -2,7 +2,7 @@
 
 Messages come from ``events``: the topic is the event type (few, large topics) or the user (many, small
 ones), ``seq`` the event id, ``time`` the event time in milliseconds, the payload ``props``. The servers
-are the first ten suppliers.
+are the 25 nations; those of region 0 are the ones that fail.
 """
 
 from __future__ import annotations
@@ -70,14 +70,13 @@ def message_sizes(spark: SparkSession, sf_dir: str, topic=BY_TYPE) -> DataFrame:
     return msgs.select("topic", "seq", frame_size("time", "payload").alias("size"))
 
 
-def servers(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
-    return table(spark, sf_dir, "supplier").where(F.col("s_suppkey") < n).select(
-        F.col("s_suppkey").alias("server_id")
-    )
+def servers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation")
+    return nations.select(F.col("n_nationkey").cast("bigint").alias("server_id"), (F.col("n_regionkey") == 0).alias("failed"))
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages(spark, sf_dir).select("topic", "seq", (F.col("seq") % 10).alias("received_by"))
+    return messages(spark, sf_dir).select("topic", "seq", (F.col("seq") % 25).alias("received_by"))
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,9 +84,9 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages(spark, sf_dir).select(
         "topic",
         "seq",
-        (seq % 10).alias("server_id"),
+        (seq % 25).alias("server_id"),
         (seq % 7 != 0).alias("successful"),
-        F.when(seq % 3 == 0, (seq + 4) % 10).alias("redirect_to"),
+        F.when(seq % 3 == 0, (seq + 4) % 25).alias("redirect_to"),
     )
 
 
@@ -139,11 +138,11 @@ _HASH = (
 _SIGNED = "CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END"
 
 
-def _sql_ring(name: str, n: int = 10) -> str:
-    """Assignments of all topics of ``msgs`` to the first ``n`` suppliers."""
+def _sql_ring(name: str, members: str = "true") -> str:
+    """Assignments of all topics of ``msgs`` to the servers."""
     return f"""
-ring_{name} AS (SELECT s_suppkey AS server_id, row_number() OVER (ORDER BY s_suppkey) - 1 AS pos,
-                count(*) OVER () AS n FROM supplier WHERE s_suppkey < {n}),
+ring_{name} AS (SELECT n_nationkey::BIGINT AS server_id, row_number() OVER (ORDER BY n_nationkey) - 1 AS pos,
+                count(*) OVER () AS n FROM nation WHERE {members}),
 {name} AS (
   SELECT topic, hash, pos, server_id FROM (
     SELECT topic, {_SIGNED} AS hash FROM (SELECT topic, {_HASH} AS h FROM (SELECT DISTINCT topic FROM msgs))
@@ -206,7 +205,7 @@ def assign_topics(spark, sf_dir):
     return routing.assign_topics(messages(spark, sf_dir), servers(spark, sf_dir))
 
 
-@query("SELECT s_suppkey AS server_id, (row_number() OVER (ORDER BY s_suppkey) - 1)::INT AS pos FROM supplier WHERE s_suppkey < 10")
+@query("SELECT n_nationkey::BIGINT AS server_id, (row_number() OVER (ORDER BY n_nationkey) - 1)::INT AS pos FROM nation")
 def server_rank(spark, sf_dir):
     return routing.server_rank(servers(spark, sf_dir))
 
@@ -220,7 +219,7 @@ def server_load(spark, sf_dir):
 
 
 _AUDIT = f"""WITH {_sql_messages(SQL_BY_USER)}, {_sql_ring('assigned')}, audited AS (
-    SELECT topic, seq, seq % 10 AS received_by, server_id, seq % 10 <> server_id AS redirect
+    SELECT topic, seq, seq % 25 AS received_by, server_id, seq % 25 <> server_id AS redirect
     FROM msgs JOIN assigned USING (topic))"""
 
 
@@ -235,16 +234,17 @@ def redirect_totals(spark, sf_dir):
 
 
 @query(
-    f"""WITH {_sql_messages(SQL_BY_USER)}, {_sql_ring('old')}, {_sql_ring('new', 6)}
+    f"""WITH {_sql_messages(SQL_BY_USER)}, {_sql_ring('old')}, {_sql_ring('new', 'n_regionkey <> 0')}
     SELECT topic, old.server_id AS old_server, new.server_id AS new_server FROM old JOIN new USING (topic)
     WHERE old.server_id <> new.server_id"""
 )
 def reassignment_diff(spark, sf_dir):
-    return routing.reassignment_diff(messages(spark, sf_dir), servers(spark, sf_dir), servers(spark, sf_dir, 6))
+    before = servers(spark, sf_dir)
+    return routing.reassignment_diff(messages(spark, sf_dir), before, before.where("not failed"))
 
 
 _OWNERS = f"""WITH {_sql_messages(SQL_BY_USER)}, owners AS (
-    SELECT topic, arg_max(CASE WHEN seq % 3 = 0 THEN (seq + 4) % 10 ELSE seq % 10 END, seq) AS server_id
+    SELECT topic, arg_max(CASE WHEN seq % 3 = 0 THEN (seq + 4) % 25 ELSE seq % 25 END, seq) AS server_id
     FROM msgs WHERE seq % 7 <> 0 GROUP BY topic)"""
 
 
@@ -253,9 +253,9 @@ def latest_owner(spark, sf_dir):
     return routing.latest_owner(responses(spark, sf_dir))
 
 
-@query(f"{_OWNERS} SELECT * FROM owners WHERE server_id >= 4")
+@query(f"{_OWNERS} SELECT * FROM owners WHERE server_id NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 0)")
 def drop_dead_owners(spark, sf_dir):
-    return routing.drop_dead_owners(latest_owner(spark, sf_dir), servers(spark, sf_dir, 4))
+    return routing.drop_dead_owners(latest_owner(spark, sf_dir), servers(spark, sf_dir).where("failed"))
 
 
 @query(
