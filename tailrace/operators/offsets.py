@@ -18,13 +18,15 @@ def exclusive_prefix(
     grouping depends on the data alone, so a lost task recomputes to the same blocks. Rows without key or
     order have no place in it and are left out.
     """
-    # With the keys known not to be null, both levels of totals share one exchange.
     df = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
-    block, upper = F.shiftright(order, block_bits), F.shiftright("_b1", block_bits)
+    zero = F.lit(0).cast("bigint")
+    # Blocks are never null. Saying so keeps the joins from adding filters by which the branches would
+    # differ, and lets both levels of totals share one exchange.
+    block, upper = (F.coalesce(F.shiftright(c, block_bits), zero) for c in (order, "_b1"))
     names = list(sums)
 
     def before(window, source: str) -> Column:
-        return F.coalesce(F.sum(source).over(window), F.lit(0).cast("bigint"))
+        return F.coalesce(F.sum(source).over(window), zero)
 
     rows = df.withColumns({"_b1": block} | {f"_v_{n}": c.cast("bigint") for n, c in sums.items()})
     blocks = rows.groupBy(key, "_b1").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
