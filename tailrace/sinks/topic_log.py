@@ -118,10 +118,10 @@ def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id) -> None:
         block_bits = min(62, max(0, int(math.log2(per_file * total.span / total.records))))
         plan = plan_spans(sizes, ends, max_file_bytes, pad, total.largest, block_bits)
         with written(plan, "spans") as spans:
-            _write_files(msgs, spans, block_bits, total.bytes, root, envelope, journal)
+            _write_files(msgs, spans, block_bits, total, root, envelope, journal)
 
 
-def _write_files(msgs, spans, block_bits, total_bytes, root, envelope, journal) -> None:
+def _write_files(msgs, spans, block_bits, total, root, envelope, journal) -> None:
     spark = msgs.sparkSession
     count, files = spans.agg(F.count(F.lit(1)), F.count_distinct("topic", "base_offset")).first()
     index = spans.select("topic", "block", "base_offset", "first_seq", "last_seq")
@@ -129,7 +129,7 @@ def _write_files(msgs, spans, block_bits, total_bytes, root, envelope, journal)
         index = F.broadcast(index)
     in_block = msgs.withColumn("block", F.shiftright("seq", block_bits))
     in_file = F.col("seq").between(F.col("first_seq"), F.col("last_seq"))
-    tasks = max(math.ceil(total_bytes / TASK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(math.ceil(total.bytes / TASK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.dataSource.register(TopicLogSink)
     (
         in_block.join(index, ["topic", "block"])
@@ -140,6 +140,7 @@ def _write_files(msgs, spans, block_bits, total_bytes, root, envelope, journal)
         .write.format("topic_log_sink")
         .mode("append")
         .options(path=root, envelope=envelope, run=uuid.uuid4().hex, **journal.options())
+        .options(records=total.records, bytes=total.bytes)
         .save()
     )
 
@@ -178,6 +179,8 @@ def _totals(sizes: DataFrame) -> _Totals:
 @dataclass
 class _Written(WriterCommitMessage):
     files: list[tuple[str, str]]
+    records: int
+    bytes: int
 
 
 class TopicLogSink(DataSource):
@@ -199,15 +202,18 @@ class _Writer(DataSourceArrowWriter):
         self.root = options["path"]
         self.envelope = options["envelope"] == "true"
         self.run = options["run"]
+        self.planned = int(options["records"]), int(options["bytes"])
         self.journal = _Journal(self.root, options.get("sink"), options.get("batchid") or options.get("batchId"))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         system, root = locate(self.root)
         attempt = uuid.uuid4().hex
         done: list[tuple[str, str]] = []
+        records = size = 0
         current, out = None, None
         try:
             for batch in iterator:
+                records += batch.num_rows
                 frames = encode_frames(batch.column("time") if self.envelope else None, batch.column("payload"))
                 for key, first, last in _runs(batch):
                     if key != current:
@@ -219,14 +225,20 @@ class _Writer(DataSourceArrowWriter):
                         system.create_dir(folder, recursive=True)
                         out = system.open_output_stream(hidden)
                         done.append((hidden, f"{folder}/{name}"))
-                    out.write(frame_bytes(frames.slice(first, last - first)))
+                    size += out.write(frame_bytes(frames.slice(first, last - first)))
         finally:
             if out is not None:
                 out.close()
-        return _Written(done)
+        return _Written(done, records, size)
 
     def commit(self, messages) -> None:
-        files = [f for m in messages if m is not None for f in m.files]
+        done = [m for m in messages if m is not None]
+        written = sum(m.records for m in done), sum(m.bytes for m in done)
+        if written != self.planned:
+            raise RuntimeError(
+                f"planned {self.planned} but wrote {written} records and bytes: the messages changed between two reads"
+            )
+        files = [f for m in done for f in m.files]
         self.journal.intend(files)
         _publish(self.root, files)
         self.journal.close()

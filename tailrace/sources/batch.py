@@ -29,16 +29,20 @@ BLOBS = f"{_PLACE}, record_offset bigint, content binary"
 Framing = Callable[[bytes], tuple[list[tuple], int]]
 
 
-def list_files(spark: SparkSession, base: str, pattern: str = ".*", topic_dirs: bool = True) -> DataFrame:
+def list_files(
+    spark: SparkSession, base: str, pattern: str = ".*", topic_dirs: bool = True, topics: str | None = None
+) -> DataFrame:
     """Files of a topic log whose whole name matches ``pattern``: ``topic, file, name, base_offset, length``.
 
-    With ``topic_dirs`` every directory below ``base`` is a topic; otherwise ``base`` itself is one.
-    ``base_offset`` is NULL for names that are not offsets. Files whose names begin with a dot or an
+    With ``topic_dirs`` every directory below ``base`` is a topic; otherwise ``base`` itself is one. A pattern
+    for ``topics`` keeps the others from being listed and read at all. ``base_offset`` is NULL for names that are not offsets. Files whose names begin with a dot or an
     underscore are hidden, as everywhere in Spark; topics may begin with an underscore.
     """
     spark.dataSource.register(TopicLogFiles)
     tasks = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
     options = {"path": base, "pattern": pattern, "topicDirs": str(topic_dirs).lower(), "tasks": str(tasks)}
+    if topics is not None:
+        options["topics"] = topics
     return spark.read.format("topic_log_files").options(**options).load()
 
 
@@ -48,10 +52,11 @@ def read_topic_log(
     pattern: str = OFFSET_NAME_PATTERN,
     starting_offsets: DataFrame | dict[str, int] | None = None,
     topic_dirs: bool = True,
+    topics: str | None = None,
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Messages of a topic log; an unfinished record at the end of a file is left out."""
-    files = _with_start(list_files(spark, base, pattern, topic_dirs), starting_offsets)
+    files = _with_start(list_files(spark, base, pattern, topic_dirs, topics), starting_offsets)
     return _scan(files, envelope_reader, RECORDS, part_bytes)
 
 
@@ -61,10 +66,11 @@ def read_count_blob(
     pattern: str = ".*",
     starting_offsets: DataFrame | dict[str, int] | None = None,
     topic_dirs: bool = True,
+    topics: str | None = None,
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Length-prefixed records without envelope."""
-    files = _with_start(list_files(spark, base, pattern, topic_dirs), starting_offsets)
+    files = _with_start(list_files(spark, base, pattern, topic_dirs, topics), starting_offsets)
     return _scan(files, blob_reader, BLOBS, part_bytes)
 
 
@@ -76,13 +82,14 @@ def read_framed(
     pattern: str = ".*",
     starting_offsets: DataFrame | dict[str, int] | None = None,
     topic_dirs: bool = True,
+    topics: str | None = None,
 ) -> DataFrame:
     """Records in a format of the user's own.
 
     ``framing(bytes)`` returns the complete records it found, each ``(position, *fields)``, and how many
     bytes they take; what it leaves is offered again with more bytes behind it.
     """
-    files = _with_start(list_files(spark, base, pattern, topic_dirs), starting_offsets)
+    files = _with_start(list_files(spark, base, pattern, topic_dirs, topics), starting_offsets)
     return _whole_files(files, *framed_reader(framing, fields))
 
 

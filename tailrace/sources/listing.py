@@ -19,13 +19,15 @@ TASK_BYTES = 128 << 20
 OPEN_COST_BYTES = 4 << 20
 
 
-def topic_files(base: str, pattern: str, topic_dirs: bool) -> list[tuple[str, str, int]]:
+def topic_files(base: str, pattern: str, topic_dirs: bool, topics: str | None = None) -> list[tuple[str, str, int]]:
     """``(topic, name, bytes)`` of each file whose whole name matches, by topic and name.
 
-    With ``topic_dirs`` every directory below ``base`` is a topic; otherwise ``base`` itself is one.
+    With ``topic_dirs`` every directory below ``base`` is a topic, or those whose whole name matches
+    ``topics``; otherwise ``base`` itself is one.
     """
     system, root = locate(base.rstrip("/"))
     wanted = re.compile(pattern)
+    wanted_topics = re.compile(topics or TOPIC_PATTERN)
 
     def entries(folder: str, missing_ok: bool = False) -> list:
         return system.get_file_info(pafs.FileSelector(folder, allow_not_found=missing_ok))
@@ -39,13 +41,15 @@ def topic_files(base: str, pattern: str, topic_dirs: bool) -> list[tuple[str, st
 
     if not topic_dirs:
         return sorted(files(root.rsplit("/", 1)[-1], root))
-    topics = [
+    folders = [
         e.base_name
         for e in entries(root)
-        if e.type == pafs.FileType.Directory and re.fullmatch(TOPIC_PATTERN, e.base_name)
+        if e.type == pafs.FileType.Directory
+        and re.fullmatch(TOPIC_PATTERN, e.base_name)
+        and wanted_topics.fullmatch(e.base_name)
     ]
     with ThreadPoolExecutor(32) as pool:
-        found = list(pool.map(lambda t: files(t, f"{root}/{t}", missing_ok=True), topics))
+        found = list(pool.map(lambda t: files(t, f"{root}/{t}", missing_ok=True), folders))
     return sorted(f for part in found for f in part)
 
 
@@ -87,10 +91,11 @@ class _FileReader(DataSourceReader):
         self.base = options["path"]
         self.pattern = options["pattern"]
         self.topic_dirs = options["topicdirs"] == "true"
+        self.topics = options.get("topics")
         self.tasks = int(options["tasks"])
 
     def partitions(self):
-        found = topic_files(self.base, self.pattern, self.topic_dirs)
+        found = topic_files(self.base, self.pattern, self.topic_dirs, self.topics)
         cost = sum(size + OPEN_COST_BYTES for _, _, size in found)
         room = min(TASK_BYTES, max(OPEN_COST_BYTES, cost // self.tasks))
         parts: list[list] = [[]]

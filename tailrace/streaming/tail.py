@@ -36,6 +36,7 @@ def tail_topic_log(
     starting_offsets: dict[str, int] | None = None,
     max_bytes_per_topic: int | None = None,
     topic_dirs: bool = True,
+    topics: str | None = None,
     checkpoint: str | None = None,
 ) -> DataFrame:
     """Streaming messages of a topic log, including new topics, new files and growth of any file.
@@ -44,7 +45,7 @@ def tail_topic_log(
     what one trigger takes from a topic, so a topic that lags far behind does not hold up the others. It needs
     the query's ``checkpoint``, from which the source learns what was planned before a restart.
     """
-    ranges = _ranges(spark, base, pattern, starting_offsets, max_bytes_per_topic, topic_dirs, checkpoint)
+    ranges = _ranges(spark, base, pattern, starting_offsets, max_bytes_per_topic, topic_dirs, topics, checkpoint)
     return _follow(ranges, envelope_reader, RECORDS)
 
 
@@ -60,7 +61,7 @@ def tail_framed(spark: SparkSession, base: str, framing: Framing, fields: str, p
 
 
 def _ranges(
-    spark, base, pattern, starting_offsets=None, max_bytes_per_topic=None, topic_dirs=True, checkpoint=None
+    spark, base, pattern, starting_offsets=None, max_bytes_per_topic=None, topic_dirs=True, topics=None, checkpoint=None
 ) -> DataFrame:
     if max_bytes_per_topic is not None and checkpoint is None:
         raise ValueError("max_bytes_per_topic needs the checkpoint of the query")
@@ -71,6 +72,8 @@ def _ranges(
         "topicDirs": str(topic_dirs).lower(),
         "startingOffsets": json.dumps(starting_offsets or {}),
     }
+    if topics is not None:
+        options["topics"] = topics
     if max_bytes_per_topic is not None:
         options["maxBytesPerTopic"] = str(max_bytes_per_topic)
     if checkpoint is not None:
@@ -137,6 +140,7 @@ class _RangeReader(DataSourceStreamReader):
         self.root = options["path"]
         self.pattern = options["pattern"]
         self.topic_dirs = options["topicdirs"] == "true"
+        self.topics = options.get("topics")
         self.starting = json.loads(options["startingoffsets"])
         self.limit = int(options["maxbytespertopic"]) if "maxbytespertopic" in options else None
         if self.limit is not None:
@@ -170,7 +174,7 @@ class _RangeReader(DataSourceStreamReader):
         return topic or self.root.rsplit("/", 1)[-1], self._full(file), base_offset_of(name), first, until
 
     def _sizes(self) -> dict:
-        listed = topic_files(self.root, self.pattern, self.topic_dirs)
+        listed = topic_files(self.root, self.pattern, self.topic_dirs, self.topics)
         return {f"{topic}/{name}" if self.topic_dirs else name: size for topic, name, size in listed}
 
     def _limited(self, sizes: dict) -> dict:

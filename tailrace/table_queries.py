@@ -539,6 +539,24 @@ def count_blob_round_trip(spark, sf_dir):
     return blobs.select("topic", stream_offset("base_offset", "record_offset").alias("stream_offset"), _text("content"))
 
 
+@query(
+    f"""SELECT role AS topic, coalesce(sum(4 + 1 + {_sql_varint('octet_length(encode(text))')} + octet_length(encode(text)))
+    OVER (PARTITION BY role ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS
+    stream_offset, text AS payload FROM conversations"""
+)
+def conversation_log(spark, sf_dir):
+    """Log every turn of every conversation by role, without times, and read the log."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("role").alias("topic"),
+        (F.shiftleft("conv_id", 20) + F.col("turn")).alias("seq"),
+        F.lit(None).cast("bigint").alias("time"),
+        F.encode("text", "UTF-8").alias("payload"),
+    )
+    base = fresh_dir(spark, "log")
+    write_topic_log(turns, base, max_file_bytes=DOCUMENT_FILE_BYTES)
+    return _read_back(spark, base).drop("time")
+
+
 @query(f"SELECT time, interval, unique_topics, messages FROM ({_sql_interval_metrics()})")
 def metrics_round_trip(spark, sf_dir):
     """Log the data points of the interval metrics and read the metrics topic."""

@@ -230,3 +230,27 @@ def test_empty_log(spark, tmp_path):
     write_topic_log(numbered(spark, 1, 0), str(tmp_path / "new"))
     with pytest.raises(Exception, match="FileNotFoundError"):
         list_files(spark, str(tmp_path / "absent")).collect()
+
+
+def test_topics_can_be_chosen(spark, tmp_path):
+    base = str(tmp_path / "log")
+    write_topic_log(numbered(spark, 12, 120), base, max_file_bytes=100)
+    got = read_topic_log(spark, base, topics="topic-1|topic-1[0-9]").groupBy("topic").count().collect()
+    assert sorted(map(tuple, got)) == [("topic-1", 10), ("topic-10", 10), ("topic-11", 10)]
+
+
+def test_messages_that_change_between_reads_are_not_published(spark, tmp_path):
+    base = str(tmp_path / "log")
+    flag = tmp_path / "read-before"
+
+    def once(batches):
+        seen = flag.exists()
+        flag.touch()
+        for batch in batches:
+            yield batch.slice(1) if seen else batch
+
+    msgs = numbered(spark, 1, 50).coalesce(1).mapInArrow(once, MSGS)
+    with pytest.raises(Exception, match="changed between two reads"):
+        write_topic_log(msgs, base)
+    assert list_files(spark, base).count() == 0
+    assert [n for _, _, names in os.walk(base) for n in names] == []
