@@ -307,6 +307,12 @@ def rollover(spark, sf_dir):
     return rollover_plan(message_sizes(spark, sf_dir), max_file_bytes=FILE_BYTES)
 
 
+@query(ORACLES["rollover"])
+def rollover_in_segments(spark, sf_dir):
+    """As above with topics cut into segments, as happens to very large ones."""
+    return rollover_plan(message_sizes(spark, sf_dir), max_file_bytes=FILE_BYTES, segment_rows=256)
+
+
 @query(
     f"""WITH RECURSIVE {_sql_messages(SQL_BY_USER)},
     begins AS (SELECT 'topic-' || user_id AS topic, max(event_id) * 100 + 100000 AS begin FROM events
@@ -539,6 +545,28 @@ def count_blob_round_trip(spark, sf_dir):
     return blobs.select("topic", stream_offset("base_offset", "record_offset").alias("stream_offset"), _text("content"))
 
 
+_ORDER = "o_orderkey || '|' || o_custkey || '|' || o_orderpriority"
+_ORDER_SIZE = f"(4 + 1 + {_sql_varint('epoch_us(o_orderdate) // 1000')} + 1 + {_sql_varint(f'length({_ORDER})')} + length({_ORDER}))"
+
+
+@query(
+    f"""SELECT o_orderstatus AS topic, epoch_us(o_orderdate) // 1000 AS time, {_ORDER} AS payload,
+    coalesce(sum({_ORDER_SIZE}) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS stream_offset FROM orders"""
+)
+def order_log(spark, sf_dir):
+    """Log every order by status, which makes a few large topics, and read the log."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("topic"),
+        F.col("o_orderkey").alias("seq"),
+        F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', o_orderdate)").alias("time"),
+        F.encode(F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderpriority"), "UTF-8").alias("payload"),
+    )
+    base = fresh_dir(spark, "log")
+    write_topic_log(orders, base, max_file_bytes=20 * FILE_BYTES)
+    return _read_back(spark, base)
+
+
 @query(
     f"""SELECT role AS topic, coalesce(sum(4 + 1 + {_sql_varint('octet_length(encode(text))')} + octet_length(encode(text)))
     OVER (PARTITION BY role ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS

@@ -41,9 +41,10 @@ def test_rollover_in_segments_equals_one_pass(spark, uneven, limit, segment_rows
     assert got == sequential_plan(rows, limit, {"flat": 500}, 1000)
 
 
-def test_spans_cover_the_plan(spark, uneven):
+@pytest.mark.parametrize("segment_rows", [1 << 20, 64])
+def test_spans_cover_the_plan(spark, uneven, segment_rows):
     rows, df = uneven
-    spans = rollover.plan_spans(df, None, 300, 0, 2000, 6).collect()
+    spans = rollover.plan_spans(df, None, 300, 0, 2000, 6, segment_rows).collect()
     plan = sequential_plan(rows, 300, {}, 0)
     found = {}
     for topic, seq, _ in rows:
