@@ -27,7 +27,7 @@ def write_progress(offsets: DataFrame, seen: DataFrame, path: str, directory: st
     documents = F.greatest(F.lit(1), F.ceil(entries.agg(F.count(F.lit(1))).scalar() / ENTRIES_PER_DOCUMENT))
     # The empty entry makes a state without files a document too.
     none = entries.sparkSession.range(1).select(
-        F.lit(None).cast("string").alias("file"), F.lit(None).cast(at.schema["at"].dataType).alias("at"), F.lit(None).cast("string").alias("old")
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in entries.schema]
     )
     state = (
         entries.unionByName(none)

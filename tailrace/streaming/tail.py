@@ -15,7 +15,6 @@ import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from tailrace.functions.columns import OFFSET_NAME_PATTERN
