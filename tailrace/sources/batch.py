@@ -35,8 +35,9 @@ def list_files(
     """Files of a topic log whose whole name matches ``pattern``: ``topic, file, name, base_offset, length``.
 
     With ``topic_dirs`` every directory below ``base`` is a topic; otherwise ``base`` itself is one. A pattern
-    for ``topics`` keeps the others from being listed and read at all. ``base_offset`` is NULL for names that are not offsets. Files whose names begin with a dot or an
-    underscore are hidden, as everywhere in Spark; topics may begin with an underscore.
+    for ``topics`` keeps the others from being listed and read at all. ``base_offset`` is NULL for names that
+    are not offsets. Files whose names begin with a dot or an underscore are hidden, as everywhere in Spark;
+    topics may begin with an underscore.
     """
     spark.dataSource.register(TopicLogFiles)
     tasks = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
