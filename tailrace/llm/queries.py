@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 
-from tailrace.llm import bpe, decontaminate, near_dup, topk
-from tailrace.llm.tables import source
+from tailrace.llm import bpe, decontaminate, lm, near_dup, quality, topk
+from tailrace.llm.tables import fold, source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +88,21 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(source(spark, sf_dir, "documents"), source(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op1_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = source(spark, sf_dir, "documents").select("doc_id", "text")
+    model, _ = trained_quality(docs, sf_dir)
+    return quality.scored(docs, model).select("doc_id", (fold() == 0).alias("held_out"), "score", "predicted")
+
+
+def trained_quality(docs: DataFrame, sf_dir: str) -> tuple[quality.Model, float]:
+    """Trusted positives are labels of quality 1, unlabelled text is all documents; neither from fold 0."""
+    labels = source(docs.sparkSession, sf_dir, "labels")
+    return quality.train(docs, labels.where((F.col("quality") == 1) & (fold() != 0)), docs.where(fold() != 0))
+
+
+@query()
+def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(source(spark, sf_dir, "documents"), fold(parts=10) == 0)
