@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from tailrace.llm import bpe, decontaminate, lm, near_dup, quality, topk
+from tailrace.llm import bpe, decontaminate, lm, near_dup, quality, topk, warc
 from tailrace.llm.tables import fold, source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,29 @@ def trained_quality(docs: DataFrame, sf_dir: str) -> tuple[quality.Model, float]
 @query()
 def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(source(spark, sf_dir, "documents"), fold(parts=10) == 0)
+
+
+@query(
+    """
+    WITH p AS (
+      SELECT page_id, encode(coalesce(html, '')) AS payload, row_number() OVER () AS row FROM pages
+    ), d AS (
+      SELECT page_id, row, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS hex FROM p
+    ), b AS (
+      SELECT *, array_to_string(list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+          ((CAST(('0x' || substr(hex, CAST(i * 5 // 4 AS BIGINT) + 1, 2) || repeat('0', 1 - CAST(i * 5 // 4 < 39 AS INTEGER))) AS INTEGER)
+            >> CAST(3 - i * 5 % 4 AS INTEGER)) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest
+      FROM d
+    ), f AS (
+      SELECT *, first_value(page_id) OVER w AS first_page, row_number() OVER w AS place FROM b
+      WINDOW w AS (PARTITION BY hex, payload_bytes ORDER BY page_id NULLS LAST, row)
+    )
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN place > 1 THEN first_page END AS refers_to FROM f
+    """
+)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = source(spark, sf_dir, "pages").select("page_id", "url", F.encode("html", "UTF-8").alias("payload"))
+    _, chunks = warc.archived(pages)
+    return chunks.where("last").select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
