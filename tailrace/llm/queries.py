@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from tailrace.llm import bpe, decontaminate, lm, near_dup, quality, topk, warc
+from tailrace.llm import bpe, decontaminate, kd_shards, lm, near_dup, quality, topk, warc
 from tailrace.llm.tables import fold, source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = source(spark, sf_dir, "pages").select("page_id", "url", F.encode("html", "UTF-8").alias("payload"))
     _, chunks = warc.archived(pages)
     return chunks.where("last").select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+@query()
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = source(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit("")).cast("binary")  # dimensions of the text alone: its copies are one point
+    dimensions = [F.octet_length(text), F.crc32(F.col("lang").cast("binary")), F.crc32(text)]
+    placed = kd_shards.kd_shards(docs, dimensions, shards=8, exact=0.02)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
