@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from tailrace.llm import bpe, decontaminate, kd_shards, lm, near_dup, quality, topk, warc
+from tailrace.llm import bpe, decontaminate, kd_shards, lm, near_dup, preference, quality, topk, warc
 from tailrace.llm.tables import fold, source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,44 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimensions = [F.octet_length(text), F.crc32(F.col("lang").cast("binary")), F.crc32(text)]
     placed = kd_shards.kd_shards(docs, dimensions, shards=8, exact=0.02)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _rendered(turns: str) -> str:
+    return f"array_to_string(list_transform({turns}, lambda t: t.head || t.body || chr(10)), '')"
+
+
+def _spans(turns: str) -> str:
+    """Start and end of the assistant's texts, as text."""
+    before = f"coalesce(list_sum(list_transform({turns}[:i - 1], lambda t: length(t.head) + length(t.body) + 1)), 0) + length({turns}[i].head)"
+    span = f"CAST({before} AS BIGINT) || ':' || CAST({before} + length({turns}[i].body) AS BIGINT)"
+    return f"array_to_string(list_transform(list_filter(range(1, len({turns}) + 1), lambda i: {turns}[i].role = 'assistant'), lambda i: {span}), ',')"
+
+
+@query(
+    f"""
+    WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (
+      SELECT conv_id, list({{'role': role, 'text': text, 'head': '<|' || coalesce(role, '') || '|>' || chr(10),
+        'body': replace(coalesce(text, ''), '<|', '< |') || '<|end|>'}} ORDER BY turn NULLS LAST, role NULLS FIRST, text NULLS FIRST) AS turns
+      FROM t GROUP BY conv_id
+    ), p AS (
+      SELECT a.conv_id, a.turns AS chosen,
+             list_concat(a.turns[:-2], CASE WHEN b.turns IS NULL THEN [] ELSE b.turns[-1:] END) AS rejected
+      FROM c a LEFT JOIN c b ON b.conv_id = xor(a.conv_id, 1)
+    ), n AS (
+      SELECT *, CAST(coalesce(list_min(list_filter(range(1, least(len(chosen), len(rejected)) + 1), lambda i:
+        chosen[i].role IS DISTINCT FROM rejected[i].role OR chosen[i].text IS DISTINCT FROM rejected[i].text)) - 1,
+        least(len(chosen), len(rejected))) AS INTEGER) AS n_common
+      FROM p
+    ), r AS (SELECT conv_id, n_common, chosen[:n_common] AS shared, chosen[n_common + 1:] AS c, rejected[n_common + 1:] AS r FROM n)
+    SELECT conv_id, n_common, {_rendered("shared")} AS prompt, {_rendered("c")} AS chosen, {_spans("c")} AS chosen_mask,
+           {_rendered("r")} AS rejected, {_spans("r")} AS rejected_mask
+    FROM r
+    """
+)
+def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.mismatched(preference.conversations_of(source(spark, sf_dir, "conversations")))
+    mask = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
+    return preference.preference_pairs(pairs).select(
+        "conv_id", "n_common", "prompt", F.col("chosen_text").alias("chosen"), mask("chosen_mask"), F.col("rejected_text").alias("rejected"), mask("rejected_mask")
+    )
