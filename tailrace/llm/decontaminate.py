@@ -123,44 +123,71 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return common / (sum(a.values()) + sum(b.values()) - common)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, radius: int = 19) -> DataFrame:
-    """One row for each row of ``docs`` and item it holds: the best window (first of equals), its distance and similarity.
-
-    Words are runs of letters, digits and characters beyond ASCII, A-Z in lower case. Null or empty texts and
-    items hold nothing. Items of fewer than ``k`` words count as one shingle of all their words and are found in
-    texts of just these. Rows with a null doc_id or item_id are compared like others; repeated rows each give
-    theirs. Other columns are not read.
-    """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    held = [(r.item_id, r.text) for r in items.select("item_id", "text").where("text is not null").toLocalIterator()]
+def _finder(items: DataFrame, k: int, percent: int, radius: int):
+    """A maker, for tasks, of a function from a column of texts to (row, item, first word, words, distance, similarity)."""
+    spark = items.sparkSession
+    held = [(r.item_id, r.text) for r in items.select(F.col("item_id").cast("bigint"), "text").where("text is not null").toLocalIterator()]
     sent, block, size = [], [], 0
-    for item in sorted(held, key=lambda x: (x[0] is None, x[0], x[1])):
+    for item in sorted(held, key=lambda x: (x[0] is None, x[0] or 0, x[1])):
         block.append(item)
         size += len(item[1])
         if size >= _ITEMS_BYTES:
             sent.append(spark.sparkContext.broadcast(block))
             block, size = [], 0
-    if block:
-        sent.append(spark.sparkContext.broadcast(block))
+    sent.append(spark.sparkContext.broadcast(block))
 
-    def run(batches):
-        indexes = [Index(b.value, k, radius) for b in sent]
-        for batch in slices(batches, "text"):
-            found = Words(*utf8(batch.column("text")), letters_only=True)
-            ids = batch.column("doc_id").to_pylist()
+    def make():
+        indexes = [x for b in sent if (x := Index(b.value, k, radius)).ids]
+
+        def find(column: pa.Array) -> list[tuple]:
+            found = Words(*utf8(column), letters_only=True)
             h, first = shingle_hashes(found.hashes, found.first, k)
             rows = []
             for index in indexes:
-                if not index.ids:
-                    continue
                 hit = index.anchors[np.minimum(np.searchsorted(index.anchors, h), index.anchors.size - 1)] == h
-                for n in np.unique(np.searchsorted(first, np.flatnonzero(hit), "right") - 1):
+                for n in np.unique(np.searchsorted(first, np.flatnonzero(hit), "right") - 1).tolist():
                     words = found.hashes[found.first[n] : found.first[n + 1]]
-                    rows += [(ids[n], *x) for x in index.search(words, percent)]
+                    rows += [(n, *x) for x in index.search(words, percent)]
+            return rows
+
+        return find
+
+    return make
+
+
+def contaminated(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, radius: int = 19) -> DataFrame:
+    """One row for each row of ``docs`` and item it holds: the best window (first of equals), its distance and similarity.
+
+    Words are runs of letters, digits and characters beyond ASCII, A-Z in lower case. Null or empty texts and
+    items hold nothing. Items of fewer than ``k`` words count as one shingle of all their words and are found in
+    texts of just these. Rows with a null doc_id or item_id are compared like others; repeated rows each give
+    theirs. Other columns are not read.
+    """
+    make = _finder(items, k, percent, radius)
+
+    def run(batches):
+        find = make()
+        for batch in slices(batches, "text"):
+            ids = batch.column("doc_id")
+            rows = [(ids[n].as_py(), *x) for n, *x in find(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, [pa.int64()] * 4 + [pa.int32(), pa.float64()])],
                 ["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"],
             )
 
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, _HITS)
+
+
+def clean(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, radius: int = 19) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns; see ``contaminated``."""
+    make = _finder(items, k, percent, radius)
+
+    def run(batches):
+        find = make()
+        for batch in slices(batches, "text"):
+            kept = np.ones(batch.num_rows, bool)
+            kept[[n for n, *_ in find(batch.column("text"))]] = False
+            yield batch.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import functions as F
 
-from tailrace.llm import bpe, decontaminate, kd_shards, lm, near_dup, preference, quality, topk, warc
+from tailrace.llm import bpe, decontaminate, kd_shards, lm, near_dup, preference, quality, surrogates, topk, warc
 from tailrace.llm.tables import fold, source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,12 @@ def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_pairs(pairs).select(
         "conv_id", "n_common", "prompt", F.col("chosen_text").alias("chosen"), mask("chosen_mask"), F.col("rejected_text").alias("rejected"), mask("rejected_mask")
     )
+
+
+SURROGATE_KEY = "a key of the owner's; this one is for the driver's tables"
+
+
+@query()
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = source(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.surrogated(docs, SURROGATE_KEY)
