@@ -5,10 +5,11 @@ one row stands for. The sketch takes one permutation: the top bits of a shingle'
 smallest hash of a bin is kept, and an empty bin copies a filled one that a fixed random probe order finds
 (optimal densification), so two sketches agree in a bin with the probability of their similarity.
 
-Buckets are bands of bins. In each, every class is compared with one hub only, the smallest, so a bucket of
-n classes costs n - 1 pairs. A link that a star does not see can only join two components that meet in a
-bucket, so buckets with several components are taken up again with 4, 16, ... further hubs of each, until in
-all buckets every pair of classes in different components has been compared on the full sets.
+Buckets are bands of bins. In each, every class is compared with one hub only, so a bucket of n classes costs
+n - 1 pairs. The links a star does not see can only join components that meet in a bucket. What such buckets
+hold is taken up once more, exactly: each class lists its rarest shingles, as many as a similar set cannot all
+lack, and only classes of different components that share one of these, early enough in both lists for the
+rest to suffice, are compared on the full sets.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tailrace.llm.graph import components
@@ -26,6 +27,7 @@ from tailrace.llm.tables import Tables, slices
 from tailrace.llm.words import Words, scramble, shingle_hashes, utf8
 
 _PROBES = 1024
+_COUNTER_BITS = 21
 _SKETCHES = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("bands", pa.list_(pa.int64()))])
 _SETS = pa.schema([("cls", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
@@ -94,14 +96,20 @@ def sketches(docs: DataFrame, k: int, bins: int, bands: int) -> DataFrame:
 
 
 def full_sets(texts: DataFrame, k: int) -> DataFrame:
+    """cls and shingles of rows with text and cls, the class that is looked for (null: any); others are left out."""
+
     def run(batches):
         for batch in slices(batches, "text"):
-            sets = list(_sets(batch, k))
+            sets, found = list(_sets(batch, k)), []
+            for s, wanted in zip(sets, batch.column("cls").to_pylist()):
+                own = _class_of(s) if s.size else None
+                found.append(own if wanted in (None, own) else None)
             at = np.concatenate(([0], np.cumsum([s.size for s in sets]))).astype(np.int32)
             values = pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array([_class_of(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(at), values)], schema=_SETS)
+            out = pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.ListArray.from_arrays(pa.array(at), values)], schema=_SETS)
+            yield out.filter(out.column("cls").is_valid())
 
-    return texts.select("text").mapInArrow(run, "cls binary, shingles array<bigint>")
+    return texts.select("text", "cls").mapInArrow(run, "cls binary, shingles array<bigint>")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int = 128, bands: int = 32) -> DataFrame:
@@ -120,34 +128,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int =
         signed.where("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes"
     )
     spread = classes.select("cls", "n", F.explode("bands").alias("band"))
-    hubs = spread.groupBy("band").agg(F.min(F.struct("cls", "n")).alias("hub"), F.count("*").alias("members")).where("members > 1")
-    hubs = tables.keep(hubs.drop("members"), "hubs")
+    order = F.xxhash64("cls", F.col("band").bitwiseAND(3))  # several hubs for a group that fills several buckets
+    hubs = spread.groupBy("band").agg(F.min(F.struct(order.alias("order"), "cls", "n")).alias("hub"), F.count("*").alias("members"))
+    hubs = tables.keep(hubs.where("members > 1").select("band", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("m")), "hubs")
     crowd = tables.keep(spread.join(hubs, "band"), "crowd")
     near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent  # the sizes alone allow the similarity
-    pairs = crowd.where("cls != hub.cls").select(F.col("hub.cls").alias("a"), F.col("cls").alias("b"), "n", F.col("hub.n").alias("m"))
-    tested = tables.keep(pairs.where(near).select("a", "b").distinct(), "pairs0")
-    links = tables.keep(_verified(docs, classes, tested, tables, k, percent, 0), "links0")
-    roots, round_, hubs_of_each = components(links, tables), 0, 1
-    while True:
-        inside = tables.keep(crowd.select("band", "cls", "n").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls")), f"inside{round_}")
-        mixed = inside.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
-        inside = tables.keep(inside.join(tables.keep(mixed, f"mixed{round_}"), "band"), f"met{round_}")
-        rank = F.row_number().over(Window.partitionBy("band", "root").orderBy("cls"))
-        round_, hubs_of_each = round_ + 1, hubs_of_each * 4
-        chosen = inside.withColumn("rank", rank).where(F.col("rank") <= hubs_of_each)
-        chosen = tables.keep(chosen.select("band", F.col("cls").alias("hub"), F.col("n").alias("m"), F.col("root").alias("hub_root")), f"chosen{round_}")
-        pairs = inside.join(chosen, "band").where((F.col("root") != F.col("hub_root")) & near)
-        pairs = pairs.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-        fresh = tables.keep(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs{round_}")
-        if not fresh.isEmpty():
-            more = tables.keep(_verified(docs, classes, fresh, tables, k, percent, round_), f"links{round_}")
-            if not more.isEmpty():
-                links = links.union(more)
-                roots = components(links, tables)
-        tested = tested.union(fresh)
-        sizes = inside.groupBy("band", "root").count().groupBy("band").agg((F.count_if(F.col("count") > hubs_of_each)).alias("open"))
-        if sizes.where("open > 1").isEmpty():  # of any two components that meet, one has had all its members as hubs
-            break
+    pair = [F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")]
+    pairs = tables.keep(crowd.where((F.col("cls") != F.col("hub")) & near).select(pair).distinct(), "pairs0")
+    sets = tables.keep(_needed_sets(docs, classes, crowd.select("cls").distinct(), tables, k), "sets")
+    links = tables.keep(_verified(pairs, sets, percent), "links0")
+    roots = components(links, tables)
+    inside = crowd.select("band", "cls", "n").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    inside = tables.keep(inside, "inside")
+    mixed = inside.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
+    open_ = tables.keep(inside.join(mixed, "band", "left_semi").select("cls", "root", "n").distinct(), "open")
+    fresh = _missed(open_.join(sets, "cls"), tables, percent).join(pairs, ["a", "b"], "left_anti")
+    more = tables.keep(_verified(tables.keep(fresh, "pairs1"), sets, percent), "links1")
+    if not more.isEmpty():
+        roots = components(links.union(more), tables)
     named = classes.select("cls", "id").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     named = tables.keep(named, "named")
     lowest = tables.keep(named.groupBy("root").agg(F.min("id").alias("component_id")), "lowest")
@@ -157,19 +155,74 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int =
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, tables: Tables, k: int, percent: int, round_: int) -> DataFrame:
-    """Pairs of classes whose full sets are similar enough. Sets are made only of classes that a pair names."""
-    named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    ids = tables.keep(classes.select("cls", "id").join(named, "cls"), f"involved{round_}")
+def _needed_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, tables: Tables, k: int) -> DataFrame:
+    """Full sets of the wanted classes, each made from the text of the row that names it."""
+    ids = tables.keep(classes.select("cls", "id").join(wanted, "cls", "left_semi"), "wanted")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    texts = texts.where("id is not null").join(ids.select("id").distinct(), "id", "left_semi")
-    if not ids.where("id is null").isEmpty():  # classes without any id are found by their text
-        texts = texts.union(docs.where("doc_id is null").select("doc_id", "text"))
-    sets = full_sets(texts, k).where(F.length("cls") == 16)
-    sets = tables.keep(sets.join(ids.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]), f"sets{round_}")
+    sets = full_sets(texts.join(ids.where("id is not null"), "id"), k)
+    if ids.where("id is null").isEmpty():
+        return sets
+    unnamed = full_sets(texts.where("id is null").withColumn("cls", F.lit(None).cast("binary")), k)
+    return sets.union(unnamed.dropDuplicates(["cls"]).join(ids.where("id is null").select("cls"), "cls", "left_semi"))
+
+
+def _missed(open_: DataFrame, tables: Tables, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes in different components that may be similar, by prefixes of their sets in order of rarity.
+
+    ``open_`` has cls, root, n and shingles. Sets with ``need`` common shingles, none of them before places i and j,
+    have need <= min(n - i, m - j) + 1; so a common shingle must come early in both. Rarity is a count in a table of
+    fixed size: where it errs it makes more candidates, never fewer.
+    """
+
+    def count(batches):
+        total = np.zeros(1 << _COUNTER_BITS, np.int64)
+        for batch in batches:
+            flat = np.asarray(batch.column("shingles").flatten()).view(np.uint64)
+            np.add.at(total, flat >> np.uint64(64 - _COUNTER_BITS), 1)
+        at = np.flatnonzero(total)
+        for a in range(0, at.size, 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(at[a : a + (1 << 16)]), pa.array(total[at[a : a + (1 << 16)]])], ["slot", "n"])
+
+    sets = tables.keep(open_, "open-sets")
+    counts = sets.select("shingles").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(1 << _COUNTER_BITS, np.int64)
+    table[np.asarray(counts.column("slot"))] = np.asarray(counts.column("n"))
+    sent = sets.sparkSession.sparkContext.broadcast(np.minimum(table, 2**31 - 1).astype(np.int32))
+
+    def prefixes(batches):
+        for batch in batches:
+            shingles, places, rows = [], [], []
+            at, flat = np.asarray(batch.column("shingles").offsets), np.asarray(batch.column("shingles").values).view(np.uint64)
+            for r in range(batch.num_rows):
+                s = flat[at[r] : at[r + 1]]
+                seen = sent.value[s >> np.uint64(64 - _COUNTER_BITS)]
+                first = np.lexsort((s, seen))[: s.size - -(-s.size * percent // 100) + 1]
+                keep = np.flatnonzero(seen[first] > 1)
+                shingles.append(s[first[keep]]), places.append(keep + 1), rows.append(np.full(keep.size, r))
+            taken = batch.select(["cls", "root", "n"]).take(pa.array(np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [*taken.columns, pa.array(np.concatenate([*shingles, np.empty(0, np.uint64)]).view(np.int64)), pa.array(np.concatenate([*places, np.empty(0, np.int64)]).astype(np.int64))],
+                ["cls", "root", "n", "shingle", "place"],
+            )
+
+    rows = tables.keep(sets.select("cls", "root", "n", "shingles").mapInArrow(prefixes, "cls binary, root binary, n bigint, shingle bigint, place bigint"), "prefixes")
+    shared = rows.groupBy("shingle", "root").agg(F.count("*").alias("members"), F.min("n").alias("least"))
+    shared = shared.groupBy("shingle").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("members", "root")).alias("most"), F.min("least").alias("least"))
+    shared = tables.keep(shared.where("roots > 1").drop("roots"), "shared")
+    rows = rows.join(shared, "shingle")
+    enough = (F.col("n") - F.col("place") + 1) * (100 + percent) >= percent * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * percent / 100)))
+    rows = tables.keep(rows.where(enough).drop("least"), "early")
+    few = rows.where("root != most").select("shingle", F.col("cls").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("m"), F.col("place").alias("at"))
+    left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1
+    met = rows.join(few, "shingle").where((F.col("root") != F.col("hub_root")) & (left * (100 + percent) >= percent * (F.col("n") + F.col("m"))))
+    return met.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes whose full sets are similar enough."""
     left = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("of_b"))
     right = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("of_a"))
     both = pairs.join(left, "b").join(right, "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
     both = both.select("a", "b", common.alias("common"), (F.size("of_a") + F.size("of_b")).alias("sizes"))
-    return both.where(F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * percent).select("a", "b")
+    return both.where(F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * percent).select("a", "b").distinct()
