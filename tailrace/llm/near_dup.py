@@ -95,21 +95,50 @@ def sketches(docs: DataFrame, k: int, bins: int, bands: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, n bigint, cls binary, bands array<bigint>")
 
 
-def full_sets(texts: DataFrame, k: int) -> DataFrame:
-    """cls and shingles of rows with text and cls, the class that is looked for (null: any); others are left out."""
+def _slots(ids: pa.Array, cls: pa.Array, bits: int) -> np.ndarray:
+    """Place of each (id, class) in a table of ``2 ** bits``."""
+    first = np.frombuffer(b"".join(c.as_py() for c in cls), ">u8")[::2].astype(np.uint64)
+    ids = np.asarray(ids.fill_null(-(1 << 63))).view(np.uint64)
+    return scramble(first + scramble(ids)) >> np.uint64(64 - bits)
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """cls and shingles of the rows of ``docs`` whose doc_id and class ``wanted`` has (as id and cls).
+
+    The wanted rows are marked in a table of bits, 16 for each up to 64 MB in all, so texts are not shuffled. A row that
+    is marked by chance gives a set that nobody asks for.
+    """
+    bits = min(max(wanted.count().bit_length() + 4, 20), 29)
+
+    def mark(batches):
+        words = np.zeros(1 << (bits - 6), np.uint64)
+        for batch in batches:
+            at = _slots(batch.column("id"), batch.column("cls"), bits)
+            np.bitwise_or.at(words, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        at = np.flatnonzero(words)
+        for a in range(0, at.size, 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(at[a : a + (1 << 16)]), pa.array(words[at[a : a + (1 << 16)]].view(np.int64))], ["at", "word"])
+
+    marks = wanted.mapInArrow(mark, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[np.asarray(marks.column("at"))] = np.asarray(marks.column("word"))
+    sent = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
 
     def run(batches):
         for batch in slices(batches, "text"):
-            sets, found = list(_sets(batch, k)), []
-            for s, wanted in zip(sets, batch.column("cls").to_pylist()):
-                own = _class_of(s) if s.size else None
-                found.append(own if wanted in (None, own) else None)
+            rows = [(i, s) for i, s in enumerate(_sets(batch, k)) if s.size]
+            if not rows:
+                continue
+            cls = pa.array([_class_of(s) for _, s in rows], pa.binary())
+            slot = _slots(batch.column("doc_id").take(pa.array([i for i, _ in rows])), cls, bits)
+            marked = np.flatnonzero(sent.value[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1))
+            sets = [rows[i][1] for i in marked]
             at = np.concatenate(([0], np.cumsum([s.size for s in sets]))).astype(np.int32)
             values = pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))
-            out = pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.ListArray.from_arrays(pa.array(at), values)], schema=_SETS)
-            yield out.filter(out.column("cls").is_valid())
+            yield pa.RecordBatch.from_arrays([cls.take(pa.array(marked)), pa.ListArray.from_arrays(pa.array(at), values)], schema=_SETS)
 
-    return texts.select("text", "cls").mapInArrow(run, "cls binary, shingles array<bigint>")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "cls binary, shingles array<bigint>")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int = 128, bands: int = 32) -> DataFrame:
@@ -128,20 +157,24 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int =
         signed.where("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes"
     )
     spread = classes.select("cls", "n", F.explode("bands").alias("band"))
-    order = F.xxhash64("cls", F.col("band").bitwiseAND(3))  # several hubs for a group that fills several buckets
-    hubs = spread.groupBy("band").agg(F.min(F.struct(order.alias("order"), "cls", "n")).alias("hub"), F.count("*").alias("members"))
-    hubs = tables.keep(hubs.where("members > 1").select("band", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("m")), "hubs")
-    crowd = tables.keep(spread.join(hubs, "band"), "crowd")
+    order = F.xxhash64("cls", F.col("band").bitwiseAND(7))  # several hubs for a group that fills several buckets
+    spread = spread.withColumn("order", order)
+    lowest = spread.groupBy("band").agg(F.min("order").alias("lowest"), F.count("*").alias("members")).where("members > 1")
+    lowest = tables.keep(lowest.drop("members"), "lowest-order")
+    crowd = tables.keep(spread.join(lowest.hint("merge"), "band"), "met")
+    hubs = crowd.where(F.col("order") == F.col("lowest")).select("band", F.col("cls").alias("hub"), F.col("n").alias("m"))
+    crowd = tables.keep(crowd.select("band", "cls", "n").join(hubs.hint("merge"), "band"), "crowd")
     near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent  # the sizes alone allow the similarity
     pair = [F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")]
     pairs = tables.keep(crowd.where((F.col("cls") != F.col("hub")) & near).select(pair).distinct(), "pairs0")
-    sets = tables.keep(_needed_sets(docs, classes, crowd.select("cls").distinct(), tables, k), "sets")
+    wanted = tables.keep(classes.select("cls", "id").join(crowd.select("cls").distinct(), "cls", "left_semi"), "wanted")
+    sets = tables.keep(full_sets(docs, wanted, k), "sets")
     links = tables.keep(_verified(pairs, sets, percent), "links0")
     roots = components(links, tables)
-    inside = crowd.select("band", "cls", "n").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    inside = crowd.select("band", "cls", "n").join(roots.withColumnRenamed("node", "cls").hint("merge"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     inside = tables.keep(inside, "inside")
     mixed = inside.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
-    open_ = tables.keep(inside.join(mixed, "band", "left_semi").select("cls", "root", "n").distinct(), "open")
+    open_ = tables.keep(inside.join(mixed.hint("merge"), "band", "left_semi").select("cls", "root", "n").distinct(), "open")
     fresh = _missed(open_.join(sets, "cls"), tables, percent).join(pairs, ["a", "b"], "left_anti")
     more = tables.keep(_verified(tables.keep(fresh, "pairs1"), sets, percent), "links1")
     if not more.isEmpty():
@@ -155,17 +188,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int =
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
-def _needed_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, tables: Tables, k: int) -> DataFrame:
-    """Full sets of the wanted classes, each made from the text of the row that names it."""
-    ids = tables.keep(classes.select("cls", "id").join(wanted, "cls", "left_semi"), "wanted")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
-    sets = full_sets(texts.join(ids.where("id is not null"), "id"), k)
-    if ids.where("id is null").isEmpty():
-        return sets
-    unnamed = full_sets(texts.where("id is null").withColumn("cls", F.lit(None).cast("binary")), k)
-    return sets.union(unnamed.dropDuplicates(["cls"]).join(ids.where("id is null").select("cls"), "cls", "left_semi"))
-
-
 def _missed(open_: DataFrame, tables: Tables, percent: int) -> DataFrame:
     """Pairs (a, b) of classes in different components that may be similar, by prefixes of their sets in order of rarity.
 
@@ -222,7 +244,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes whose full sets are similar enough."""
     left = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("of_b"))
     right = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("of_a"))
-    both = pairs.join(left, "b").join(right, "a")
+    both = pairs.join(left.hint("merge"), "b").join(right.hint("merge"), "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
     both = both.select("a", "b", common.alias("common"), (F.size("of_a") + F.size("of_b")).alias("sizes"))
     return both.where(F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * percent).select("a", "b").distinct()
