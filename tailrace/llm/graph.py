@@ -27,7 +27,7 @@ def _stars(edges: DataFrame, tables: Tables, name: str, large: bool) -> DataFram
 
 
 def components(edges: DataFrame, tables: Tables) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b); the root is the smallest node of the component.
+    """(node, root) for every node of ``edges`` (a, b) but the roots; a root is the smallest node of its component.
 
     Minima are combined before the shuffle and rejoined as a table of one row per node, so a hub with a large
     share of all edges is a skewed join that Spark splits, not a group in one task.

@@ -33,23 +33,13 @@ CHUNKS = (
 )
 
 
-def base32_sha1(payload: F.Column) -> F.Column:
-    """Bare upper-case base32 of the SHA-1 of a binary column: 32 groups of five bits."""
-    letters = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
-    bits = F.lpad(F.conv(F.substring(F.sha1(payload), 1, 10), 16, 2), 40, "0")
-    for at in (11, 21, 31):
-        bits = F.concat(bits, F.lpad(F.conv(F.substring(F.sha1(payload), at, 10), 16, 2), 40, "0"))
-    five = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.conv(F.substr(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1)
-    return F.array_join(F.transform(five, lambda n: F.substr(letters, n, F.lit(1))), "")
-
-
 def planned(pages: DataFrame, tables: Tables, least_bytes: int = 0) -> DataFrame:
     """page_id, url, payload, digest, record_type and refers_to of every row.
 
     ``pages`` has page_id, url and payload (binary). Of rows alike in payload and page_id, one is the response. The
     table is read twice and must give rows in the same places both times, as a scan of files does.
     """
-    rows = pages.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", base32_sha1(F.col("payload")))
+    rows = pages.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", F.unhex(F.sha1("payload")))
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")
     first = rows.groupBy("digest", F.length("payload").alias("size")).agg(F.min(order).alias("first"), F.count("*").alias("copies"))
     first = tables.keep(first.where((F.col("copies") > 1) & (F.col("size") >= least_bytes)).select("digest", "first"), "repeated")
@@ -97,7 +87,7 @@ def write_archives(plan: DataFrame, folder: str, archive_bytes: int = 1 << 30, l
         for batch in batches:
             for i in range(batch.num_rows):
                 page_id, url, digest, kind, refers = (batch.column(c)[i].as_py() for c in ("page_id", "url", "digest", "record_type", "refers_to"))
-                payload = batch.column("payload")[i].as_buffer() or b""
+                payload, digest = batch.column("payload")[i].as_buffer() or b"", base64.b32encode(digest).decode()
                 if out is None:
                     path, records, size = f"pages-{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = system.open_output_stream(f"{base}/{path}", compression=None)
