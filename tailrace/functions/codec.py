@@ -236,5 +236,5 @@ def decode_data_point(data: bytes) -> tuple[float | None, int | None, int | None
         if number == 1 and wire == 1:
             values[0] = struct.unpack_from(_DOUBLE, data, value[0])[0]
         elif 2 <= number <= 4 and wire == 0:
-            values[number - 1] = value & 0xFFFFFFFF
+            values[number - 1] = value & 0xFFFFFFFFFFFFFFFF
     return tuple(values)

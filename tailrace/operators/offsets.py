@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 22
 
 
+def required(df: DataFrame, *columns: str) -> DataFrame:
+    """``df``, in which a null in one of the columns is an error, whatever its size and the way it is worked on."""
+    missing = [F.raise_error(F.lit(f"{c} is null")).cast(df.schema[c].dataType) for c in columns]
+    return df.withColumns({c: F.when(F.col(c).isNull(), e).otherwise(F.col(c)) for c, e in zip(columns, missing)})
+
+
 def exclusive_prefix(
     df: DataFrame, key: str, order: str, sums: dict[str, Column], block_bits: int = BLOCK_BITS
 ) -> DataFrame:
@@ -15,10 +21,10 @@ def exclusive_prefix(
 
     ``order`` is a BIGINT, unique within a key. Rows are grouped by its high bits, so a window covers at
     most ``2**block_bits`` rows. Block totals are summed the same way and their prefixes joined back. The
-    grouping depends on the data alone, so a lost task recomputes to the same blocks. Rows without key or
-    order have no place in it and are left out.
+    grouping depends on the data alone, so a lost task recomputes to the same blocks. A row without key or
+    order has no place in it and raises an error.
     """
-    df = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
+    df = required(df, key, order)
     zero = F.lit(0).cast("bigint")
     # Blocks are never null. Saying so keeps the joins from adding filters by which the branches would
     # differ, and lets both levels of totals share one exchange.

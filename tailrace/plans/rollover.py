@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tailrace.operators.audit import MAX_FILE_BYTES, TAKEOVER_PAD
-from tailrace.operators.offsets import exclusive_prefix
+from tailrace.operators.offsets import exclusive_prefix, required
 
 SEGMENT_ROWS = 1 << 20
 FAN_OUT_BITS = 3
@@ -46,7 +46,7 @@ def rollover_plan(
 
     Runs one small job when called, to see whether any topic needs more than one segment.
     """
-    light = msgs_sizes.select("topic", "seq", "size")
+    light = required(msgs_sizes.select("topic", "seq", "size"), "topic", "seq")
     largest = largest_topic(light)
     return plan_records(light, ends, max_file_bytes, pad, largest, segment_rows)
 

@@ -7,6 +7,7 @@ tasks are done. A task that runs twice leaves a hidden file that is removed, nev
 from __future__ import annotations
 
 import json
+import os
 import math
 import uuid
 from collections.abc import Iterator
@@ -248,15 +249,16 @@ class _Writer(DataSourceArrowWriter):
         system, root = locate(self.root)
         if system.get_file_info(root).type == pafs.FileType.Directory:
             entries = system.get_file_info(pafs.FileSelector(root))
-            self._sweep({e.path for e in entries if e.type == pafs.FileType.Directory})
+            # What a plan names is left for the next try of the batch, which completes it.
+            self._sweep({e.path for e in entries if e.type == pafs.FileType.Directory}, {h for h, _ in self.journal.intended()})
 
-    def _sweep(self, folders: set[str]) -> None:
+    def _sweep(self, folders: set[str], keep: set[str] = frozenset()) -> None:
         """Remove hidden files that repeated or failed tasks of this run left behind."""
         system, _ = locate(self.root)
 
         def sweep(folder: str) -> None:
             for entry in system.get_file_info(pafs.FileSelector(folder)):
-                if entry.base_name.startswith(".") and f".{self.run}." in entry.base_name:
+                if entry.base_name.startswith(".") and f".{self.run}." in entry.base_name and entry.path not in keep:
                     system.delete_file(entry.path)
 
         _in_parallel(sweep, folders)
@@ -296,6 +298,14 @@ def _publish(root: str, files: list[tuple[str, str]], resumed: bool = False) ->
             if not _exists(system, final):
                 raise FileNotFoundError(f"neither {hidden} nor {final} is there")
             return
+        if isinstance(system, pafs.LocalFileSystem):
+            try:
+                os.link(hidden, final)  # unlike a rename, fails if the name is taken
+            except FileExistsError:
+                if not (resumed and os.path.samefile(hidden, final)):
+                    raise FileExistsError(f"another writer has created {final}") from None
+            os.unlink(hidden)
+            return
         check(pair)
         system.move(hidden, final)
 
@@ -333,15 +343,27 @@ class _Journal:
         system, folder = self._folder()
         if _exists(system, f"{folder}/{self.batch_id}.done"):
             return True
-        planned = f"{folder}/{self.batch_id}.plan"
-        if not _exists(system, planned):
+        files = self.intended()
+        if not files:
+            return False
+        if not any(_exists(system, f) for pair in files for f in pair):  # nothing is left of that try: write anew
+            system.delete_file(f"{folder}/{self.batch_id}.plan")
             return False
-        with system.open_input_stream(planned) as source:
-            files = [tuple(f) for f in json.loads(source.read())]
         _publish(self.root, files, resumed=True)
         self.close()
         return True
 
+    def intended(self) -> list[tuple[str, str]]:
+        """Hidden and final names in the plan of this batch, if one was written."""
+        if not self.active:
+            return []
+        system, folder = self._folder()
+        planned = f"{folder}/{self.batch_id}.plan"
+        if not _exists(system, planned):
+            return []
+        with system.open_input_stream(planned) as source:
+            return [tuple(f) for f in json.loads(source.read())]
+
     def intend(self, files: list[tuple[str, str]]) -> None:
         if self.active:
             self._put(f"{self.batch_id}.plan", json.dumps(files))

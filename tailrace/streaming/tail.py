@@ -13,13 +13,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from tailrace.functions.columns import OFFSET_NAME_PATTERN
 from tailrace.sources.batch import BLOBS, RECORDS, Framing, blob_reader, envelope_reader, framed_reader, placer
-from tailrace.sources.files import locate
 from tailrace.sources.listing import base_offset_of, full_path, topic_files
 
 _GONE = -1
@@ -33,18 +31,14 @@ def tail_topic_log(
     base: str,
     pattern: str = OFFSET_NAME_PATTERN,
     starting_offsets: dict[str, int] | None = None,
-    max_bytes_per_topic: int | None = None,
     topic_dirs: bool = True,
     topics: str | None = None,
-    checkpoint: str | None = None,
 ) -> DataFrame:
     """Streaming messages of a topic log, including new topics, new files and growth of any file.
 
-    ``starting_offsets`` (file to offset) seeds a query without checkpoint. ``max_bytes_per_topic`` limits
-    what one trigger takes from a topic, so a topic that lags far behind does not hold up the others. It needs
-    the query's ``checkpoint``, from which the source learns what was planned before a restart.
+    ``starting_offsets`` (file to offset) seeds a query without checkpoint. A file that vanishes is forgotten.
     """
-    ranges = _ranges(spark, base, pattern, starting_offsets, max_bytes_per_topic, topic_dirs, topics, checkpoint)
+    ranges = _ranges(spark, base, pattern, starting_offsets, topic_dirs, topics)
     return _follow(ranges, envelope_reader, RECORDS)
 
 
@@ -59,11 +53,7 @@ def tail_framed(spark: SparkSession, base: str, framing: Framing, fields: str, p
     return _follow(_ranges(spark, base, pattern, **options), reader, schema)
 
 
-def _ranges(
-    spark, base, pattern, starting_offsets=None, max_bytes_per_topic=None, topic_dirs=True, topics=None, checkpoint=None
-) -> DataFrame:
-    if max_bytes_per_topic is not None and checkpoint is None:
-        raise ValueError("max_bytes_per_topic needs the checkpoint of the query")
+def _ranges(spark, base, pattern, starting_offsets=None, topic_dirs=True, topics=None) -> DataFrame:
     spark.dataSource.register(TopicLogRanges)
     options = {
         "path": base.rstrip("/"),
@@ -73,10 +63,6 @@ def _ranges(
     }
     if topics is not None:
         options["topics"] = topics
-    if max_bytes_per_topic is not None:
-        options["maxBytesPerTopic"] = str(max_bytes_per_topic)
-    if checkpoint is not None:
-        options["checkpoint"] = checkpoint
     return spark.readStream.format("topic_log_ranges").options(**options).load()
 
 
@@ -94,8 +80,13 @@ def _follow(ranges: DataFrame, reader, schema: str) -> DataFrame:
             base_offset = None if pd.isna(row.base_offset) else int(row.base_offset)
             place = placer({"topic": topic, "file": file, "base_offset": base_offset})
             position = _Position(at)
-            for batch in reader(file, at, row.until, place, position):
-                yield batch.to_pandas(types_mapper=_WHOLE_NUMBERS.get)
+            try:
+                for batch in reader(file, at, row.until, place, position):
+                    yield batch.to_pandas(types_mapper=_WHOLE_NUMBERS.get)
+            except FileNotFoundError:  # deleted after the batch was planned: forget it and go on
+                if state.exists:
+                    state.remove()
+                continue
             state.update((position.at, row.until))
 
     keyed = ranges.groupBy("topic", "file")
@@ -141,19 +132,13 @@ class _RangeReader(DataSourceStreamReader):
         self.topic_dirs = options["topicdirs"] == "true"
         self.topics = options.get("topics")
         self.starting = json.loads(options["startingoffsets"])
-        self.limit = int(options["maxbytespertopic"]) if "maxbytespertopic" in options else None
-        if self.limit is not None:
-            self.planned = _last_planned(options["checkpoint"]) or self.initialOffset()
 
     def initialOffset(self) -> dict:
         prefix = full_path(self.root, "", "", False)
         return {f.removeprefix(prefix): n for f, n in self.starting.items()}
 
     def latestOffset(self) -> dict:
-        sizes = self._sizes()
-        if self.limit is not None:
-            self.planned = sizes = self._limited(sizes)
-        return sizes
+        return self._sizes()
 
     def partitions(self, start: dict, end: dict):
         rows = [self._row(f, start.get(f, 0), n) for f, n in end.items() if start.get(f, 0) != n]
@@ -175,34 +160,3 @@ class _RangeReader(DataSourceStreamReader):
     def _sizes(self) -> dict:
         listed = topic_files(self.root, self.pattern, self.topic_dirs, self.topics)
         return {f"{topic}/{name}" if self.topic_dirs else name: size for topic, name, size in listed}
-
-    def _limited(self, sizes: dict) -> dict:
-        """At most ``limit`` more bytes per topic than planned before, in file order."""
-        left: dict[str, int] = {}
-        taken = {}
-        for file, size in sizes.items():
-            topic = file.rpartition("/")[0]
-            before = self.planned.get(file, 0)
-            if size < before:
-                before = 0  # created again
-            more = min(size - before, left.setdefault(topic, self.limit))
-            left[topic] -= more
-            if more or file in self.planned:
-                taken[file] = before + more
-        return taken
-
-
-def _last_planned(checkpoint: str) -> dict | None:
-    """Offsets of the last batch in a query's offset log; None before the first batch."""
-    system, folder = locate(f"{checkpoint.rstrip('/')}/offsets")
-    if system.get_file_info(folder).type != pafs.FileType.Directory:
-        return None
-    batches = [e for e in system.get_file_info(pafs.FileSelector(folder)) if e.base_name.isdigit()]
-    if not batches:
-        return None
-    with system.open_input_stream(max(batches, key=lambda e: int(e.base_name)).path) as source:
-        lines = source.read().decode().splitlines()
-    # A version line and the batch's settings come first, then one line per source.
-    if len(lines) != 3:
-        raise ValueError("max_bytes_per_topic needs a query that reads this source only")
-    return json.loads(lines[2])

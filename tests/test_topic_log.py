@@ -133,6 +133,52 @@ def test_interrupted_publish_is_completed(spark, tmp_path):
     assert [bytes(r.payload) for r in read_topic_log(spark, base).collect()] == [b"x"]
 
 
+def test_failed_commit_is_completed_by_the_next_try(spark, tmp_path):
+    base = str(tmp_path / "log")
+    write_topic_log(spark.createDataFrame([("a", 1, 1, b"old")], MSGS), base)
+    msgs = spark.createDataFrame([("a", 2, 1, b"x"), ("b", 3, 1, b"y")], MSGS)
+    os.makedirs(f"{base}/b/{0:016x}")  # stands where the new file is to be
+    with pytest.raises(Exception, match="another writer"):
+        write_topic_log(msgs, base, sink="s", batch_id=1)
+    os.rmdir(f"{base}/b/{0:016x}")
+    for _ in range(2):
+        write_topic_log(msgs, base, sink="s", batch_id=1)
+    assert sorted(bytes(r.payload) for r in read_topic_log(spark, base).collect()) == [b"old", b"x", b"y"]
+
+
+def test_plan_without_files_is_dropped(spark, tmp_path):
+    from tailrace.sinks import topic_log
+
+    base = str(tmp_path / "log")
+    topic_log._Journal(base, "s", 3).intend([(f"{base}/t/.gone", f"{base}/t/{0:016x}")])
+    write_topic_log(numbered(spark, 1, 10), base, sink="s", batch_id=3)
+    assert read_topic_log(spark, base).count() == 10
+
+
+def test_published_file_is_never_replaced(tmp_path):
+    from tailrace.sinks import topic_log
+
+    hidden, final = str(tmp_path / ".h"), str(tmp_path / "f")
+    for path in (hidden, final):
+        with open(path, "w") as f:
+            f.write(path)
+    with pytest.raises(FileExistsError):
+        topic_log._publish(str(tmp_path), [(hidden, final)], resumed=True)
+    assert open(final).read() == final
+
+
+def test_large_counts_and_nulls(spark, tmp_path):
+    from tailrace.functions.codec import decode_data_point, encode_data_point
+    from tailrace.operators.offsets import running_offset
+    from tailrace.plans.rollover import rollover_plan
+
+    assert decode_data_point(encode_data_point(1.0, 60, 2, 8_589_934_597))[3] == 8_589_934_597
+    sizes = spark.createDataFrame([("t", i, 10) for i in range(40)] + [("t", None, 10)], "topic string, seq bigint, size bigint")
+    for plan in (running_offset(sizes), rollover_plan(sizes), rollover_plan(sizes, segment_rows=8)):
+        with pytest.raises(Exception, match="seq is null"):
+            plan.collect()
+
+
 def test_invalid_topic(spark, tmp_path):
     msgs = spark.createDataFrame([("ok", 1, 1, b"a"), ("no/slash", 2, 1, b"b"), ("", 3, 1, b"c"), (None, 4, 1, b"d"), ("x\n", 5, 1, b"")], MSGS)
     good, bad = valid_topics(msgs)
