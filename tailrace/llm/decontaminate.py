@@ -8,25 +8,27 @@ all of them. Whoever is within the radius is checked on the shingles themselves:
 the sum of the larger weights must reach ``percent``.
 
 A window without any shingle of the items has similarity 0 with each, so only windows around shared shingles are
-fingerprinted; that loses nothing. Items are sent to the tasks in blocks of bounded size, one pass for all.
+fingerprinted; that loses nothing. Items are sent to the tasks in blocks of bounded size, with a pass over the
+documents for each block (a benchmark of up to 4 MB of text is one).
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailrace.llm.tables import slices
+from tailrace.llm.tables import Tables, slices
 from tailrace.llm.words import Words, scramble, shingle_hashes, utf8
 
 _HITS = "doc_id bigint, item_id bigint, first_word bigint, n_words bigint, distance int, similarity double"
 _BITS = 64
-_ITEMS_BYTES = 16 << 20  # of item text in one broadcast
+_ITEMS_BYTES = 4 << 20  # of item text in one broadcast
 
 
 def signs(shingles: np.ndarray) -> np.ndarray:
@@ -123,31 +125,33 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return common / (sum(a.values()) + sum(b.values()) - common)
 
 
-def _finder(items: DataFrame, k: int, percent: int, radius: int):
+def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
+    """Distinct items in blocks of about ``_ITEMS_BYTES``, dealt by their hash and fetched one at a time."""
+    items = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // _ITEMS_BYTES))
+    for block in range(n):
+        held = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block).collect()
+        yield sorted(map(tuple, held), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+
+
+def _finder(spark: SparkSession, block: list[tuple], k: int, percent: int, radius: int):
     """A maker, for tasks, of a function from a column of texts to (row, item, first word, words, distance, similarity)."""
-    spark = items.sparkSession
-    held = [(r.item_id, r.text) for r in items.select(F.col("item_id").cast("bigint"), "text").where("text is not null").toLocalIterator()]
-    sent, block, size = [], [], 0
-    for item in sorted(held, key=lambda x: (x[0] is None, x[0] or 0, x[1])):
-        block.append(item)
-        size += len(item[1])
-        if size >= _ITEMS_BYTES:
-            sent.append(spark.sparkContext.broadcast(block))
-            block, size = [], 0
-    sent.append(spark.sparkContext.broadcast(block))
+    sent = spark.sparkContext.broadcast(block)
 
     def make():
-        indexes = [x for b in sent if (x := Index(b.value, k, radius)).ids]
+        index = Index(sent.value, k, radius)
 
         def find(column: pa.Array) -> list[tuple]:
+            if not index.ids:
+                return []
             found = Words(*utf8(column), letters_only=True)
             h, first = shingle_hashes(found.hashes, found.first, k)
+            hit = index.anchors[np.minimum(np.searchsorted(index.anchors, h), index.anchors.size - 1)] == h
             rows = []
-            for index in indexes:
-                hit = index.anchors[np.minimum(np.searchsorted(index.anchors, h), index.anchors.size - 1)] == h
-                for n in np.unique(np.searchsorted(first, np.flatnonzero(hit), "right") - 1).tolist():
-                    words = found.hashes[found.first[n] : found.first[n + 1]]
-                    rows += [(n, *x) for x in index.search(words, percent)]
+            for n in np.unique(np.searchsorted(first, np.flatnonzero(hit), "right") - 1).tolist():
+                words = found.hashes[found.first[n] : found.first[n + 1]]
+                rows += [(n, *x) for x in index.search(words, percent)]
             return rows
 
         return find
@@ -160,34 +164,44 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 8
 
     Words are runs of letters, digits and characters beyond ASCII, A-Z in lower case. Null or empty texts and
     items hold nothing. Items of fewer than ``k`` words count as one shingle of all their words and are found in
-    texts of just these. Rows with a null doc_id or item_id are compared like others; repeated rows each give
-    theirs. Other columns are not read.
+    texts of just these. Rows with a null doc_id or item_id are compared like others; repeated rows of ``docs``
+    each give theirs, repeated items count once. Other columns are not read.
     """
-    make = _finder(items, k, percent, radius)
-
-    def run(batches):
-        find = make()
-        for batch in slices(batches, "text"):
-            ids = batch.column("doc_id")
-            rows = [(ids[n].as_py(), *x) for n, *x in find(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, [pa.int64()] * 4 + [pa.int32(), pa.float64()])],
-                ["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"],
-            )
-
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, _HITS)
+
+    def hits(make) -> DataFrame:
+        def run(batches):
+            find = make()
+            for batch in slices(batches, "text"):
+                ids = batch.column("doc_id")
+                rows = [(ids[n].as_py(), *x) for n, *x in find(batch.column("text"))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, [pa.int64()] * 4 + [pa.int32(), pa.float64()])],
+                    ["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"],
+                )
+
+        return texts.mapInArrow(run, _HITS)
+
+    return reduce(DataFrame.union, [hits(_finder(docs.sparkSession, block, k, percent, radius)) for block in _blocks(items)])
 
 
 def clean(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, radius: int = 19) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns; see ``contaminated``."""
-    make = _finder(items, k, percent, radius)
+    """The rows of ``docs`` that hold no item, with all their columns; see ``contaminated``.
+
+    What one block of items leaves is written before the next is looked for, so a task holds one block.
+    """
+    tables = Tables(docs.sparkSession, "decontaminated")
+
+    def kept(docs: DataFrame, make) -> DataFrame:
+        def run(batches):
+            find = make()
+            for batch in slices(batches, "text"):
+                keep = np.ones(batch.num_rows, bool)
+                keep[[n for n, *_ in find(batch.column("text"))]] = False
+                yield batch.filter(pa.array(keep))
 
-    def run(batches):
-        find = make()
-        for batch in slices(batches, "text"):
-            kept = np.ones(batch.num_rows, bool)
-            kept[[n for n, *_ in find(batch.column("text"))]] = False
-            yield batch.filter(pa.array(kept))
+        return docs.mapInArrow(run, docs.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    for n, block in enumerate(_blocks(items)):
+        docs = kept(tables.keep(docs, f"before{n}") if n else docs, _finder(docs.sparkSession, block, k, percent, radius))
+    return docs

@@ -84,7 +84,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _sampled(docs: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Feature rows of the documents with the given ids, in the order of ids. ``ids`` has a bounded number of rows."""
+    """Feature rows of the documents with the given ids, in the order of ids; of rows that repeat an id, the one with
+    the smallest text. ``ids`` has a bounded number of rows, so the result has too."""
 
     def run(batches):
         for batch in slices(batches, "text"):
@@ -93,8 +94,8 @@ def _sampled(docs: DataFrame, ids: DataFrame) -> np.ndarray:
                 [batch.column("doc_id"), pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), SIZE).cast(pa.list_(pa.float32()))], ["doc_id", "x"]
             )
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id bigint, x array<float>")
-    table = rows.toArrow().sort_by("doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    table = rows.mapInArrow(run, "doc_id bigint, x array<float>").toArrow().sort_by("doc_id")
     return np.array(table.column("x").combine_chunks().flatten()).reshape(-1, SIZE) if table.num_rows else np.zeros((0, SIZE), np.float32)
 
 

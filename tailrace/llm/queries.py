@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import functions as F
 
 from tailrace.llm import bpe, decontaminate, kd_shards, lm, near_dup, preference, quality, surrogates, topk, warc
 from tailrace.llm.tables import fold, source

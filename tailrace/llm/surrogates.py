@@ -195,15 +195,14 @@ def surrogated(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with every mention in ``text`` replaced, and n_entities, the number of mentions.
 
     A text without mentions, an empty and a null one stay as they are, with 0. Repeated rows are treated alike; no id is
-    needed. A column n_entities of ``docs`` is replaced, all others are kept. The table is read more than once and
-    must give rows in the same places each time, as a scan of files does.
+    needed. A column n_entities of ``docs`` is replaced, all others are kept. Texts that may hold a mention are
+    written once with a number each, so it does not matter how later readings are split over tasks.
     """
     tables = Tables(docs.sparkSession, "surrogates")
     docs = docs.select([F.col(f"`{c}`") for c in docs.columns if c.lower() != "n_entities"])
     taken = {c.lower() for c in docs.columns}
     uid, subs = (next(n for i in range(99) if (n := f"{base}{i}") not in taken) for base in ("uid", "subs"))
-    # numbered before any filter, so both readings number alike
-    touched = docs.withColumn(uid, F.monotonically_increasing_id()).where(F.col("text").rlike(HINT))
+    touched = tables.keep(docs.where(F.col("text").rlike(HINT)).withColumn(uid, F.monotonically_increasing_id()), "touched")
     plain = docs.where(F.col("text").isNull() | ~F.col("text").rlike(HINT)).withColumn("n_entities", F.lit(0))
     found = touched.select(F.col(uid).alias("uid"), F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("pos", "mention"))
     found = tables.keep(_described(found), "found")

@@ -48,6 +48,26 @@ def test_texts_pass_through(odd, none):
     assert decontaminate.clean(odd, items).count() == len(ROWS) - 5 and decontaminate.clean(odd, items.limit(0)).count() == len(ROWS)
 
 
+def test_items_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "_ITEMS_BYTES", 40)
+    texts = [" ".join(f"w{i}x{j}" for j in range(8)) for i in range(9)]
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:6])] * 2, "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, f"before {t} after") for i, t in enumerate(texts)], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()) == [(i, i) for i in range(6)]
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [6, 7, 8]
+
+
+def test_quality_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, None)], "doc_id bigint, text string")
+    assert quality._sampled(docs, docs.select("doc_id").distinct()).shape == (2, quality.SIZE)
+
+
+def test_surrogates_do_not_depend_on_partitions(spark):
+    docs = spark.createDataFrame([(i, f"mail to person{i}@site{i % 3}.org" if i % 2 else "nothing") for i in range(60)], "doc_id bigint, text string")
+    first, second = ({r.doc_id: r.text for r in surrogates.surrogated(docs.repartition(n), "k").collect()} for n in (1, 7))
+    assert first == second and len(set(first.values())) == 31
+
+
 def test_bpe_round_trip(odd, none):
     coded = bpe.encode(odd, vocabulary())
     back = [(r.doc_id, r.text) for r in bpe.decode(coded, vocabulary()).collect()]
