@@ -18,7 +18,8 @@ from tailrace.table_queries import QUERIES
 HEADLINES = (
     "interval_metrics topic_stats assign_topics redirect_audit server_load latest_owner running_offset rollover "
     "rollover_documents gap_audit fair_batch pending_messages replay_set fold_status_counters message_ids "
-    "order_log topic_log_round_trip count_blob_round_trip tail_round_trip stream_interval_metrics"
+    "order_log topic_log_round_trip count_blob_round_trip tail_round_trip stream_interval_metrics "
+    "rollover_in_segments stream_sink stream_status_counters progress_round_trip"
 ).split()
 
 WARM_UP = ("interval_metrics", "topic_log_round_trip", "stream_interval_metrics")

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tailrace.functions.columns import METRICS_TOPIC, floor_div
 
+# The intervals of a server, in seconds.
 SERVER_INTERVALS = (1, 10, 60, 300)
-TRAFFIC_INTERVALS = (1, 10, 30)
 
 _SPINE_BLOCK = 4096
 
@@ -27,7 +27,8 @@ def interval_metrics(
 
     ``msgs`` has ``topic`` and ``time`` (epoch milliseconds). A message belongs to tick
     ``floor((time - t0) / interval)``; ``time`` of the result is the tick's end in seconds since
-    ``t0``, which defaults to the first message. ``fill`` adds ticks in which nothing arrived.
+    ``t0``, which defaults to the first message; ticks before ``t0`` are negative. A message without a
+    time belongs to no tick. ``fill`` adds ticks from ``t0`` on in which nothing arrived.
 
     Messages are first counted per topic and greatest common interval, so only those counts, not the
     messages, are multiplied by the number of intervals. Both the counts and the empty ticks then meet
@@ -37,8 +38,6 @@ def interval_metrics(
     step = reduce(gcd, intervals)
     msgs = msgs.where(F.col("topic") != METRICS_TOPIC).select("topic", "time")
     msgs = msgs.where(F.col("time").isNotNull())
-    if t0 is not None:
-        msgs = msgs.where(F.col("time") >= t0)
     ends = F.struct(F.min("time").alias("first"), F.max("time").alias("last"))
     bounds = msgs.agg(ends).scalar()
     origin = bounds["first"] if t0 is None else F.lit(t0).cast("bigint")
@@ -52,7 +51,7 @@ def interval_metrics(
     ticks_per = F.call_function("div", F.col("interval"), F.lit(step))
     per_topic = (
         per_slot.select("topic", "n", "slot", every)
-        .withColumn("tick", F.call_function("div", F.col("slot"), ticks_per))
+        .withColumn("tick", floor_div(F.col("slot"), ticks_per))
         .groupBy("interval", "tick", "topic")
         .agg(F.sum("n").alias("messages"))
         .select("interval", "tick", "messages", F.lit(1).cast("bigint").alias("topics"))

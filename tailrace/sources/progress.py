@@ -38,7 +38,7 @@ def write_progress(offsets: DataFrame, seen: DataFrame, path: str, directory: st
     )
     versions = _versions(path)
     newest = max((v for v, _ in versions), default=0) + 1
-    state.select(F.to_json(F.struct("*"))).coalesce(1).write.text(f"{path.rstrip('/')}/v={newest:012d}")
+    state.select(F.to_json(F.struct("*"))).write.text(f"{path.rstrip('/')}/v={newest:012d}")
     system, _ = locate(path)
     for _, folder in sorted(versions)[: max(0, len(versions) + 1 - _KEPT_VERSIONS)]:
         system.delete_dir(folder)

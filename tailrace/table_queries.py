@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailrace.functions.columns import frame_size, message_id, same_hosts, stream_offset
+from tailrace.functions.columns import frame_size, message_id, name_offset, offset_name, same_hosts, stream_offset
 from tailrace.operators import audit, delivery, metrics, offsets, routing, status
 from tailrace.plans.rollover import rollover_plan
 from tailrace.session import fresh_dir
-from tailrace.sinks.topic_log import write_count_blob, write_metrics, write_topic_log
-from tailrace.sources.batch import read_count_blob, read_metrics, read_topic_log
+from tailrace.sinks.topic_log import valid_topics, write_count_blob, write_metrics, write_topic_log
+from tailrace.sources.batch import parse_payload, read_count_blob, read_metrics, read_topic_log, split_words
 from tailrace.sources.progress import read_progress, write_progress
 from tailrace.streaming import metrics as metric_stream
 from tailrace.streaming import status as status_stream
@@ -407,6 +407,37 @@ def valid_envelopes(spark, sf_dir):
     return audit.valid_envelopes(msgs, 1704500000000, 1706000000000).select("topic", "seq", "time")
 
 
+@query(
+    """SELECT event_id, lower(lpad(hex(event_id * 16), 16, '0')) AS name, event_id * 16 AS named_offset,
+    CASE WHEN regexp_full_match(event_type, '[0-9a-f]+') THEN 0 END AS type_offset FROM events"""
+)
+def file_names(spark, sf_dir):
+    """Names of offsets, the offsets of these names, and no offset for names that are none."""
+    named = table(spark, sf_dir, "events").select("event_id", offset_name(F.col("event_id") * 16).alias("name"), "event_type")
+    return named.select("event_id", "name", name_offset("name").alias("named_offset"), name_offset("event_type").cast("int").alias("type_offset"))
+
+
+@query(
+    r"""SELECT o_orderpriority AS topic, o_orderkey AS seq, regexp_full_match(o_orderpriority, '[0-9a-zA-Z_\-]+') AS valid
+    FROM orders"""
+)
+def topic_guard(spark, sf_dir):
+    """Orders by priority, one of which holds a space and is no name for a topic."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("topic"), F.col("o_orderkey").alias("seq"))
+    good, bad = valid_topics(orders)
+    return good.withColumn("valid", F.lit(True)).union(bad.withColumn("valid", F.lit(False)))
+
+
+@query(
+    """SELECT conv_id, turn, string_split(coalesce(text, ''), ' ')[1] AS word, string_split(coalesce(text, ''), ' ')[2] AS n
+    FROM conversations"""
+)
+def payload_words(spark, sf_dir):
+    """The first two words of every turn, parsed from its bytes."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.encode("text", "UTF-8").alias("payload"))
+    return parse_payload(turns, lambda p: split_words(p, ["word", "n"])).drop("payload")
+
+
 # --- delivery -----------------------------------------------------------------------------------------
 
 _EMITTED = """emitted AS (SELECT event_id AS msg_id, 'topic-' || user_id AS file, event_id * 16 AS record_offset,

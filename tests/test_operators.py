@@ -175,3 +175,9 @@ def test_progress_state(spark, tmp_path, monkeypatch):
     plain.write_text('{"oldFiles":[{"path":"/d/a"},"/d/b"],\n"inputDirectory":"/d","filePattern":".*","offsets":{"/d/a":12}}')
     got, seen = read_progress(spark, str(plain))
     assert [tuple(r) for r in got.collect()] == [("/d/a", 12)] and sorted(r.file for r in seen.collect()) == ["/d/a", "/d/b"]
+
+
+def test_interval_metrics_counts_messages_before_the_start(spark):
+    msgs = spark.createDataFrame([("a", -1500), ("a", 200), ("b", 2200)], "topic string, time bigint")
+    rows = {(r.tick, r.messages) for r in metrics.interval_metrics(msgs, (1,), t0=0).collect()}
+    assert rows == {(-2, 1), (0, 1), (1, 0), (2, 1)}
