@@ -1,12 +1,15 @@
 """Benchmark passages in documents: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
-A document is read in windows as long as each benchmark item, one word apart. A window's fingerprint has 64
+A document is read in windows as long as each benchmark item, one word apart; one with fewer words than the item
+is a single window. A window's fingerprint has 64
 bits; bit j is the sign of the sum of its shingles' weights, each added or taken away as bit j of its hash says.
 A weight is the number of times the shingle occurs. Fingerprints of items are indexed by ``radius + 1`` blocks
 of bits: two that differ in at most ``radius`` bits agree in one block at least, so looking up each block finds
 all of them. Whoever is within the radius is checked on the shingles themselves: the sum of the smaller over
 the sum of the larger weights must reach ``percent``.
 
+An item of fewer words than a shingle has is looked for as a shingle of its own length, word for word.
+
 A window without any shingle of the items has similarity 0 with each, so only windows around shared shingles are
 fingerprinted; that loses nothing. Items are sent to the tasks in blocks of bounded size, with a pass over the
 documents for each block (a benchmark of up to 4 MB of text is one).
@@ -50,24 +53,28 @@ class Index:
         self.blocks = [(np.uint64(a), np.uint64((1 << int(b - a)) - 1)) for a, b in zip(edges, edges[1:])]
         found = Words(*utf8(pa.array([t for _, t in items], pa.string())), letters_only=True)
         h, first = shingle_hashes(found.hashes, found.first, k)
-        self.ids, self.weights, self.prints = [], [], []
-        self.of_size: dict[int, list[int]] = defaultdict(list)
+        self.ids, self.weights, self.prints, sizes = [], [], [], []
+        self.short: dict[int, dict[int, list[int]]] = {}  # items shorter than a shingle: ids by length and hash
         self.lookup: dict[int, list[dict[int, list[int]]]] = {}
         for n, (item, _) in enumerate(items):
             own = h[first[n] : first[n + 1]]
             if not own.size:
                 continue  # an item without words is in no text
-            place = len(self.ids)
             size = int(found.first[n + 1] - found.first[n])
+            if size < k:
+                whole, _ = shingle_hashes(found.hashes[found.first[n] : found.first[n + 1]], np.array([0, size]), size)
+                self.short.setdefault(size, defaultdict(list))[int(whole[0])].append(item)
+                continue
+            place = len(self.ids)
+            sizes.append(size)
             self.ids.append(item)
             self.weights.append(Counter(own.tolist()))
             self.prints.append(fingerprints(signs(own).sum(axis=0)[None, :])[0])
-            self.of_size[size].append(place)
             tables = self.lookup.setdefault(size, [defaultdict(list) for _ in self.blocks])
             for table, (shift, mask) in zip(tables, self.blocks):
                 table[int(self.prints[-1] >> shift & mask)].append(place)
         self.prints = np.array(self.prints, np.uint64)
-        pairs = sorted({(s, size) for size, places in self.of_size.items() for p in places for s in self.weights[p]})
+        pairs = sorted({(s, size) for size, weights in zip(sizes, self.weights) for s in weights})
         self.shared = np.array([s for s, _ in pairs], np.uint64)
         self.size_of = np.array([size for _, size in pairs], np.int64)
         self.anchors = np.unique(self.shared)
@@ -86,7 +93,7 @@ class Index:
 
     def search(self, words: np.ndarray, percent: int) -> Iterator[tuple[int, int, int, int, float]]:
         """(item, first word, words, distance, similarity) of the best window of each item in one text."""
-        if words.size < min(self.of_size, default=1):
+        if words.size < self.k:
             return
         best: dict[int, tuple] = {}
         h, _ = shingle_hashes(words, np.array([0, words.size]), self.k)
@@ -97,17 +104,11 @@ class Index:
             for size in self.size_of[a:b].tolist():
                 wanted[size].append(at)
         for size, at in wanted.items():
-            if size > words.size:
-                continue
-            if size < self.k:  # an item shorter than a shingle is one shingle, which only a text that short has
-                starts = np.array([0]) if words.size == size else np.empty(0, np.int64)
-            else:
-                reach = size - self.k
-                starts = np.unique(np.concatenate([np.arange(max(0, x - reach), min(x, words.size - size) + 1) for x in at]))
-            width = max(size - self.k + 1, 1)
+            span = min(size, words.size)
+            reach = span - self.k
+            starts = np.unique(np.concatenate([np.arange(max(0, x - reach), min(x, words.size - span) + 1) for x in at]))
+            width = reach + 1
             for part in np.split(starts, range(4096, starts.size, 4096)):  # a part of the windows at a time
-                if not part.size:
-                    continue
                 base = part[0]
                 sums = np.zeros((part[-1] + width - base + 1, _BITS), np.int32)
                 np.cumsum(signs(h[base : part[-1] + width]), axis=0, out=sums[1:])
@@ -116,9 +117,22 @@ class Index:
                     s = int(part[row])
                     like = weighted_similarity(Counter(h[s : s + width].tolist()), self.weights[place])
                     if like * 100 >= percent and (place not in best or like > best[place][4]):
-                        best[place] = (self.ids[place], s, size, distance, like)
+                        best[place] = (self.ids[place], s, span, distance, like)
         yield from best.values()
 
+    def search_short(self, found: Words) -> Iterator[tuple[int, int, int, int, int, float]]:
+        """(text, item, first word, words, 0, 1.0) of the first place of each item shorter than a shingle in each text."""
+        for size, items in self.short.items():
+            h, first = shingle_hashes(found.hashes, found.first, size)
+            keys = np.array(sorted(items), np.uint64)
+            which = np.minimum(np.searchsorted(keys, h), keys.size - 1)
+            at = np.flatnonzero(keys[which] == h)
+            text = np.searchsorted(first, at, "right") - 1
+            _, once = np.unique(text * keys.size + which[at], return_index=True)
+            for n, x in zip(text[once].tolist(), at[once].tolist()):
+                for item in items[int(h[x])]:
+                    yield n, item, x - int(first[n]), size, 0, 1.0
+
 
 def weighted_similarity(a: Counter, b: Counter) -> float:
     common = sum(min(n, b[s]) for s, n in a.items() if s in b)
@@ -143,12 +157,14 @@ def _finder(spark: SparkSession, block: list[tuple], k: int, percent: int, radiu
         index = Index(sent.value, k, radius)
 
         def find(column: pa.Array) -> list[tuple]:
-            if not index.ids:
+            if not index.ids and not index.short:
                 return []
             found = Words(*utf8(column), letters_only=True)
+            rows = list(index.search_short(found))
+            if not index.ids:
+                return rows
             h, first = shingle_hashes(found.hashes, found.first, k)
             hit = index.anchors[np.minimum(np.searchsorted(index.anchors, h), index.anchors.size - 1)] == h
-            rows = []
             for n in np.unique(np.searchsorted(first, np.flatnonzero(hit), "right") - 1).tolist():
                 words = found.hashes[found.first[n] : found.first[n + 1]]
                 rows += [(n, *x) for x in index.search(words, percent)]
@@ -163,8 +179,8 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 8
     """One row for each row of ``docs`` and item it holds: the best window (first of equals), its distance and similarity.
 
     Words are runs of letters, digits and characters beyond ASCII, A-Z in lower case. Null or empty texts and
-    items hold nothing. Items of fewer than ``k`` words count as one shingle of all their words and are found in
-    texts of just these. Rows with a null doc_id or item_id are compared like others; repeated rows of ``docs``
+    items hold nothing. A text with fewer words than an item is compared whole. Items of fewer than ``k`` words are
+    found wherever all their words stand in a row. Rows with a null doc_id or item_id are compared like others; repeated rows of ``docs``
     each give theirs, repeated items count once. Other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

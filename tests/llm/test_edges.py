@@ -57,6 +57,17 @@ def test_items_in_several_blocks(spark, monkeypatch):
     assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [6, 7, 8]
 
 
+def test_items_cut_by_a_text_and_items_shorter_than_a_shingle(spark):
+    item = [f"w{j}" for j in range(50)]
+    texts = [item[:49], item[1:], item[1:49], item[:48], item[:41], item[:40], "a tiny item".split(), "it has a Tiny, item here a tiny item".split(), "a tiny".split()]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, "a tiny item"), (3, "here")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    rows = {(r.doc_id, r.item_id): (r.first_word, r.n_words, round(r.similarity, 3)) for r in decontaminate.contaminated(docs, items).collect()}
+    cut = {(0, 1): (0, 49, 0.978), (1, 1): (0, 49, 0.978), (2, 1): (0, 48, 0.957), (3, 1): (0, 48, 0.957), (4, 1): (0, 41, 0.804)}
+    assert rows == cut | {(6, 2): (0, 3, 1.0), (7, 2): (2, 3, 1.0), (7, 3): (5, 1, 1.0)}
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [5, 8]
+
+
 def test_quality_sample_is_bounded(spark):
     docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, None)], "doc_id bigint, text string")
     assert quality._sampled(docs, docs.select("doc_id").distinct()).shape == (2, quality.SIZE)
