@@ -1,13 +1,14 @@
 """Scores of texts by a log-bilinear language model trained with noise-contrastive estimation.
 
-The context vector is a sum of the two previous words' vectors, each through its own matrix; a word's logit is
-its product with that word's target vector, plus a bias. Words are the most frequent ``classes`` of the training
-texts, the end of a text among them; all others share one class, within which the corpus counts of every word
-decide, so the model is normalised over all words and one unseen.
-
-Every task trains on all training texts it reads, from the same start, and the parameters are averaged in a
-tree. Scoring needs no softmax per token: a logit is a sum of one term per context word, so the tables of both
-terms are two matrix products and the normalisers of all contexts are a third.
+The context vector is a sum of the two previous words' vectors, each through its own matrix. A word's probability
+is that of its class times that of the word in its class, and both are log-bilinear: a logit is the product of the
+context vector with a target vector, plus a bias. The ``frequent`` most frequent words of the training texts, the end
+of a text among them and no word seen once, have vectors of their own, as context and as target; a class is a run of them by frequency.
+All other words share one class and one context vector; within it the corpus counts of every word decide, so the
+model is normalised over all words and one unseen.
+
+Training goes in rounds, each over its own part of the texts. In a round every task trains on all texts it reads,
+from the same start, and each row of the parameters is averaged over the tasks that changed it, weighted by how often.
 """
 
 from __future__ import annotations
@@ -25,31 +26,40 @@ from tailrace.llm.words import Words, utf8
 END = np.uint64(0x0E0DE0DE0DE0DE0D)  # stands for the end of a text among word hashes
 _SLICE = 4 << 20
 _HELD = 4 << 20  # entries a task holds before it hands counts on or trains on what it has read
-_NOISE = 32
+_NOISE = 32  # classes
+_WORD_NOISE = 8  # words of the class
 _BATCH = 1024
+_ROUNDS = 3
+_SIZE = 32
+_PARTS = 5
 _HEAVY = 2.0  # times the mean weight
-_WEIGHTS = "part int, weight double, x array<float>"
+_COLUMNS = ["square", *[f"x{i}" for i in range(_SIZE + 1)]]
+_WEIGHTS = "part int, row int, weight double, " + ", ".join(f"{c} float" for c in _COLUMNS)
 
 
 @dataclass
 class Vocabulary:
-    """Frequent words: hashes in order, their counts, and their class (0: shared by all words without one)."""
+    """Frequent words: hashes in order and their numbers, which go from 1 by falling count (0: all other words)."""
 
     words: np.ndarray
-    counts: np.ndarray
-    classes: np.ndarray
+    numbers: np.ndarray
+    counts: np.ndarray  # of the frequent words, by number
+    per_class: int  # words in each class but the first, which is that of all other words
     share: np.ndarray  # of each class among the training tokens
     total: int  # training tokens
     distinct: int
-    rest_total: int  # training tokens without a class of their own
+    rest_total: int  # training tokens that are not frequent words
     rest_distinct: int
 
-    def find(self, tokens: np.ndarray) -> np.ndarray:
-        """Place of each token in ``words``, or -1."""
+    def class_of(self, numbers: np.ndarray) -> np.ndarray:
+        return (numbers + self.per_class - 1) // self.per_class
+
+    def number(self, tokens: np.ndarray) -> np.ndarray:
+        """Number of each token, 0 if it is no frequent word."""
         if not self.words.size:
-            return np.full(tokens.size, -1)
+            return np.zeros(tokens.size, np.int64)
         at = np.minimum(np.searchsorted(self.words, tokens), self.words.size - 1)
-        return np.where(self.words[at] == tokens, at, -1)
+        return np.where(self.words[at] == tokens, self.numbers[at], 0)
 
 
 class Texts:
@@ -66,12 +76,12 @@ class Texts:
         self.tokens[own], self.tokens[ends] = found.hashes, END
         self.rows = np.repeat(np.arange(count.size), count)
 
-    def contexts(self, classes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-        """Classes of the previous word and of the one before; ``start`` before a text."""
+    def contexts(self, numbers: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the previous word and of the one before; ``start`` before a text."""
         out = []
         for back in (1, 2):
-            c = np.full(classes.size, start)
-            c[back:] = classes[:-back]
+            c = np.full(numbers.size, start)
+            c[back:] = numbers[:-back]
             for j in range(back):
                 at = self.first[:-1] + j
                 c[at[at < self.first[1:]]] = start
@@ -113,137 +123,186 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, classes: int, frequent: int) -> Vocabulary:
-    """The ``frequent`` most frequent words (a bounded table) and the totals of all."""
+    """The ``frequent`` most frequent words (a bounded table) and the totals of all.
+
+    A word seen once is left to the shared class, from which the model learns how likely a word unseen is.
+    """
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(frequent).toArrow().to_pydict()
+    top = counts.where("c > 1").orderBy(F.desc("c"), "word").limit(frequent).toArrow().to_pydict()
     words, n = np.array(top["word"], np.int64).view(np.uint64), np.array(top["c"], np.int64)
-    rank = np.arange(words.size) + 1
-    own = np.where((rank < classes - 1) | (words == END), rank, 0)
-    if (words == END).any() and own[words == END][0] >= classes - 1:
-        own[words == END] = min(classes - 1, words.size)
-    share = np.full(classes, 0.1)
-    np.add.at(share, own[own > 0], n[own > 0])
-    rest = int(total) - int(n[own > 0].sum())
-    share[0] += rest
+    per_class = max(1, -(-words.size // (classes - 1)))
+    rest = int(total) - int(n.sum())
+    starts = np.arange(0, words.size, per_class)
+    share = np.concatenate(([rest], np.add.reduceat(n, starts) if starts.size else [])) + 0.1
     order = np.argsort(words)
-    return Vocabulary(words[order], n[order], own[order], share / share.sum(), int(total), int(distinct), rest, int(distinct) - int((own > 0).sum()))
+    return Vocabulary(words[order], order + 1, n, per_class, share / share.sum(), int(total), int(distinct), rest, int(distinct) - words.size)
 
 
 class Model:
-    """Word vectors (with one for the start of a text), a matrix per context place, target vectors and biases."""
+    """Context vectors (the last for the start of a text), a matrix per context place, target vectors of classes and words.
+
+    The last entry of a target vector is its bias.
+    """
 
-    def __init__(self, share: np.ndarray, size: int = 32):
+    def __init__(self, words: Vocabulary):
         rng = np.random.default_rng(7)
-        m = share.size
-        self.shapes = [(m + 1, size), (size, size), (size, size), (m, size), (m,)]
+        v, m = words.counts.size, words.share.size
+        self.words = words
+        own = words.class_of(np.arange(1, v + 1))
+        held = np.bincount(own, words.counts, minlength=m)
+        self.log_in_class = np.log(words.counts / held[own]).astype(np.float32)
+        self.until = np.concatenate(([0], np.cumsum(words.counts)))
         self.parts = [
-            rng.normal(0, 0.1, (m + 1, size)), np.eye(size), np.eye(size) * 0.5, rng.normal(0, 0.1, (m, size)), np.log(share)
+            rng.normal(0, 0.1, (v + 2, _SIZE)), np.eye(_SIZE), np.eye(_SIZE) * 0.5,
+            np.column_stack([np.zeros((m, _SIZE)), np.log(words.share)]),
+            np.column_stack([np.zeros((v, _SIZE)), self.log_in_class]),
         ]
         self.parts = [p.astype(np.float32) for p in self.parts]
-        self.squares = [np.full_like(p, 1e-6) for p in self.parts]
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parts])
-
-    def load(self, flat: np.ndarray) -> Model:
-        at = 0
-        for i, shape in enumerate(self.shapes):
-            n = int(np.prod(shape))
-            self.parts[i] = flat[at : at + n].reshape(shape).astype(np.float32)
-            at += n
-        return self
-
-    def step(self, c1, c2, word, weight, noise, log_noise, rate: float) -> None:
-        """One noise-contrastive step: the true word against ``noise`` words that the whole batch shares."""
-        e, m1, m2, q, b = self.parts
+        self.squares = [np.ones(len(p), np.float32) for p in self.parts]
+        self.changes = [np.zeros(len(p)) for p in self.parts]
+
+    def _add(self, part: int, rows: np.ndarray, g: np.ndarray, rate: float) -> None:
+        """Adds the gradients of some rows, a row's step scaled by the squares of its gradients so far."""
+        if not rows.size:
+            return
+        order = np.argsort(rows, kind="stable")
+        rows = rows[order]
+        start = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+        row, g = rows[start], np.add.reduceat(g[order], start)
+        self.squares[part][row] += np.einsum("ij,ij->i", g, g) / g.shape[1]
+        self.parts[part][row] += rate * g / np.sqrt(self.squares[part][row])[:, None]
+        self.changes[part][row] += np.diff(np.concatenate((start, [rows.size])))
+
+    def step(self, c1, c2, word, weight, rng, rate: float) -> None:
+        """One noise-contrastive step: the true class against classes that the batch shares, the true word against words of its class."""
+        e, m1, m2, qc, qw = self.parts
+        share, per = self.words.share, self.words.per_class
         v1, v2 = e[c1], e[c2]
-        r = v1 @ m1 + v2 @ m2
-        true = np.einsum("ij,ij->i", r, q[word]) + b[word] - log_noise[word]
-        false = r @ q[noise].T + b[noise] - log_noise[noise]
+        r = np.column_stack([v1 @ m1 + v2 @ m2, np.ones(word.size, np.float32)])
+        own = self.words.class_of(word)
+        noise = rng.choice(share.size, _NOISE, p=share)
+        log_noise = (np.log(share) + np.log(_NOISE)).astype(np.float32)
+        true = np.einsum("ij,ij->i", r, qc[own]) - log_noise[own]
+        false = r @ qc[noise].T - log_noise[noise]
         up = weight / (1 + np.exp(np.clip(true, -30, 30)))
         down = -weight[:, None] / (1 + np.exp(np.clip(-false, -30, 30)))
-        dr = up[:, None] * q[word] + down @ q[noise]
-        de, dq, db = np.zeros_like(e), np.zeros_like(q), np.bincount(word, up, minlength=b.size).astype(np.float32)
-        np.add.at(de, c1, dr @ m1.T)
-        np.add.at(de, c2, dr @ m2.T)
-        np.add.at(dq, word, up[:, None] * r)
-        np.add.at(dq, noise, down.T @ r)
-        np.add.at(db, noise, down.sum(axis=0))
-        for p, s, g in zip(self.parts, self.squares, (de, v1.T @ dr, v2.T @ dr, dq, db)):
-            g = g / weight.size
-            s += g * g
-            p += rate * g / np.sqrt(s)
-
-    def train(self, keys: np.ndarray, counts: np.ndarray, share: np.ndarray, rng, rate: float = 0.05) -> None:
+        dr = up[:, None] * qc[own] + down @ qc[noise]
+        self._add(3, np.concatenate((own, noise)), np.concatenate((up[:, None] * r, down.T @ r)), rate)
+        at = np.flatnonzero(word > 0) if per > 1 else np.empty(0, np.int64)
+        if at.size:
+            w, r_at, first = word[at] - 1, r[at], (own[at] - 1) * per
+            low, high = self.until[first], self.until[np.minimum(first + per, qw.shape[0])]
+            u = low[:, None] + (rng.random((at.size, _WORD_NOISE)) * (high - low)[:, None]).astype(np.int64)
+            both = np.column_stack([w, np.searchsorted(self.until, u.ravel(), "right").reshape(u.shape) - 1])
+            q = qw[both]
+            x = np.matmul(q, r_at[:, :, None])[:, :, 0] - self.log_in_class[both] - np.float32(np.log(_WORD_NOISE))
+            x[:, 0] = -x[:, 0]
+            g = -weight[at, None] / (1 + np.exp(np.clip(-x, -30, 30)))
+            g[:, 0] = -g[:, 0]
+            dr[at] += np.matmul(g[:, None, :], q)[:, 0]
+            self._add(4, both.ravel(), (g[:, :, None] * r_at[:, None, :]).reshape(-1, r.shape[1]), rate)
+        dr = dr[:, :_SIZE]
+        self._add(0, np.concatenate((c1, c2)), np.concatenate((dr @ m1.T, dr @ m2.T)), rate)
+        for part, v in ((1, v1), (2, v2)):
+            self._add(part, np.arange(_SIZE), v.T @ dr, rate)
+
+    def train(self, keys: np.ndarray, counts: np.ndarray, rng, rate: float = 0.05) -> None:
         """One pass over distinct (before, previous, word) triples in random order, weighted by their counts."""
-        m = share.size
-        log_noise = (np.log(share) + np.log(_NOISE)).astype(np.float32)
+        m = self.words.counts.size + 1
         weight = counts / counts.mean()
         copies = np.ceil(weight / _HEAVY).astype(np.int64)  # a heavy triple goes into several steps, in equal parts
         order = rng.permutation(np.repeat(np.arange(keys.size), copies))
         keys, weight = keys[order], (weight / copies)[order].astype(np.float32)
         for a in range(0, keys.size, _BATCH):
             k = keys[a : a + _BATCH]
-            noise = rng.choice(m, _NOISE, p=share)
-            self.step(k // m % (m + 1), k // m // (m + 1), k % m, weight[a : a + _BATCH], noise, log_noise, rate)
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """log10 terms of previous word and word, of the one before and word, and normalisers of all contexts."""
-        e, m1, m2, q, b = (p.astype(np.float64) for p in self.parts)
-        a1, a2 = e @ m1 @ q.T + b, e @ m2 @ q.T
-        t1, t2 = a1.max(axis=1, keepdims=True), a2.max(axis=1, keepdims=True)
-        z = np.log(np.exp(a1 - t1) @ np.exp(a2 - t2).T) + t1 + t2.T
-        return a1 / np.log(10), a2 / np.log(10), z / np.log(10)
-
-
-def trained(texts: DataFrame, words: Vocabulary, tables: Tables, fan_in: int = 16) -> Model:
-    """The average of the models that tasks train on their texts, weighted by their tokens, merged in a tree."""
-    sent = texts.sparkSession.sparkContext.broadcast(words)
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        words = sent.value
-        m, part = words.share.size, TaskContext.get().partitionId()
-        model, rng, done = Model(words.share), np.random.default_rng(part), 0
-        keys, counts, held = [], [], 0
-        for batch in slices(batches, "text", _SLICE):
-            found = Texts(batch.column("text"))
-            at = words.find(found.tokens)
-            own = np.where(at >= 0, words.classes[at], 0) if words.words.size else np.zeros(at.size, np.int64)
-            c1, c2 = found.contexts(own, m)
-            k, n = np.unique((c2 * (m + 1) + c1) * m + own, return_counts=True)
-            keys.append(k), counts.append(n)
-            held, done = held + k.size, done + own.size
-            if held > _HELD:
-                model.train(*_merge_counts(keys, counts), words.share, rng)
-                keys, counts, held = [], [], 0
-        if keys:
-            model.train(*_merge_counts(keys, counts), words.share, rng)
-        if done:
-            yield _weights(part, done, model.flat())
-
-    def average(table: pa.Table) -> pa.Table:
-        weight = np.array(table.column("weight"))
-        x = np.array(table.column("x").combine_chunks().flatten()).reshape(len(weight), -1)
-        return pa.Table.from_batches([_weights(table.column("part")[0].as_py() // fan_in, float(weight.sum()), weight @ x / weight.sum())])
-
-    models, level = tables.keep(texts.select("text").mapInArrow(run, _WEIGHTS), "models0"), 0
-    highest = models.agg(F.max("part")).first()[0]
-    model = Model(words.share)
-    if highest is None:
-        return model
-    while True:
-        level += 1
-        models = tables.keep(models.groupBy((F.col("part") / fan_in).cast("int")).applyInArrow(average, _WEIGHTS), f"models{level}")
-        if highest < fan_in:
-            return model.load(np.array(models.first()["x"], np.float32))
-        highest //= fan_in
-
-
-def _weights(part: int, weight: float, x: np.ndarray) -> pa.RecordBatch:
-    values = pa.array([x.astype(np.float32)], pa.list_(pa.float32()))
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([float(weight)]), values], ["part", "weight", "x"])
+            self.step(k // m % (m + 1), k // m // (m + 1), k % m, weight[a : a + _BATCH], rng, rate)
+
+    def changed(self):
+        """The rows that training has changed, as batches of ``_WEIGHTS``."""
+        for part, (p, s, n) in enumerate(zip(self.parts, self.squares, self.changes)):
+            rows = np.flatnonzero(n)
+            for a in range(0, rows.size, 1 << 13):
+                row = rows[a : a + (1 << 13)]
+                x = np.zeros((_SIZE + 1, row.size), np.float32)
+                x[: p.shape[1]] = p[row].T
+                arrays = [pa.array(np.full(row.size, part, np.int32)), pa.array(row.astype(np.int32)), pa.array(n[row]), pa.array(s[row]), *map(pa.array, x)]
+                yield pa.RecordBatch.from_arrays(arrays, ["part", "row", "weight", *_COLUMNS])
+
+    def load(self, rows: pa.Table) -> None:
+        part, row = np.array(rows.column("part")), np.array(rows.column("row"))
+        x = np.column_stack([np.array(rows.column(c)) for c in _COLUMNS]).astype(np.float32)
+        for n in range(_PARTS):
+            at = part == n
+            self.squares[n][row[at]] = x[at, 0]
+            self.parts[n][row[at]] = x[at, 1 : self.parts[n].shape[1] + 1]
+
+    def log_probs(self, c1: np.ndarray, c2: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """log10 probability of each word after the words ``c2``, ``c1``; of the shared class for word 0."""
+        e, m1, m2, qc, qw = self.parts
+        per, starts = self.words.per_class, self.words.counts.size + 2
+        pairs, which = np.unique(c2 * starts + c1, return_inverse=True)
+        r = np.ones((pairs.size, _SIZE + 1), np.float32)
+        z = np.empty(pairs.size, np.float32)
+        em1, em2 = self._products()
+        for a in range(0, pairs.size, 4096):
+            k = pairs[a : a + 4096]
+            r[a : a + 4096, :_SIZE] = em1[k % starts] + em2[k // starts]
+            z[a : a + 4096] = _log_sums(r[a : a + 4096] @ qc.T)
+        own = self.words.class_of(word)
+        out = np.einsum("ij,ij->i", r[which], qc[own]) - z[which]
+        if per > 1:
+            order = np.argsort(own, kind="stable")
+            edges = np.searchsorted(own[order], np.arange(1, qc.shape[0] + 1))
+            for c, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+                for at in np.split(order[a:b], range(1 << 14, b - a, 1 << 14)) if b > a else ():
+                    x = r[which[at]] @ qw[c * per : (c + 1) * per].T
+                    out[at] += x[np.arange(at.size), word[at] - 1 - c * per] - _log_sums(x)
+        return out.astype(np.float64) / np.log(10)
+
+    def _products(self) -> tuple[np.ndarray, np.ndarray]:
+        if not hasattr(self, "_held"):
+            self._held = self.parts[0] @ self.parts[1], self.parts[0] @ self.parts[2]
+        return self._held
+
+
+def _log_sums(x: np.ndarray) -> np.ndarray:
+    top = x.max(axis=1)
+    return np.log(np.exp(x - top[:, None]).sum(axis=1)) + top
+
+
+def trained(texts: DataFrame, words: Vocabulary, tables: Tables) -> Model:
+    """The model after all rounds; ``texts`` has doc_id, which tells a text's round."""
+    model = Model(words)
+    for turn in range(_ROUNDS):
+        sent = texts.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches, sent=sent, turn=turn):
+            import copy
+
+            from pyspark import TaskContext
+
+            model = copy.deepcopy(sent.value)  # a worker may serve several tasks
+            v, rng = model.words.counts.size, np.random.default_rng([turn, TaskContext.get().partitionId()])
+            keys, counts, held = [], [], 0
+            for batch in slices(batches, "text", _SLICE):
+                found = Texts(batch.column("text"))
+                own = model.words.number(found.tokens)
+                c1, c2 = found.contexts(own, v + 1)
+                k, n = np.unique((c2 * (v + 2) + c1) * (v + 1) + own, return_counts=True)
+                keys.append(k), counts.append(n)
+                held += k.size
+                if held > _HELD:
+                    model.train(*_merge_counts(keys, counts), rng)
+                    keys, counts, held = [], [], 0
+            if keys:
+                model.train(*_merge_counts(keys, counts), rng)
+            yield from model.changed()
+
+        rows = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(_ROUNDS)) == turn).select("text").mapInArrow(run, _WEIGHTS)
+        mean = [(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")).cast("float").alias(c) for c in _COLUMNS]
+        model.load(tables.keep(rows.groupBy("part", "row").agg(*mean), f"model{turn}").toArrow())
+        sent.unpersist()
+    return model
 
 
 _SCORED = (
@@ -252,31 +311,28 @@ _SCORED = (
 )
 
 
-def _frequent_parts(docs: DataFrame, words: Vocabulary, model: Model) -> DataFrame:
+def _frequent_parts(docs: DataFrame, model: Model) -> DataFrame:
     """For each text, the sums over its frequent words, and its distinct rare words, left to be looked up.
 
-    ``base`` holds log10(c + 0.1) of frequent words, ``model`` the model's log10 probabilities of all classes and
-    log10(c + 0.1) of frequent words in the shared class.
+    ``base`` holds log10(c + 0.1) of frequent words, ``model`` the model's log10 probabilities of frequent words and
+    of the shared class.
     """
-    sc = docs.sparkSession.sparkContext
-    sent = sc.broadcast((words, model))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         from pyspark import TaskContext
 
-        words, model = sent.value
-        m = words.share.size
-        a1, a2, z = model.tables()
+        model = sent.value
+        words = model.words
         uid = TaskContext.get().partitionId() << 40
-        logs = np.log10(words.counts + 0.1)
+        logs = np.log10(np.concatenate(([1.0], words.counts + 0.1)))  # 0 for rare words
         for batch in slices(batches, "text", _SLICE):
             found, rows = Texts(batch.column("text")), batch.num_rows
-            at = words.find(found.tokens)
-            frequent = at >= 0
-            own = np.where(frequent, words.classes[at], 0) if words.words.size else np.zeros(at.size, np.int64)
-            c1, c2 = found.contexts(own, m)
-            base = np.where(frequent, logs[at], 0) if words.words.size else np.zeros(at.size)
-            prob = a1[c1, own] + a2[c2, own] - z[c1, c2] + np.where(own == 0, base, 0)
+            own = words.number(found.tokens)
+            frequent = own > 0
+            c1, c2 = found.contexts(own, words.counts.size + 1)
+            base = logs[own]
+            prob = model.log_probs(c1, c2, own)
             total = lambda x: np.add.reduceat(x, found.first[:-1])  # noqa: E731  every text has its end
             rare = np.flatnonzero(~frequent)
             order = np.lexsort((found.tokens[rare], found.rows[rare]))
@@ -286,7 +342,7 @@ def _frequent_parts(docs: DataFrame, words: Vocabulary, model: Model) -> DataFra
             cut = np.searchsorted(r[new], np.arange(rows + 1)).astype(np.int32)
             arrays = [
                 pa.array(np.arange(uid, uid + rows)), batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(found.first)),
-                pa.array(total(frequent.astype(np.int64))), pa.array(total((own == 0).astype(np.int64))), pa.array(total(base)), pa.array(total(prob)),
+                pa.array(total(frequent.astype(np.int64))), pa.array(total((~frequent).astype(np.int64))), pa.array(total(base)), pa.array(total(prob)),
                 pa.ListArray.from_arrays(pa.array(cut), pa.array(t[new].view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(cut), pa.array(times.astype(np.int32))),
             ]
@@ -309,7 +365,7 @@ def scores(docs: DataFrame, held_out: F.Column, classes: int = 1024, frequent: i
     counts = tables.keep(token_counts(learned), "counts")
     words = vocabulary(counts, classes, frequent)
     model = trained(learned, words, tables)
-    scored = tables.keep(_frequent_parts(texts, words, model), "scored")
+    scored = tables.keep(_frequent_parts(texts, model), "scored")
     rare = scored.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("uid", F.col("w.rare").alias("word"), F.col("w.times").alias("n"))
     c = F.coalesce("c", F.lit(0))
     rare = rare.join(counts, "word", "left").groupBy("uid").agg(

@@ -3,6 +3,7 @@
 import random
 import uuid
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,25 @@ def test_language_model(odd, none):
     assert rows[3].n_tokens == rows[4].n_tokens == rows[7].n_tokens == 1 and rows[3].score == pytest.approx(rows[4].score)
 
 
+def test_language_model_of_words_within_classes(spark):
+    pairs = [(f"a{i}", f"b{(7 * i) % 60}") for i in range(60)]
+    rng = random.Random(1)
+    docs = spark.createDataFrame([(i, " ".join(w for _ in range(20) for w in rng.choice(pairs))) for i in range(1200)], "doc_id bigint, text string")
+    rows = lm.scores(docs, F.col("doc_id") % 10 == 0, classes=12).where("held_out").collect()
+    gain = (sum(r.score for r in rows) - sum(r.base_score for r in rows)) / sum(r.n_tokens for r in rows)
+    assert gain > 0.5  # which word comes second is certain; knowing no more than classes gives little
+
+
+def test_language_model_is_normalised():
+    n = np.sort(np.random.default_rng(1).integers(1, 50, 23))[::-1]
+    words = lm.Vocabulary(np.arange(23, dtype=np.uint64), np.arange(23) + 1, n, 4, np.full(7, 1 / 7), int(n.sum()) + 5, 25, 5, 2)
+    model = lm.Model(words)
+    model.train(np.arange(25 * 24 * 3), np.arange(25 * 24 * 3) % 9 + 1, np.random.default_rng(2))
+    every = np.arange(24)
+    for c1, c2 in ((24, 24), (3, 0), (0, 22)):
+        assert (10 ** model.log_probs(np.full(24, c1), np.full(24, c2), every)).sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_top_k(spark):
     v = [(20, [1.0, 0.5]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [1.0]), (None, [1.0, 1.0])]
     vectors = topk.quantized(spark.createDataFrame(v, "vec_id bigint, embedding array<float>"))
