@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 import test_topic_log as batch_tests
 from tailrace.operators.metrics import interval_metrics
-from tailrace.operators.status import fold_status_counters
+from tailrace.operators.status import counter_changes, fold_status_counters
 from tailrace.sinks.topic_log import write_topic_log
 from tailrace.sources.batch import read_topic_log
 from tailrace.streaming.metrics import on_tick, stream_interval_metrics
 from tailrace.streaming.sink import append_topic_log
+from tailrace.streaming import status
 from tailrace.streaming.status import stream_status_counters
 from tailrace.streaming.tail import tail_count_blob, tail_framed, tail_topic_log
 
@@ -203,3 +204,9 @@ def test_counters_in_batch_and_stream(spark, tmp_path):
         newest = changed.groupBy("id", "key").agg(F.max_by(F.struct("ivalue", "dvalue"), "batch").alias("v"))
         current = {(r.id, r.key): tuple(r.v) for r in newest.collect()}
     assert current == want
+
+
+def test_a_busy_counter_reaches_its_state_as_few_rows(spark):
+    notes = [(1, 7 * i, [("k", 1, 0.5, 100 if i == 900 else None, None)]) for i in range(3000)]
+    changes = status.folded_in_blocks(counter_changes(spark.createDataFrame(notes, NOTES).repartition(5)))
+    assert [(r.int_set, r.int_add, r.double_set, r.double_add) for r in changes.collect()] == [(100, 2100, None, 1500.0)]
