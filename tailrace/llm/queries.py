@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailrace.llm import bpe, decontaminate, kd_shards, lm, near_dup, preference, quality, surrogates, topk, warc
+from tailrace.llm import bpe, decontaminate, kd_shards, lm, merkle, near_dup, preference, quality, repair, surrogates, topk, warc
 from tailrace.llm.tables import fold, source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,130 @@ SURROGATE_KEY = "a key of the owner's; this one is for the driver's tables"
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = source(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.surrogated(docs, SURROGATE_KEY)
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text; the constants are the reversed polynomial and the mask of all bits."""
+    step = "list_reduce(list_concat([xor(a, b)], range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda a, b: {step}), 4294967295)"
+
+
+def _leaf_sql(text: str) -> str:
+    part = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')".format
+    return f"sha256({' || '.join(part(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+_PARENTS_SQL = "list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], '')))"
+
+
+@query(
+    f"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, source, {_leaf_sql("text")} AS leaf, CASE WHEN coalesce({_crc32_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0, false)
+        THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS tampered
+      FROM documents
+    ), p AS (
+      SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, tampered) - 1 AS pos
+      FROM d
+    ), t AS (
+      SELECT grp, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM p GROUP BY grp
+      UNION ALL SELECT grp, level + 1, {_PARENTS_SQL} FROM t WHERE len(nodes) > 1
+    ), s AS (
+      SELECT 0 AS level, list(nodes[1] ORDER BY grp) AS nodes FROM t WHERE len(nodes) = 1
+      UNION ALL SELECT level + 1, {_PARENTS_SQL} FROM s WHERE len(nodes) > 1
+    ), way AS (
+      SELECT p.grp, p.pos, t.level, t.nodes, CAST(p.pos // CAST(pow(3, t.level) AS BIGINT) AS BIGINT) AS place
+      FROM p JOIN t ON t.grp = p.grp WHERE len(t.nodes) > 1
+      UNION ALL SELECT p.grp, p.pos, 1000 + s.level, s.nodes, CAST(p.grp // CAST(pow(3, s.level) AS BIGINT) AS BIGINT)
+      FROM p CROSS JOIN s WHERE len(s.nodes) > 1
+    ), w AS (
+      SELECT grp, pos, list({{'cur': '', 'run': nodes[place // 3 * 3 + 1:place // 3 * 3 + 3], 'j': place % 3}} ORDER BY level) AS steps FROM way GROUP BY grp, pos
+    ), f AS (
+      SELECT p.doc_id, p.leaf, (SELECT nodes[1] FROM t WHERE t.grp = p.grp AND len(nodes) = 1) AS subroot,
+             (SELECT nodes[1] FROM s WHERE len(nodes) = 1) AS root,
+             sha256(coalesce(array_to_string(list_transform(steps, lambda x: array_to_string(list_concat(x.run[:x.j], x.run[x.j + 2:]), '')), ''), '')) AS proof_sha256,
+             list_reduce(list_concat([{{'cur': tampered, 'run': CAST([] AS VARCHAR[]), 'j': CAST(0 AS BIGINT)}}], coalesce(steps, [])), lambda a, b: {{
+               'cur': sha256(array_to_string(list_concat(list_concat(b.run[:b.j], [a.cur]), b.run[b.j + 2:]), '')), 'run': b.run, 'j': b.j}}).cur AS folded_root
+      FROM p LEFT JOIN w USING (grp, pos)
+    )
+    SELECT *, folded_root = root AS verified FROM f
+    """
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.documents_manifest(source(spark, sf_dir, "documents"), fold(parts=2) == 0)
+
+
+def _added(label: str, cost: str, letter: str) -> str:
+    """A walk, as six digits of cost and its audit, with one more edit; '~' is no walk."""
+    return f"CASE WHEN {label} = '~' THEN '~' ELSE lpad(CAST(CAST(substr({label}, 1, 6) AS INTEGER) + {cost} AS VARCHAR), 6, '0') || substr({label}, 7) || '{letter}' END"
+
+
+def _inserted(columns: str, relation: str) -> str:
+    """The least walks to the four roles when turns may still be inserted."""
+    user = f"least(c2, {_added('least(c0, c1, c3)', '3', 'I')})"
+    return f"SELECT {columns}, c0 AS l0, c1 AS l1, c2 AS l2, least(c3, {_added('c2', '3', 'I')}) AS l3 FROM (SELECT {columns}, c0, c1, {user} AS c2, c3 FROM {relation})"
+
+
+_KEPT = "CASE WHEN r.cut THEN 3 ELSE 0 END"
+_RETYPED = "CASE WHEN r.cut THEN 6 ELSE 3 END"
+_STEP_SQL = f"""
+    SELECT r.conv_id, r.i, {_added("l0", "4", "D")} AS c0,
+           least({_added("l1", "4", "D")}, CASE WHEN NOT r.bad AND r.initial = 's' THEN {_added("l0", _KEPT, "K")} ELSE '~' END) AS c1,
+           least({_added("l2", "4", "D")}, CASE WHEN NOT r.bad AND r.initial = 'u' THEN {_added("least(l0, l1, l3)", _KEPT, "K")} ELSE '~' END,
+                 CASE WHEN NOT r.bad THEN {_added("least(l0, l1, l3)", _RETYPED, "R")} ELSE '~' END) AS c2,
+           least({_added("l3", "4", "D")}, CASE WHEN NOT r.bad AND r.initial = 'a' THEN {_added("l2", _KEPT, "K")} ELSE '~' END,
+                 CASE WHEN NOT r.bad THEN {_added("l2", _RETYPED, "R")} ELSE '~' END) AS c3
+    FROM w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE o AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {_crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS f
+      FROM conversations
+    ), m AS (
+      SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+             CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy
+      FROM o WHERE f <> 0
+    ), n AS (
+      SELECT *, substr(role, 1, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+      FROM m
+    ), g AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM n), r AS (
+      SELECT conv_id, turn, role, text, initial, i, body = '' AS blank, again, body = '' OR again AS bad, body <> '' AND right(body, 1) NOT IN ('.', '!', '?') AS cut,
+             lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair
+      FROM g
+    ), w AS (
+      {_inserted("conv_id, i", "(SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '000000' AS c0, '~' AS c1, '~' AS c2, '~' AS c3 FROM conversations)")}
+      UNION ALL {_inserted("conv_id, i", f"({_STEP_SQL})")}
+    ), e AS (
+      SELECT conv_id, CAST(substr(least(l0, l3), 1, 6) AS BIGINT) AS cost, substr(least(l0, l3), 7) AS audit
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS back FROM w) WHERE back = 1
+    ), a AS (SELECT conv_id, unnest(string_split(audit, '')) AS op, unnest(range(1, length(audit) + 1)) AS j FROM e WHERE audit <> ''),
+    q AS (
+      SELECT *, CASE WHEN op <> 'I' THEN sum(CAST(op <> 'I' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY j) END AS i,
+             sum(CAST(op <> 'D' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY j) AS place
+      FROM a
+    ), k AS (
+      SELECT q.conv_id, q.op, q.place, r.role, r.text, max(CASE WHEN q.op = 'K' AND q.place = 1 AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY q.conv_id) AS lead
+      FROM q LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM q.conv_id AND r.i = q.i WHERE q.op <> 'D'
+    ), h AS (
+      SELECT conv_id, string_agg(CASE WHEN op = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN op = 'I' THEN '' ELSE text END, chr(10) ORDER BY place) AS lines
+      FROM k GROUP BY conv_id
+    ), c AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+             count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT bad) AS truncated,
+             count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM r GROUP BY conv_id
+    )
+    SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(lines, '')) AS repaired_sha256
+    FROM e LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM e.conv_id
+    """
+)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(*repair.damaged(source(spark, sf_dir, "conversations")))
