@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tailrace.llm import bpe, decontaminate, kd_shards, lm, merkle, near_dup, preference, quality, repair, surrogates, topk, warc
+from tailrace.llm import bpe, decontaminate, kd_shards, lm, merkle, near_dup, preference, quality, repair, repeats, surrogates, topk, warc
 from tailrace.llm.tables import fold, source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -317,3 +317,29 @@ _STEP_SQL = f"""
 )
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(*repair.damaged(source(spark, sf_dir, "conversations")))
+
+
+@query(
+    """
+    WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    piece AS (SELECT doc_id, n, a, substr(h, 2 * a + 1, 2198) AS p FROM (SELECT *, unnest(range(0, n - 99, 1000)) AS a FROM t)),
+    w AS (SELECT doc_id, a + i AS s, substr(p, 2 * i + 1, 200) AS w FROM (SELECT *, unnest(range(0, least(1000, n - 99 - a))) AS i FROM piece)),
+    again AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, s) AS place FROM w) WHERE place > 1),
+    run AS (
+      SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run
+      FROM (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS new FROM again)
+    ), span AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM run GROUP BY doc_id, run),
+    gap AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS c FROM span),
+    kept AS (
+      SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) AS body
+      FROM gap JOIN t USING (doc_id) GROUP BY doc_id
+    )
+    SELECT t.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(body, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+    FROM t LEFT JOIN kept ON kept.doc_id = t.doc_id
+    """
+)
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.without_repeats(source(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
