@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from tailrace.llm.ranks import numbered
 from tailrace.llm.tables import Tables, slices
 
-_ROWS = 512
 # Roles so far: none, system, user, assistant. A walk may end after none or after the assistant.
 NONE, SYSTEM, USER, ASSISTANT = range(4)
 _BEFORE = {SYSTEM: (NONE,), USER: (NONE, SYSTEM, ASSISTANT), ASSISTANT: (USER,)}
@@ -125,13 +124,13 @@ def _record(rows: list[dict], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([{name: row.get(name) for name, _ in fields} for row in rows], pa.schema(fields))
 
 
-def _solved(tree: int, block: int, rows: list[dict]) -> dict:
+def _solved(tree: int, block: int, rows: list[dict], block_rows: int) -> dict:
     """Counts of one block and the cheapest walks through it."""
     conv_id, rows = rows[0]["conv_id"], [r for r in rows if not r["gone"]]
     walked = [(r["initial"], r["blank"] or r["again"], r["cut"]) for r in rows]
     turns = [r["turn"] for r in rows if r["turn"] is not None]
     pairs = [a[0] + b[0] for a, b in zip(walked, walked[1:])]
-    whole = block == 0 and len(rows) < _ROWS
+    whole = block == 0 and len(rows) < block_rows
     starts = (NONE,) if block == 0 else range(4)
     ways = [(a, None, cheapest(walked, a, (NONE, ASSISTANT))) for a in starts] if whole else [(a, b, cheapest(walked, a, (b,))) for a in starts for b in range(4)]
     return {
@@ -152,21 +151,25 @@ def _solved(tree: int, block: int, rows: list[dict]) -> dict:
     }
 
 
-def _solve(batches):
+def _solve(block_rows: int):
     """Rows in order of (tree, block, pos) to one row per block."""
-    at, held = None, []
-    for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            if at != (row["tree"], row["block"]):
-                if held:
-                    out.append(_solved(*at, held))
-                at, held = (row["tree"], row["block"]), []
-            held.append(row)
-        if out:
-            yield _record(out, _BLOCKS)
-    if held:
-        yield _record([_solved(*at, held)], _BLOCKS)
+
+    def run(batches):
+        at, held = None, []
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                if at != (row["tree"], row["block"]):
+                    if held:
+                        out.append(_solved(*at, held, block_rows))
+                    at, held = (row["tree"], row["block"]), []
+                held.append(row)
+            if out:
+                yield _record(out, _BLOCKS)
+        if held:
+            yield _record([_solved(*at, held, block_rows)], _BLOCKS)
+
+    return run
 
 
 def _picked(blocks: list[dict]) -> list[dict]:
@@ -272,7 +275,7 @@ def _replay(batches):
         yield _record([current.done()], _OUT)
 
 
-def repaired(turns: DataFrame, present: Column | None = None) -> DataFrame:
+def repaired(turns: DataFrame, present: Column | None = None, block_rows: int = 512) -> DataFrame:
     """One row per conversation of ``turns`` (conv_id, turn, role, text): its faults, the cheapest repair and its digest.
 
     Rows stand by turn, nulls first, then by role and digest of the text. A null role or text counts as one space. Faults: a
@@ -305,9 +308,9 @@ def repaired(turns: DataFrame, present: Column | None = None) -> DataFrame:
     )
     light = numbered(light, ["conv", "gone", "seal"], ["place"], tables, "seen")
     light = light.select(F.col("conv").alias("tree"), "place", "conv_id", "turn", "gone", "initial", "blank", "cut", (F.col("pos") > 0).alias("again"))
-    block = lambda c: F.floor(F.col(c) / _ROWS).alias("block")
+    block = lambda c: F.floor(F.col(c) / block_rows).alias("block")
     blocks = light.withColumn("block", block("place")).repartition("tree", "block").sortWithinPartitions("tree", "block", "place").drop("place")
-    blocks = tables.keep(blocks.mapInArrow(_solve, _BLOCKS), "blocks")
+    blocks = tables.keep(blocks.mapInArrow(_solve(block_rows), _BLOCKS), "blocks")
     picks = tables.keep(blocks.repartition("tree").sortWithinPartitions("tree", "block").mapInArrow(_pick, _PICKS), "picks")
     texts = placed.where("not gone").select("tree", block("pos"), F.lit(2).alias("kind"), "pos", "role", "text")
     every = picks.unionByName(texts, allowMissingColumns=True).repartition("tree").sortWithinPartitions("tree", "block", "kind", "pos")

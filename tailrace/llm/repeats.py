@@ -33,7 +33,6 @@ from tailrace.llm.words import scramble, utf8
 
 _STEP = 1 << 19
 _PLACE_BITS = 20
-_MOST_ROWS = 2048
 _BLOCK_BYTES = 1 << 18
 _BASES = (0xD6E8FEB86659FD93, 0xA3B195354A39B70D)  # odd and arbitrary
 _ANCHORS = "key bigint, ctx bigint, ord bigint, at bigint, lo bigint, hi bigint"
@@ -69,7 +68,7 @@ class _Sums:
 def anchored(data: np.ndarray, offsets: np.ndarray, length: int):
     """Rows of windows with one anchor: text, anchor hash, hash of the content, anchor, first and last window.
 
-    ``data`` holds the texts at ``offsets``, of ``_STEP`` bytes and a window at most; places count from its start.
+    ``data`` holds the texts at ``offsets``, at most ``_STEP`` bytes and a window; places count from its start.
     """
     k = length // 2
     width, n = length - k + 1, data.size - length + 1
@@ -91,13 +90,13 @@ def anchored(data: np.ndarray, offsets: np.ndarray, length: int):
     return text[lo], first.hashes(anchor, anchor + k), _Sums(data, 1).hashes(lo, hi + length), anchor, lo, hi
 
 
-def _anchors(length: int):
+def _anchors(length: int, step: int):
     def run(batches):
-        for batch in slices(batches, "text", _STEP // 2):
+        for batch in slices(batches, "text", step // 2):
             data, offsets = utf8(batch.column("text"))
             ords = np.asarray(batch.column("ord"))
-            for a in range(0, max(data.size, 1), _STEP):  # only a long text of its own takes more than one step
-                part = data[a : a + _STEP + length - 1]
+            for a in range(0, max(data.size, 1), step):  # only a long text of its own takes more than one step
+                part = data[a : a + step + length - 1]
                 ends = offsets if a == 0 and part.size == data.size else np.array([0, part.size])
                 text, key, ctx, anchor, lo, hi = anchored(part, ends, length)
                 begin = offsets[text] - (0 if a == 0 else offsets[0]) - a
@@ -316,9 +315,9 @@ def _ordered(docs: DataFrame, tables: Tables) -> DataFrame:
     return numbered(docs, [], ["doc_id"], tables, "rows").select("doc_id", "text", F.col("pos").alias("ord"))
 
 
-def repeated_spans(rows: DataFrame, length: int, tables: Tables) -> DataFrame:
+def repeated_spans(rows: DataFrame, length: int, tables: Tables, most_rows: int = 2048, step: int = _STEP) -> DataFrame:
     """Spans (ord, start, end) in bytes of ``rows`` (ord, text) that windows with an earlier equal cover; they may overlap."""
-    anchors = rows.where(F.octet_length("text") >= length).select("ord", "text").mapInArrow(_anchors(length), _ANCHORS)
+    anchors = rows.where(F.octet_length("text") >= length).select("ord", "text").mapInArrow(_anchors(length, step), _ANCHORS)
     marked = _reduced(anchors, _ANCHORS, tables, "anchors")
     whole = F.col("lo").alias("start"), (F.col("hi") + length).alias("end")
     spans = [marked.where("not head").select("ord", *whole)]
@@ -326,7 +325,7 @@ def repeated_spans(rows: DataFrame, length: int, tables: Tables) -> DataFrame:
     texts = rows.select("ord", F.col("text").cast("binary").alias("text")).join(marks, "ord")
     places = tables.keep(texts.mapInArrow(_cut_out(length), _PLACES), "places")
     for i in range(length.bit_length()):
-        crowded = tables.keep(places.groupBy("key").count().where(F.col("count") > _MOST_ROWS).select("key"), f"crowded{i}")
+        crowded = tables.keep(places.groupBy("key").count().where(F.col("count") > most_rows).select("key"), f"crowded{i}")
         done = crowded.isEmpty()
         few = places if done else places.join(crowded, "key", "left_anti")
         few = few.select("key", "ord", "lo", "body").repartition("key").sortWithinPartitions("key")
@@ -360,18 +359,19 @@ def _removed(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
 
-def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 100, most_rows: int = 2048, step: int = _STEP) -> DataFrame:
     """doc_id, n_bytes, the ``spans`` removed and the bytes ``kept``, for every row of ``docs``.
 
     A byte goes if a string of ``length`` bytes covers it that also starts earlier: in a smaller doc_id, or further left
     in the same text. Texts are taken as UTF-8, a null one as empty; a shorter one keeps all. Null ids come first; rows
     that repeat an id count as texts of their own, in the order of the table. Spans are in bytes, apart from each
-    other, and may cut a character. Other columns are not read; an empty table gives no rows.
+    other, and may cut a character. Other columns are not read; an empty table gives no rows. An anchor with more than
+    ``most_rows`` surroundings is split; texts are read ``step`` bytes at a time. Neither changes the result.
     """
-    if length < 2:
-        raise ValueError("length must be 2 at least")
+    if not 2 <= length <= 1 << 16:
+        raise ValueError("length must be from 2 to 65,536")
     tables = Tables(docs.sparkSession, "repeats")
     rows = _ordered(docs, tables)
-    spans = repeated_spans(rows, length, tables).groupBy("ord").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = repeated_spans(rows, length, tables, most_rows, step).groupBy("ord").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = rows.withColumn("text", F.col("text").cast("binary")).join(spans, "ord", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_removed, "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")
