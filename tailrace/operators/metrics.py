@@ -27,8 +27,9 @@ def interval_metrics(
 
     ``msgs`` has ``topic`` and ``time`` (epoch milliseconds). A message belongs to tick
     ``floor((time - t0) / interval)``; ``time`` of the result is the tick's end in seconds since
-    ``t0``, which defaults to the first message; ticks before ``t0`` are negative. A message without a
-    time belongs to no tick. ``fill`` adds ticks from ``t0`` on in which nothing arrived.
+    ``t0``, which defaults to the first message; ticks before ``t0`` are negative. Messages without a time are counted in
+    a tick of their own, whose number and time are null. ``fill`` adds ticks from ``t0`` to the last message in which
+    nothing arrived; there are none if it came before ``t0``.
 
     Messages are first counted per topic and greatest common interval, so only those counts, not the
     messages, are multiplied by the number of intervals. Both the counts and the empty ticks then meet
@@ -37,7 +38,6 @@ def interval_metrics(
     intervals = sorted(set(intervals))
     step = reduce(gcd, intervals)
     msgs = msgs.where(F.col("topic") != METRICS_TOPIC).select("topic", "time")
-    msgs = msgs.where(F.col("time").isNotNull())
     ends = F.struct(F.min("time").alias("first"), F.max("time").alias("last"))
     bounds = msgs.agg(ends).scalar()
     origin = bounds["first"] if t0 is None else F.lit(t0).cast("bigint")
@@ -77,6 +77,7 @@ def _empty_ticks(spark: SparkSession, origin: Column, last_time: Column, every:
     zero = F.lit(0).cast("bigint")
     blocks = (
         spark.range(1)
+        .where(last_time >= origin)
         .select(every)
         .select("interval", last.alias("last"))
         .select("interval", "last", F.explode(F.sequence(zero, last_block)).alias("block"))

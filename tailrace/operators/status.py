@@ -26,8 +26,8 @@ def counter_changes(log: DataFrame) -> DataFrame:
 def fold_status_counters(log: DataFrame) -> DataFrame:
     """Final value of each counter, as ``ivalue`` and ``dvalue``, per process and key.
 
-    A value that is set replaces what came before it; an increment in the same entry is added to it. The
-    fold runs per short stretch of time first and then over the stretches, so a counter that gets most of
+    A value that is set replaces what came before it; an increment in the same entry is added to it. Of values set at
+    one time and place in their notes the largest counts, and all increments from there on. The fold runs per short stretch of time first and then over the stretches, so a counter that gets most of
     the log is still split over many tasks.
     """
     changes = counter_changes(log).withColumn("ord", F.struct("time", "pos"))

@@ -1,14 +1,17 @@
 """Writers of topic logs.
 
-Tasks write each planned file under a hidden name; the driver gives the files their final names when all
-tasks are done. A task that runs twice leaves a hidden file that is removed, never a doubled record.
+Tasks write each planned file under a hidden name. When all are done, the driver gives the files their final names, or,
+with a manifest, adds them to the log by one new file that lists them. A task that runs twice leaves a hidden file that is
+removed, never a doubled record. Files do not hold their own offset, so those of a writer that comes second to a topic
+are placed behind the other's without being written again.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import math
+import os
+import re
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -16,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +32,8 @@ from tailrace.plans.rollover import plan_spans
 from tailrace.session import written
 from tailrace.sources.batch import list_files
 from tailrace.sources.files import locate
+from tailrace.sources.index import STRIDE_BYTES, SparseIndex, index_path, write_index
+from tailrace.sources.manifest import Manifest, ManifestFile
 
 TASK_BYTES = 128 << 20
 MAX_BROADCAST_SPANS = 500_000
@@ -48,13 +54,17 @@ def write_topic_log(
     pad: int = TAKEOVER_PAD,
     sink: str | None = None,
     batch_id: int | None = None,
+    manifest: bool = False,
+    stride_bytes: int = STRIDE_BYTES,
 ) -> None:
     """Append ``msgs`` (``topic, seq, payload``, optional ``time``) to the topic log at ``base``.
 
     Records of a topic are written in ``seq`` order. A topic that holds files already goes on ``pad`` bytes
-    after their end. With ``sink`` and ``batch_id`` a batch that was written before is not written again.
+    after their end. With ``sink`` and ``batch_id`` a batch that was written before is not written again. With
+    ``manifest`` files keep names of their own and one list adds them all at once; the readers here know such files, others
+    that go by names do not. Files longer than ``stride_bytes`` get a sparse index.
     """
-    _append(msgs, base, max_file_bytes, pad, True, sink, batch_id)
+    _append(msgs, base, max_file_bytes, pad, True, sink, batch_id, manifest, stride_bytes)
 
 
 def write_count_blob(
@@ -64,13 +74,15 @@ def write_count_blob(
     pad: int = 0,
     sink: str | None = None,
     batch_id: int | None = None,
+    manifest: bool = False,
+    stride_bytes: int = STRIDE_BYTES,
 ) -> None:
     """As ``write_topic_log``, but the payload alone is the record.
 
     Every run adds files that go on where the topic ended; one file that all runs append to could not be
     written safely by tasks that may be repeated.
     """
-    _append(msgs, base, max_file_bytes, pad, False, sink, batch_id)
+    _append(msgs, base, max_file_bytes, pad, False, sink, batch_id, manifest, stride_bytes)
 
 
 def write_metrics(metrics: DataFrame, base: str, t0: int | None = None, **options) -> None:
@@ -94,11 +106,17 @@ def write_metrics(metrics: DataFrame, base: str, t0: int | None = None, **option
     write_topic_log(msgs, base, **options)
 
 
-def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id) -> None:
+def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id, manifest, stride_bytes) -> None:
     spark = msgs.sparkSession
     root = base.rstrip("/")
     journal = _Journal(root, sink, batch_id)
-    if journal.finish_earlier_try():
+    options = {"pad": pad, "stride": stride_bytes} | journal.options()
+    if manifest:
+        listed = Manifest(*locate(root)).snapshot()
+        if journal.active and journal.batch_id in listed.batches.get(sink, []):
+            return
+        options["version"] = listed.version
+    elif journal.finish_earlier_try(pad):
         return
     if envelope and "time" not in msgs.columns:
         msgs = msgs.withColumn("time", F.unix_millis(F.current_timestamp()))
@@ -110,7 +128,7 @@ def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id) -> None:
     with written(msgs.select("topic", "seq", frame_size("time", "payload", envelope).alias("size")), "sizes") as sizes:
         total = _totals(sizes)
         if not total.records:
-            return journal.close()
+            return None if manifest else journal.close()
         system, path = locate(root)
         system.create_dir(path, recursive=True)
         ends = topic_end_offset(list_files(spark, root, OFFSET_NAME_PATTERN))
@@ -119,10 +137,10 @@ def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id) -> None:
         block_bits = min(62, max(0, int(math.log2(per_file * total.span / total.records))))
         plan = plan_spans(sizes, ends, max_file_bytes, pad, total.largest, block_bits)
         with written(plan, "spans") as spans:
-            _write_files(msgs, spans, block_bits, total, root, envelope, journal)
+            _write_files(msgs, spans, block_bits, total, root, envelope, options)
 
 
-def _write_files(msgs, spans, block_bits, total, root, envelope, journal) -> None:
+def _write_files(msgs, spans, block_bits, total, root, envelope, options) -> None:
     spark = msgs.sparkSession
     count, files = spans.agg(F.count(F.lit(1)), F.count_distinct("topic", "base_offset")).first()
     index = spans.select("topic", "block", "base_offset", "first_seq", "last_seq")
@@ -140,7 +158,7 @@ def _write_files(msgs, spans, block_bits, total, root, envelope, journal) -> Non
         .select("topic", "base_offset", "time", "payload")
         .write.format("topic_log_sink")
         .mode("append")
-        .options(path=root, envelope=envelope, run=uuid.uuid4().hex, **journal.options())
+        .options(path=root, envelope=envelope, run=uuid.uuid4().hex, **options)
         .options(records=total.records, bytes=total.bytes)
         .save()
     )
@@ -177,9 +195,20 @@ def _totals(sizes: DataFrame) -> _Totals:
 # --- files --------------------------------------------------------------------------------------------
 
 
+@dataclass
+class _File:
+    topic: str
+    base_offset: int
+    hidden: str
+    final: str
+    bytes: int = 0
+    records: int = 0
+    indexed: bool = False
+
+
 @dataclass
 class _Written(WriterCommitMessage):
-    files: list[tuple[str, str]]
+    files: list[_File]
     records: int
     bytes: int
 
@@ -200,37 +229,51 @@ class TopicLogSink(DataSource):
 
 class _Writer(DataSourceArrowWriter):
     def __init__(self, options: dict):
+        options = {k.lower(): v for k, v in options.items()}
         self.root = options["path"]
         self.envelope = options["envelope"] == "true"
         self.run = options["run"]
+        self.pad, self.stride = int(options["pad"]), int(options["stride"])
         self.planned = int(options["records"]), int(options["bytes"])
-        self.journal = _Journal(self.root, options.get("sink"), options.get("batchid") or options.get("batchId"))
+        self.version = int(options["version"]) if "version" in options else None
+        self.journal = _Journal(self.root, options.get("sink"), options.get("batchid"))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         system, root = locate(self.root)
         attempt = uuid.uuid4().hex
-        done: list[tuple[str, str]] = []
-        records = size = 0
-        current, out = None, None
+        done: list[_File] = []
+        current, out, index = None, None, None
+
+        def finish() -> None:
+            out.close()
+            if len(index.rows) > 1:
+                write_index(system, done[-1].hidden, index, attempt)
+                done[-1].indexed = True
+
         try:
             for batch in iterator:
-                records += batch.num_rows
                 frames = encode_frames(batch.column("time") if self.envelope else None, batch.column("payload"))
+                sizes = pa.compute.binary_length(frames).to_numpy()
                 for key, first, last in _runs(batch):
                     if key != current:
                         if out is not None:
-                            out.close()
-                        current = key
+                            finish()
+                        current, index = key, SparseIndex(self.stride)
                         folder, name = f"{root}/{key[0]}", f"{key[1]:016x}"
                         hidden = f"{folder}/.{name}.{self.run}.{attempt}"
                         system.create_dir(folder, recursive=True)
                         out = system.open_output_stream(hidden)
-                        done.append((hidden, f"{folder}/{name}"))
-                    size += out.write(frame_bytes(frames.slice(first, last - first)))
-        finally:
+                        done.append(_File(*key, hidden, f"{folder}/{name}"))
+                    data = frame_bytes(frames.slice(first, last - first))
+                    index.add(sizes[first:last], batch.column("time").slice(first, last - first) if self.envelope else None, bytes(data[:64]))
+                    done[-1].bytes += out.write(data)
+                    done[-1].records += last - first
             if out is not None:
+                finish()
+        finally:
+            if out is not None and not out.closed:
                 out.close()
-        return _Written(done, records, size)
+        return _Written(done, sum(f.records for f in done), sum(f.bytes for f in done))
 
     def commit(self, messages) -> None:
         done = [m for m in messages if m is not None]
@@ -240,17 +283,31 @@ class _Writer(DataSourceArrowWriter):
                 f"planned {self.planned} but wrote {written} records and bytes: the messages changed between two reads"
             )
         files = [f for m in done for f in m.files]
-        self.journal.intend(files)
-        _publish(self.root, files)
+        if self.version is not None:
+            return self._list(files)
+        indexed = {f.hidden for f in files if f.indexed}
+        _publish_behind(self.root, [(f.hidden, f.final) for f in files], self.pad, self.journal, indexed)
         self.journal.close()
-        self._sweep({final.rsplit("/", 1)[0] for _, final in files})
+        self._sweep({f.final.rsplit("/", 1)[0] for f in files})
+
+    def _list(self, files: list[_File]) -> None:
+        """Add the files to the manifest, under the names they have."""
+        manifest = Manifest(*locate(self.root))
+        rows = [ManifestFile(f.topic, f.base_offset, f.hidden.rsplit("/", 1)[1], f.bytes, f.records) for f in files]
+        sink = (self.journal.sink, self.journal.batch_id) if self.journal.active else (None, None)
+        added = manifest.append(rows, manifest.snapshot(self.version), self.pad, *sink)
+        kept = {p for f in files for p in (f.hidden, index_path(f.hidden))} if added else set()
+        self._sweep({f.final.rsplit("/", 1)[0] for f in files}, kept)
 
     def abort(self, messages) -> None:
         system, root = locate(self.root)
         if system.get_file_info(root).type == pafs.FileType.Directory:
             entries = system.get_file_info(pafs.FileSelector(root))
             # What a plan names is left for the next try of the batch, which completes it.
-            self._sweep({e.path for e in entries if e.type == pafs.FileType.Directory}, {h for h, _ in self.journal.intended()})
+            kept = {h for h, _ in self.journal.intended()}
+            listed = {f"{root}/{f.topic}/{f.file}" for f in Manifest(system, root).files()} if self.version is not None else set()
+            kept |= listed
+            self._sweep({e.path for e in entries if e.type == pafs.FileType.Directory}, kept | {index_path(p) for p in kept})
 
     def _sweep(self, folders: set[str], keep: set[str] = frozenset()) -> None:
         """Remove hidden files that repeated or failed tasks of this run left behind."""
@@ -284,7 +341,7 @@ def _exists(system: pafs.FileSystem, path: str) -> bool:
     return system.get_file_info(path).type != pafs.FileType.NotFound
 
 
-def _publish(root: str, files: list[tuple[str, str]], resumed: bool = False) -> None:
+def _publish(root: str, files: list[tuple[str, str]], resumed: bool = False, indexed: set[str] | None = None) -> None:
     """Give files their final names. An existing file is never replaced."""
     system, _ = locate(root)
 
@@ -298,6 +355,9 @@ def _publish(root: str, files: list[tuple[str, str]], resumed: bool = False) ->
             if not _exists(system, final):
                 raise FileNotFoundError(f"neither {hidden} nor {final} is there")
             return
+        if indexed is None or hidden in indexed:
+            if _exists(system, index_path(hidden)):
+                system.copy_file(index_path(hidden), index_path(final))
         if isinstance(system, pafs.LocalFileSystem):
             try:
                 os.link(hidden, final)  # unlike a rename, fails if the name is taken
@@ -314,6 +374,40 @@ def _publish(root: str, files: list[tuple[str, str]], resumed: bool = False) ->
     _in_parallel(move, files)
 
 
+def _publish_behind(root: str, files: list[tuple[str, str]], pad: int, journal: _Journal, indexed: set[str] | None, resumed: bool = False) -> None:
+    """Publish files; where another writer has taken a name, the topic's files that are left go behind that writer's."""
+    while True:
+        files = _behind_others(root, files, pad)
+        journal.intend(files)
+        try:
+            return _publish(root, files, resumed, indexed)
+        except FileExistsError:
+            resumed = True
+            if _behind_others(root, files, pad) == files:  # what stands there is no file of a log
+                raise
+
+
+def _behind_others(root: str, files: list[tuple[str, str]], pad: int) -> list[tuple[str, str]]:
+    """``files`` with new names for those that cannot have theirs any more, and for all that follow them in the topic."""
+    system, _ = locate(root)
+    there = {i.path: i.type for f in _chunks([p for pair in files for p in pair]) for i in system.get_file_info(f)}
+    same = lambda hidden, final: isinstance(system, pafs.LocalFileSystem) and os.path.samefile(hidden, final)
+    waiting = [(h, f) for h, f in files if there[h] == pafs.FileType.File and not (there[f] == pafs.FileType.File and same(h, f))]
+    new_names: dict[str, str] = {}
+    for folder in {f.rpartition("/")[0] for _, f in waiting if there[f] == pafs.FileType.File}:
+        left = [(h, int(f.rpartition("/")[2], 16)) for h, f in waiting if f.rpartition("/")[0] == folder]
+        entries = [e for e in system.get_file_info(pafs.FileSelector(folder)) if e.type == pafs.FileType.File]
+        end = max(int(e.base_name, 16) + e.size for e in entries if re.fullmatch(OFFSET_NAME_PATTERN, e.base_name))
+        shift = end + pad - min(b for _, b in left)
+        new_names |= {h: f"{folder}/{b + shift:016x}" for h, b in left}
+    return [(h, new_names.get(h, f)) for h, f in files]
+
+
+def _chunks(paths: list[str], size: int = 1000) -> Iterator[list[str]]:
+    for i in range(0, len(paths), size):
+        yield paths[i : i + size]
+
+
 class _Journal:
     """Remembers which batches of a sink were published, so that a repeated batch adds nothing."""
 
@@ -336,7 +430,7 @@ class _Journal:
             out.write(text.encode())
         system.move(f"{folder}/{name}.tmp", f"{folder}/{name}")
 
-    def finish_earlier_try(self) -> bool:
+    def finish_earlier_try(self, pad: int = TAKEOVER_PAD) -> bool:
         """True when the batch is already there; completes one that stopped while being published."""
         if not self.active:
             return False
@@ -349,7 +443,7 @@ class _Journal:
         if not any(_exists(system, f) for pair in files for f in pair):  # nothing is left of that try: write anew
             system.delete_file(f"{folder}/{self.batch_id}.plan")
             return False
-        _publish(self.root, files, resumed=True)
+        _publish_behind(self.root, files, pad, self, None, resumed=True)
         self.close()
         return True
 

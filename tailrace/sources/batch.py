@@ -1,13 +1,17 @@
 """Batch readers of topic logs.
 
 The files are listed and packed into tasks by size; each task then streams its files in chunks, so memory
-does not grow with a file. A file has no marks at which it could be split, so one far above the
-usual limit is first walked from header to header and cut at record starts, and the parts are spread out.
+does not grow with a file. The bytes of a file have no marks at which it could be split; its sparse index tells
+where records begin, so a file far above the usual size is cut there and its parts are spread out.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +21,14 @@ from pyspark.sql import types as T
 
 from tailrace.functions.codec import decode_data_point, decode_envelopes, frame_bodies, split_frames
 from tailrace.functions.columns import METRICS_TOPIC, OFFSET_NAME_PATTERN
-from tailrace.sources.files import read_complete
+from tailrace.sources.files import locate, read_complete
+from tailrace.sources.index import STRIDE_BYTES, SparseIndex, read_index, write_index
 from tailrace.sources.listing import TopicLogFiles
 
 PART_BYTES = 256 << 20
 
 _PLACE = "topic string, file string, base_offset bigint"
+_PLACE_NAMES = ("topic", "file", "base_offset")
 RECORDS = f"{_PLACE}, record_offset bigint, stream_offset bigint, time bigint, payload binary"
 BLOBS = f"{_PLACE}, record_offset bigint, content binary"
 
@@ -55,10 +61,16 @@ def read_topic_log(
     topic_dirs: bool = True,
     topics: str | None = None,
     part_bytes: int = PART_BYTES,
+    columns: list[str] | None = None,
+    where: list[tuple[str, str, object]] | None = None,
 ) -> DataFrame:
-    """Messages of a topic log; an unfinished record at the end of a file is left out."""
-    files = _with_start(list_files(spark, base, pattern, topic_dirs, topics), starting_offsets)
-    return _scan(files, envelope_reader, RECORDS, part_bytes)
+    """Messages of a topic log; an unfinished record at the end of a file is left out.
+
+    ``columns`` are decoded and nothing else. ``where`` has conditions (column, operator, value) that all have to be true,
+    with ``=``, ``<``, ``<=``, ``>``, ``>=``, ``in`` or ``startswith``. Those on topic, file and base_offset keep folders
+    from being listed and files from being opened; those on time and record_offset skip strides of indexed files.
+    """
+    return _read(spark, base, "envelope", pattern, starting_offsets, topic_dirs, topics, part_bytes, columns, where)
 
 
 def read_count_blob(
@@ -69,10 +81,65 @@ def read_count_blob(
     topic_dirs: bool = True,
     topics: str | None = None,
     part_bytes: int = PART_BYTES,
+    columns: list[str] | None = None,
+    where: list[tuple[str, str, object]] | None = None,
 ) -> DataFrame:
-    """Length-prefixed records without envelope."""
-    files = _with_start(list_files(spark, base, pattern, topic_dirs, topics), starting_offsets)
-    return _scan(files, blob_reader, BLOBS, part_bytes)
+    """Length-prefixed records without envelope; see ``read_topic_log``."""
+    return _read(spark, base, "blob", pattern, starting_offsets, topic_dirs, topics, part_bytes, columns, where)
+
+
+def _read(spark, base, kind, pattern, starting_offsets, topic_dirs, topics, part_bytes, columns, where) -> DataFrame:
+    from tailrace.sources.scan import TopicLogRecords, as_column  # which uses the readers below
+
+    schema = T._parse_datatype_string(RECORDS if kind == "envelope" else BLOBS)
+    columns, where = columns or schema.names, where or []
+    kept = reduce(and_, map(as_column, where), F.lit(True))
+    if isinstance(starting_offsets, DataFrame):  # of any size, so they are joined
+        files = _with_start(list_files(spark, base, pattern, topic_dirs, topics), starting_offsets)
+        recs = _parts_of(files, envelope_reader if kind == "envelope" else blob_reader, RECORDS if kind == "envelope" else BLOBS, part_bytes)
+        return recs.where(kept).select(columns)
+    spark.dataSource.register(TopicLogRecords)
+    tasks = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
+    options = {"path": base, "kind": kind, "pattern": pattern, "topicDirs": str(topic_dirs).lower(), "tasks": str(tasks)}
+    options |= {"partBytes": str(part_bytes), "startingOffsets": json.dumps(starting_offsets or {}), "conditions": json.dumps(where)}
+    if topics is not None:
+        options["topics"] = topics
+    decoded = [c for c in schema.names if c in columns or c in {name for name, _, _ in where}]
+    recs = spark.read.format("topic_log").schema(T.StructType([schema[c] for c in decoded])).options(**options).load()
+    return recs.where(kept).select(columns)
+
+
+def index_topic_log(
+    spark: SparkSession,
+    base: str,
+    pattern: str = OFFSET_NAME_PATTERN,
+    topic_dirs: bool = True,
+    topics: str | None = None,
+    envelope: bool = True,
+    stride_bytes: int = STRIDE_BYTES,
+) -> int:
+    """Write the sparse index of every file that is longer than a stride and has none; returns how many were written.
+
+    The writers of this package index their files themselves. Others' files are walked here, one per task at a time.
+    """
+    files = list_files(spark, base, pattern, topic_dirs, topics).where(F.col("length") > stride_bytes)
+
+    def build(batches):
+        for batch in batches:
+            done = 0
+            for f in batch.to_pylist():
+                system, path = locate(f["file"])
+                if read_index(system, path, f["length"]) is not None:
+                    continue
+                index = SparseIndex(stride_bytes)
+                for buf, at, starts, used in _frames(f["file"], 0, f["length"]):
+                    times = decode_envelopes(buf, starts, used, f"after byte {at} of {path}")[0] if envelope else None
+                    index.add(np.diff(np.append(starts, used)), times, buf[:64])
+                write_index(system, path, index, uuid.uuid4().hex)
+                done += 1
+            yield pa.RecordBatch.from_pydict({"written": pa.array([done], pa.int64())})
+
+    return files.mapInArrow(build, "written bigint").agg(F.sum("written")).first()[0] or 0
 
 
 def read_framed(
@@ -153,12 +220,11 @@ def _with_start(files: DataFrame, starting_offsets) -> DataFrame:
     return files.join(start, "file", "left").withColumn("start", F.coalesce("_from", zero)).drop("_from")
 
 
-def _scan(files: DataFrame, reader, schema: str, part_bytes: int) -> DataFrame:
-    usual = _whole_files(files.where(F.col("length") - F.col("start") <= 2 * part_bytes), reader, schema)
-    large = files.where(F.col("length") - F.col("start") > 2 * part_bytes)
+def _parts_of(files: DataFrame, reader, schema: str, part_bytes: int) -> DataFrame:
+    """Records of ``files`` from their start on. One listing makes the parts, and only these are shuffled."""
     tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = large.mapInArrow(_cut_files(part_bytes), f"{_PLACE}, start bigint, length bigint")
-    return usual.unionByName(_whole_files(parts.repartition(tasks, "file", "start"), reader, schema))
+    parts = files.select(*_PLACE_NAMES, "start", "length").mapInArrow(_cut_files(part_bytes), f"{_PLACE}, start bigint, length bigint")
+    return _whole_files(parts.repartition(tasks, "file", "start"), reader, schema)
 
 
 def _whole_files(files: DataFrame, reader, schema: str) -> DataFrame:
@@ -170,8 +236,10 @@ def _whole_files(files: DataFrame, reader, schema: str) -> DataFrame:
     return files.select("topic", "file", "base_offset", "start", "length").mapInArrow(read, schema)
 
 
-def placer(f: dict):
-    def place(offsets: np.ndarray, columns: dict[str, pa.Array], stream: bool = False) -> pa.RecordBatch:
+def placer(f: dict, columns: list[str] | None = None):
+    """Adds where records come from; with ``columns`` the batch has these, in this order."""
+
+    def place(offsets: np.ndarray, values: dict[str, pa.Array], stream: bool = False) -> pa.RecordBatch:
         n = len(offsets)
         out = {
             "topic": pa.repeat(pa.scalar(f["topic"], pa.string()), n),
@@ -182,7 +250,8 @@ def placer(f: dict):
         if stream:
             known = f["base_offset"] is not None
             out["stream_offset"] = pa.array(offsets + f["base_offset"]) if known else pa.nulls(n, pa.int64())
-        return pa.RecordBatch.from_pydict(out | columns)
+        batch = pa.RecordBatch.from_pydict(out | values)
+        return batch.select(columns) if columns is not None else batch
 
     return place
 
@@ -195,16 +264,17 @@ def _frames(path: str, start: int, end: int):
     return read_complete(path, start, end, consume)
 
 
-def envelope_reader(path: str, start: int, end: int, place, position=None) -> Iterator[pa.RecordBatch]:
+def envelope_reader(path: str, start: int, end: int, place, position=None, columns=("time", "payload")) -> Iterator[pa.RecordBatch]:
+    decoded = "time" in columns or "payload" in columns
     for buf, at, starts, used in _frames(path, start, end):
-        time, payload = decode_envelopes(buf, starts, used, f"after byte {at} of {path}")
-        yield place(starts + at, {"time": time, "payload": payload}, stream=True)
+        time, payload = decode_envelopes(buf, starts, used, f"after byte {at} of {path}") if decoded else (None, None)
+        yield place(starts + at, {"time": time, "payload": payload} if decoded else {}, stream=True)
         _advance(position, at + used)
 
 
-def blob_reader(path: str, start: int, end: int, place, position=None) -> Iterator[pa.RecordBatch]:
+def blob_reader(path: str, start: int, end: int, place, position=None, columns=("content",)) -> Iterator[pa.RecordBatch]:
     for buf, at, starts, used in _frames(path, start, end):
-        yield place(starts + at, {"content": frame_bodies(buf, starts, used)})
+        yield place(starts + at, {"content": frame_bodies(buf, starts, used)} if "content" in columns else {})
         _advance(position, at + used)
 
 
@@ -221,11 +291,19 @@ def _cuts(path: str, start: int, end: int, part_bytes: int) -> Iterator[tuple[in
 
 
 def _cut_files(part_bytes: int):
+    """Parts of files; without an index, a file far above ``part_bytes`` is walked from header to header."""
+
+    def parts(f: dict) -> list[tuple[int, int]]:
+        if f["length"] - f["start"] <= 2 * part_bytes:
+            return [(f["start"], f["length"])]
+        system, path = locate(f["file"])
+        index = read_index(system, path, f["length"])
+        return index.cuts(f["start"], f["length"], part_bytes) if index else list(_cuts(f["file"], f["start"], f["length"], part_bytes))
+
     def cut(batches):
         for batch in batches:
             for f in batch.to_pylist():
-                cuts = _cuts(f["file"], f["start"], f["length"], part_bytes)
-                rows = [(f["topic"], f["file"], f["base_offset"], a, b) for a, b in cuts]
+                rows = [(f["topic"], f["file"], f["base_offset"], a, b) for a, b in parts(f)]
                 yield _batch(f"{_PLACE}, start bigint, length bigint", rows)
 
     return cut

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyarrow import fs as pafs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tailrace.functions.columns import OFFSET_NAME_PATTERN, TOPIC_PATTERN
 from tailrace.sources.files import locate
+from tailrace.sources.manifest import Manifest
 
 FILES = "topic string, file string, name string, base_offset bigint, length bigint"
 
@@ -19,11 +21,27 @@ TASK_BYTES = 128 << 20
 OPEN_COST_BYTES = 4 << 20
 
 
-def topic_files(base: str, pattern: str, topic_dirs: bool, topics: str | None = None) -> list[tuple[str, str, int]]:
-    """``(topic, name, bytes)`` of each file whose whole name matches, by topic and name.
+class LogFile(NamedTuple):
+    """A file of a log: its name by offset, bytes, name on disk, offset of its first byte and time of its last change.
+
+    A file of the manifest never changes; its time is 0.
+    """
+
+    topic: str
+    name: str
+    size: int
+    physical: str
+    base_offset: int | None
+    changed: int
+
+
+def topic_files(
+    base: str, pattern: str, topic_dirs: bool, topics: str | None = None, keep: Callable[[str], bool] = lambda topic: True
+) -> list[LogFile]:
+    """Files whose whole name matches, by topic and name: those in the folders and those of the log's manifest.
 
     With ``topic_dirs`` every directory below ``base`` is a topic, or those whose whole name matches
-    ``topics``; otherwise ``base`` itself is one.
+    ``topics`` and that ``keep`` lets through; no other is listed. Otherwise ``base`` itself is one.
     """
     system, root = locate(base.rstrip("/"))
     wanted = re.compile(pattern)
@@ -32,25 +50,46 @@ def topic_files(base: str, pattern: str, topic_dirs: bool, topics: str | None =
     def entries(folder: str, missing_ok: bool = False) -> list:
         return system.get_file_info(pafs.FileSelector(folder, allow_not_found=missing_ok))
 
-    def files(topic: str, folder: str, missing_ok: bool = False) -> list[tuple[str, str, int]]:
+    def files(topic: str, folder: str, missing_ok: bool = False) -> list[LogFile]:
         return [
-            (topic, e.base_name, e.size)
+            LogFile(topic, e.base_name, e.size, e.base_name, base_offset_of(e.base_name), e.mtime_ns or 0)
             for e in entries(folder, missing_ok)
             if e.type == pafs.FileType.File and e.base_name[0] not in "._" and wanted.fullmatch(e.base_name)
         ]
 
     if not topic_dirs:
-        return sorted(files(root.rsplit("/", 1)[-1], root))
-    folders = [
-        e.base_name
-        for e in entries(root)
-        if e.type == pafs.FileType.Directory
-        and re.fullmatch(TOPIC_PATTERN, e.base_name)
-        and wanted_topics.fullmatch(e.base_name)
-    ]
+        topic, above = root.rsplit("/", 1)[-1], root.rsplit("/", 1)[0]
+        listed = _manifest_files(Manifest(system, above), wanted, lambda t: t == topic)
+        return sorted(files(topic, root) + listed, key=_order) if keep(topic) else []
+    chosen = lambda t: bool(re.fullmatch(TOPIC_PATTERN, t) and wanted_topics.fullmatch(t) and keep(t))
+    folders = [e.base_name for e in entries(root) if e.type == pafs.FileType.Directory and chosen(e.base_name)]
     with ThreadPoolExecutor(32) as pool:
         found = list(pool.map(lambda t: files(t, f"{root}/{t}", missing_ok=True), folders))
-    return sorted(f for part in found for f in part)
+    return sorted([f for part in found for f in part] + _manifest_files(Manifest(system, root), wanted, chosen), key=_order)
+
+
+def _order(f: LogFile) -> tuple:
+    return f.topic, f.name, f.physical
+
+
+def _manifest_files(manifest: Manifest, wanted: re.Pattern, chosen: Callable[[str], bool]) -> list[LogFile]:
+    listed = (LogFile(f.topic, f"{f.base_offset:016x}", f.bytes, f.file, f.base_offset, 0) for f in manifest.files())
+    return [f for f in listed if chosen(f.topic) and wanted.fullmatch(f.name)]
+
+
+def packed(items: list, size: Callable[[object], int], tasks: int) -> list[list]:
+    """Items in order, in groups of about equal cost for ``tasks`` tasks or more."""
+    cost = sum(size(i) + OPEN_COST_BYTES for i in items)
+    room = min(TASK_BYTES, max(OPEN_COST_BYTES, cost // tasks))
+    groups: list[list] = [[]]
+    filled = 0
+    for item in items:
+        if groups[-1] and filled + size(item) + OPEN_COST_BYTES > room:
+            groups.append([])
+            filled = 0
+        groups[-1].append(item)
+        filled += size(item) + OPEN_COST_BYTES
+    return groups
 
 
 def full_path(base: str, topic: str, name: str, topic_dirs: bool) -> str:
@@ -82,7 +121,7 @@ class TopicLogFiles(DataSource):
 
 
 class _Files(InputPartition):
-    def __init__(self, files: list[tuple[str, str, int]]):
+    def __init__(self, files: list[LogFile]):
         self.files = files
 
 
@@ -96,18 +135,8 @@ class _FileReader(DataSourceReader):
 
     def partitions(self):
         found = topic_files(self.base, self.pattern, self.topic_dirs, self.topics)
-        cost = sum(size + OPEN_COST_BYTES for _, _, size in found)
-        room = min(TASK_BYTES, max(OPEN_COST_BYTES, cost // self.tasks))
-        parts: list[list] = [[]]
-        filled = 0
-        for f in found:
-            if parts[-1] and filled + f[2] + OPEN_COST_BYTES > room:
-                parts.append([])
-                filled = 0
-            parts[-1].append(f)
-            filled += f[2] + OPEN_COST_BYTES
-        return [_Files(p) for p in parts]
+        return [_Files(p) for p in packed(found, lambda f: f.size, self.tasks)]
 
     def read(self, partition: _Files) -> Iterator[tuple]:
-        for topic, name, size in partition.files:
-            yield topic, full_path(self.base, topic, name, self.topic_dirs), name, base_offset_of(name), size
+        for f in partition.files:
+            yield f.topic, full_path(self.base, f.topic, f.physical, self.topic_dirs), f.name, f.base_offset, f.size

@@ -22,7 +22,7 @@ _STATE = "int_value bigint, double_value double"
 def stream_status_counters(log: DataFrame) -> DataFrame:
     """Current ``ivalue`` and ``dvalue`` of every counter that a batch changes (update mode).
 
-    Entries of a batch apply in note order, batches in the order they arrive. They
+    Entries of a batch apply in note order, ties as in ``fold_status_counters``; batches in the order they arrive. They
     are folded per stretch of time first, so the state function sees one row per counter and 4.7 hours of a batch.
     """
     changes = folded_in_blocks(counter_changes(log))
@@ -51,14 +51,18 @@ def _as_one(changes: pa.Table) -> pa.Table:
     if changes.num_rows == 1:
         return changes
     time, pos = (changes.column(c).to_numpy() for c in ("time", "pos"))
-    changes = changes.take(pa.array(np.lexsort((pos, time))))
+    order = np.lexsort((pos, time))
+    changes, time, pos = changes.take(pa.array(order)), time[order], pos[order]
     row = changes.slice(changes.num_rows - 1).to_pylist()[0]
     for kind, total in (("int", lambda added: int(added.to_numpy().sum())), ("double", lambda added: math.fsum(added.to_pylist()))):
         sets, adds = changes.column(f"{kind}_set"), changes.column(f"{kind}_add")
+        first = 0
         places = np.flatnonzero(sets.is_valid().to_numpy())
-        last = int(places[-1]) if places.size else 0
-        row[f"{kind}_set"] = sets[last].as_py()
-        added = adds.slice(last).drop_null()
+        if places.size:  # what was set last, with all that stands at the same time and place
+            last = int(places[-1])
+            first = int(np.flatnonzero((time == time[last]) & (pos == pos[last]))[0])
+            row[f"{kind}_set"] = max(sets.slice(first, last + 1 - first).drop_null().to_pylist())
+        added = adds.slice(first).drop_null()
         row[f"{kind}_add"] = total(added) if len(added) else None
     return pa.Table.from_pylist([row], changes.schema)
 

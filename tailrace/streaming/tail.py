@@ -1,7 +1,7 @@
 """Endless reading of growing topic files.
 
-The source plans byte ranges only: its offsets are file sizes, so a batch that runs again reads the same
-bytes. The ranges go to a stateful operator keyed by file, whose state is where the next record begins. It
+The source plans byte ranges only: its offsets stand for file sizes, so a batch that runs again reads the same
+bytes; see ``positions`` for how they stay small. The ranges go to a stateful operator keyed by file, whose state is where the next record begins. It
 reads the new bytes itself, which keeps payloads out of the shuffle and the state at a few bytes per file;
 an unfinished record stays in the file until the rest of it has arrived.
 """
@@ -18,7 +18,10 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 from tailrace.functions.columns import OFFSET_NAME_PATTERN
 from tailrace.sources.batch import BLOBS, RECORDS, Framing, blob_reader, envelope_reader, framed_reader, placer
+from tailrace.sources.files import locate
 from tailrace.sources.listing import base_offset_of, full_path, topic_files
+from tailrace.sources.manifest import Manifest
+from tailrace.streaming.positions import MOST_CHANGED, Positions, replaced
 
 _GONE = -1
 # Without this, pandas turns whole numbers with gaps into doubles.
@@ -36,7 +39,8 @@ def tail_topic_log(
 ) -> DataFrame:
     """Streaming messages of a topic log, including new topics, new files and growth of any file.
 
-    ``starting_offsets`` (file to offset) seeds a query without checkpoint. A file that vanishes is forgotten.
+    ``starting_offsets`` (file to offset) seeds a query without checkpoint. A file that vanishes is forgotten; one that
+    becomes shorter or begins with other bytes is read from its start.
     """
     ranges = _ranges(spark, base, pattern, starting_offsets, topic_dirs, topics)
     return _follow(ranges, envelope_reader, RECORDS)
@@ -75,8 +79,8 @@ def _follow(ranges: DataFrame, reader, schema: str) -> DataFrame:
                     state.remove()
                 continue
             at, seen = state.get if state.exists else (row.first, row.first)
-            if row.until < seen:
-                at = 0  # shorter than before: the file was deleted and created again
+            if row.other or row.until < seen:
+                at = 0  # the file was deleted and created again
             base_offset = None if pd.isna(row.base_offset) else int(row.base_offset)
             place = placer({"topic": topic, "file": file, "base_offset": base_offset})
             position = _Position(at)
@@ -111,7 +115,7 @@ class TopicLogRanges(DataSource):
         return "topic_log_ranges"
 
     def schema(self) -> str:
-        return "topic string, file string, base_offset bigint, first bigint, until bigint"
+        return "topic string, file string, base_offset bigint, first bigint, until bigint, other boolean"
 
     def streamReader(self, schema):
         return _RangeReader(dict(self.options))
@@ -123,7 +127,7 @@ class _Ranges(InputPartition):
 
 
 class _RangeReader(DataSourceStreamReader):
-    """Offsets are ``{file: bytes}``, with files named from the base directory on."""
+    """Offsets stand for the bytes of each file, with files named from the base directory on."""
 
     def __init__(self, options: dict):
         options = {k.lower(): v for k, v in options.items()}
@@ -132,31 +136,40 @@ class _RangeReader(DataSourceStreamReader):
         self.topic_dirs = options["topicdirs"] == "true"
         self.topics = options.get("topics")
         self.starting = json.loads(options["startingoffsets"])
+        view = json.dumps([self.pattern, self.topic_dirs, self.topics])
+        self.positions = Positions(self.root, view, self.topic_dirs, int(options.get("mostchanged", MOST_CHANGED)))
 
     def initialOffset(self) -> dict:
         prefix = full_path(self.root, "", "", False)
-        return {f.removeprefix(prefix): n for f, n in self.starting.items()}
+        return {"parts": [], "changed": {f.removeprefix(prefix): [n, "", 0] for f, n in self.starting.items()}}
 
     def latestOffset(self) -> dict:
-        return self._sizes()
+        return self.positions.offset(topic_files(self.root, self.pattern, self.topic_dirs, self.topics))
 
     def partitions(self, start: dict, end: dict):
-        rows = [self._row(f, start.get(f, 0), n) for f, n in end.items() if start.get(f, 0) != n]
-        rows += [self._row(f, 0, _GONE) for f in start if f not in end]
+        before, now = self.positions.files(start), self.positions.files(end)
+        on_disk = self._listed_names()
+        rows = [
+            self._row(f, before[f][0] if f in before else 0, e[0], f in before and replaced(before[f], e), on_disk)
+            for f, e in now.items()
+            if f not in before or before[f][:2] != e[:2]
+        ]
+        rows += [self._row(f, 0, _GONE, False, on_disk) for f in before if f not in now]
         cuts = range(0, len(rows), _RANGES_PER_TASK)
         return [_Ranges(rows[i : i + _RANGES_PER_TASK]) for i in cuts] or [_Ranges([])]
 
     def read(self, partition):
         yield from partition.rows
 
-    def _full(self, file: str) -> str:
-        topic, _, name = file.rpartition("/")
-        return full_path(self.root, topic, name, self.topic_dirs)
+    def _listed_names(self) -> dict[str, str]:
+        """Names on disk of the files that the manifest adds."""
+        system, path = locate(self.root)
+        if self.topic_dirs:
+            return {f"{f.topic}/{f.base_offset:016x}": f.file for f in Manifest(system, path).files()}
+        above, topic = path.rsplit("/", 1)
+        return {f"{f.base_offset:016x}": f.file for f in Manifest(system, above).files() if f.topic == topic}
 
-    def _row(self, file: str, first: int, until: int) -> tuple:
+    def _row(self, file: str, first: int, until: int, other: bool, on_disk: dict[str, str]) -> tuple:
         topic, _, name = file.rpartition("/")
-        return topic or self.root.rsplit("/", 1)[-1], self._full(file), base_offset_of(name), first, until
-
-    def _sizes(self) -> dict:
-        listed = topic_files(self.root, self.pattern, self.topic_dirs, self.topics)
-        return {f"{topic}/{name}" if self.topic_dirs else name: size for topic, name, size in listed}
+        path = full_path(self.root, topic, on_disk.get(file, name), self.topic_dirs)
+        return topic or self.root.rsplit("/", 1)[-1], path, base_offset_of(name), first, until, other

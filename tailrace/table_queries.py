@@ -504,23 +504,24 @@ def next_seen(spark, sf_dir):
 
 
 def status_log(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> DataFrame:
-    """Each event is a note with two entries: sign-ups set a counter of the user, others add to it."""
+    """Each event is a note with two entries: sign-ups set a counter of the user, others add to it, in cents and in quarters."""
     cents = F.round(F.col("value") * 100).cast("bigint")
+    quarters = F.floor(F.col("value") * 4).cast("double") / 4
     signup = F.col("event_type") == "signup"
     none_int, none_big, none_double = (F.lit(None).cast(t) for t in ("int", "bigint", "double"))
 
-    def entry(key, add, set_):
+    def entry(key, add, set_, double_add, double_set):
         return F.struct(
             F.lit(key).alias("key"),
             add.cast("int").alias("integerIncrement"),
-            none_double.alias("doubleIncrement"),
+            double_add.alias("doubleIncrement"),
             set_.alias("ivalue"),
-            none_double.alias("dvalue"),
+            double_set.alias("dvalue"),
         )
 
     notes = F.array(
-        entry("cents", F.when(~signup, cents), F.when(signup, cents)),
-        entry("seen", F.lit(1), none_big),
+        entry("cents", F.when(~signup, cents), F.when(signup, cents), F.when(~signup, quarters), F.when(signup, quarters)),
+        entry("seen", F.lit(1), none_big, none_double, none_double),
     )
     return (source or table(spark, sf_dir, "events")).select(
         F.col("user_id").cast("int").alias("id"), F.col("event_id").alias("time"), notes.alias("count")
@@ -528,15 +529,17 @@ def status_log(spark: SparkSession, sf_dir: str, source: DataFrame | None = None
 
 
 @query(
-    """WITH e AS (SELECT user_id::INT AS id, event_id, event_type, round(value * 100)::BIGINT AS cents FROM events),
-    last_set AS (SELECT id, max(event_id) AS set_at, arg_max(cents, event_id) AS start FROM e WHERE event_type = 'signup' GROUP BY id)
+    """WITH e AS (SELECT user_id::INT AS id, event_id, event_type, round(value * 100)::BIGINT AS cents, floor(value * 4) / 4 AS quarters FROM events),
+    last_set AS (SELECT id, max(event_id) AS set_at, arg_max(cents, event_id) AS start, arg_max(quarters, event_id) AS q FROM e WHERE event_type = 'signup' GROUP BY id)
     SELECT id, 'cents' AS key, (coalesce(any_value(start), 0) + coalesce(sum(cents) FILTER
-      (WHERE event_type <> 'signup' AND (set_at IS NULL OR event_id > set_at)), 0))::BIGINT AS ivalue
+      (WHERE event_type <> 'signup' AND (set_at IS NULL OR event_id > set_at)), 0))::BIGINT AS ivalue,
+      (coalesce(any_value(q), 0) + coalesce(sum(quarters) FILTER
+      (WHERE event_type <> 'signup' AND (set_at IS NULL OR event_id > set_at)), 0))::DOUBLE AS dvalue
     FROM e LEFT JOIN last_set USING (id) GROUP BY id
-    UNION ALL SELECT id, 'seen', count(*) FROM e GROUP BY id"""
+    UNION ALL SELECT id, 'seen', count(*), NULL FROM e GROUP BY id"""
 )
 def fold_status_counters(spark, sf_dir):
-    return status.fold_status_counters(status_log(spark, sf_dir)).drop("dvalue")
+    return status.fold_status_counters(status_log(spark, sf_dir))
 
 
 # --- files and streams --------------------------------------------------------------------------------
@@ -697,4 +700,4 @@ def stream_status_counters(spark, sf_dir):
 
     _run(changed.foreachBatch(keep), f"{work}/checkpoint")
     newest = spark.read.parquet(f"{work}/out").groupBy("id", "key")
-    return newest.agg(F.max_by("ivalue", "batch").alias("ivalue"))
+    return newest.agg(F.max_by("ivalue", "batch").alias("ivalue"), F.max_by("dvalue", "batch").alias("dvalue"))

@@ -128,18 +128,38 @@ def test_balance_before_and_after_failures(spark):
         assert loads == want
 
 
-def test_negative_ids_sort_unsigned_and_long_lists_are_refused(spark, monkeypatch):
+def test_negative_ids_sort_unsigned_and_long_lists_are_joined(spark, monkeypatch):
     ranks = {r.server_id: r.pos for r in routing.server_rank(members(spark, [-1, 5, 2**62])).collect()}
     assert ranks == {5: 0, 2**62: 1, -1: 2}
-    monkeypatch.setattr(routing, "MAX_SERVERS", 2)
-    with pytest.raises(Exception, match="more than 2 servers"):
-        routing.server_rank(members(spark, [1, 2, 3])).collect()
+    sent = spark.range(300).select(F.concat(F.lit("topic-"), F.col("id") % 30).alias("topic"), F.col("id").alias("received_by"))
+    alive, other = members(spark, [7, 1, 2**62, -5]), members(spark, [1, 2])
+
+    def all_of_them():
+        found = (routing.assign_topics(sent, alive), routing.redirect_audit(sent, alive), routing.server_load(sent, alive), routing.reassignment_diff(sent, alive, other))
+        return [sorted(map(repr, (r.asDict() for r in df.select(*sorted(df.columns)).collect()))) for df in found]
+
+    small = all_of_them()
+    monkeypatch.setattr(routing, "MAX_SERVERS", 1)
+    assert all_of_them() == small
+
+
+def test_rank_of_many_servers(spark):
+    ids = [*range(-300, 0), *range(50_000), *(2**62 + i * 10**9 for i in range(300))]
+    ranks = {r.server_id: r.pos for r in routing.server_rank(members(spark, ids)).collect()}
+    assert ranks == {s: i for i, s in enumerate(sorted(ids, key=lambda s: s % 2**64))}
+
+
+def test_no_empty_ticks_before_the_start(spark):
+    msgs = spark.createDataFrame([("a", 1000), ("a", 2500)], "topic string, time bigint")
+    assert {(r.tick, r.messages) for r in metrics.interval_metrics(msgs, (1,), t0=10000).collect()} == {(-9, 1), (-8, 1)}
 
 
 def test_metrics_skip_their_own_topic_and_keep_empty_ticks(spark):
     rows = [("a", 1000), ("b", 1999), ("a", 2000), ("-metrics-", 3000), ("a", 5000), ("a", None)]
     got = metrics.interval_metrics(spark.createDataFrame(rows, "topic string, time bigint"), (1, 2)).collect()
-    found = sorted((r.interval, r.tick, r.time, r.unique_topics, r.messages) for r in got)
+    untimed = [(r.interval, r.unique_topics, r.messages) for r in got if r.tick is None and r.time is None]
+    assert sorted(untimed) == [(1, 1, 1), (2, 1, 1)]
+    found = sorted((r.interval, r.tick, r.time, r.unique_topics, r.messages) for r in got if r.tick is not None)
     assert found == [
         (1, 0, 1.0, 2, 2), (1, 1, 2.0, 1, 1), (1, 2, 3.0, 0, 0), (1, 3, 4.0, 0, 0), (1, 4, 5.0, 1, 1),
         (2, 0, 2.0, 2, 3), (2, 1, 4.0, 0, 0), (2, 2, 6.0, 1, 1),

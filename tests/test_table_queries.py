@@ -1,6 +1,7 @@
 import pytest
 
 import oracle
+import tailrace.file_queries  # noqa: F401
 from tailrace.table_queries import ORACLES, QUERIES
 
 
