@@ -6,10 +6,13 @@ smallest hash of a bin is kept, and an empty bin copies a filled one that a fixe
 (optimal densification), so two sketches agree in a bin with the probability of their similarity.
 
 Buckets are bands of bins. In each, every class is compared with one hub only, so a bucket of n classes costs
-n - 1 pairs. The links a star does not see can only join components that meet in a bucket. What such buckets
-hold is taken up once more, exactly: each class lists its rarest shingles, as many as a similar set cannot all
+n - 1 pairs. The links a star does not see can only join components that meet in a bucket. Such buckets get further
+stars, each around a member of a component that is not the bucket's largest, while these find links. What is left is
+taken up once more, exactly: each class lists its rarest shingles, as many as a similar set cannot all
 lack, and only classes of different components that share one of these, early enough in both lists for the
-rest to suffice, are compared on the full sets.
+rest to suffice, are compared on the full sets. Before that, parities tell most pairs apart: where two sets hold an even and an
+odd number of shingles with the same 8 bits, they differ in one of them, so sets that do so in too many of the 256
+places are no pair.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tailrace.llm.graph import components
@@ -27,6 +30,7 @@ from tailrace.llm.tables import Tables, slices
 from tailrace.llm.words import Words, scramble, shingle_hashes, utf8
 
 _PROBES = 1024
+_STARS = 3
 _COUNTER_BITS = 21
 _SKETCHES = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("bands", pa.list_(pa.int64()))])
 _SETS = pa.schema([("cls", pa.binary()), ("shingles", pa.list_(pa.int64()))])
@@ -169,14 +173,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int =
     pairs = tables.keep(crowd.where((F.col("cls") != F.col("hub")) & near).select(pair).distinct(), "pairs0")
     wanted = tables.keep(classes.select("cls", "id").join(crowd.select("cls").distinct(), "cls", "left_semi"), "wanted")
     sets = tables.keep(full_sets(docs, wanted, k), "sets")
+    tables.drop("met", "lowest-order")
     links = tables.keep(_verified(pairs, sets, percent), "links0")
-    roots = components(links, tables)
-    inside = crowd.select("band", "cls", "n").join(roots.withColumnRenamed("node", "cls").hint("merge"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    inside = tables.keep(inside, "inside")
-    mixed = inside.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
-    open_ = tables.keep(inside.join(mixed.hint("merge"), "band", "left_semi").select("cls", "root", "n").distinct(), "open")
-    fresh = _missed(open_.join(sets, "cls"), tables, percent).join(pairs, ["a", "b"], "left_anti")
-    more = tables.keep(_verified(tables.keep(fresh, "pairs1"), sets, percent), "links1")
+    for star in range(1, _STARS + 1):
+        roots = components(links, tables)
+        open_ = tables.keep(_open(crowd, roots), f"open{star}")
+        if star == _STARS or open_.isEmpty():
+            break
+        fresh = _star(open_, f"star{star}", near).join(pairs, ["a", "b"], "left_anti")
+        fresh = tables.keep(fresh, f"pairs{star}")
+        more = tables.keep(_verified(fresh, sets, percent), f"links{star}")
+        pairs = pairs.union(fresh)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+    left = open_.select("cls", "root", "n").distinct()
+    fresh = _missed(left.join(sets, "cls"), tables, percent).join(pairs, ["a", "b"], "left_anti")
+    more = tables.keep(_verified(tables.keep(fresh, "pairs-left"), sets, percent), "links-left")
     if not more.isEmpty():
         roots = components(links.union(more), tables)
     named = classes.select("cls", "id").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
@@ -188,6 +201,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int =
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
+def _open(crowd: DataFrame, roots: DataFrame) -> DataFrame:
+    """band, cls, n and root of the members of bands that hold several components."""
+    inside = crowd.select("band", "cls", "n").join(roots.withColumnRenamed("node", "cls").hint("merge"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    mixed = inside.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band")
+    return inside.join(mixed.hint("merge"), "band", "left_semi")
+
+
+def _star(open_: DataFrame, name: str, near: Column) -> DataFrame:
+    """Pairs (a, b) of a new hub in each band, from a component that is not the band's largest, and the others' members."""
+    order = F.xxhash64("cls", F.lit(name))
+    sizes = open_.groupBy("band", "root").agg(F.count("*").alias("members"), F.min(F.struct(order.alias("order"), "cls", "n")).alias("first"))
+    most = sizes.groupBy("band").agg(F.max(F.struct("members", "root")).alias("most"))
+    hubs = sizes.join(most, "band").where(F.col("root") != F.col("most.root")).groupBy("band").agg(F.min(F.struct("first", "root")).alias("hub"))
+    hubs = hubs.select("band", F.col("hub.first.cls").alias("hub"), F.col("hub.first.n").alias("m"), F.col("hub.root").alias("hub_root"))
+    met = open_.join(hubs.hint("merge"), "band").where((F.col("root") != F.col("hub_root")) & near)
+    return met.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """Four words whose bit i tells whether an odd number of the hashes ``s`` has bits i in places 16 to 23."""
+    at = (s >> np.uint64(16)) & np.uint64(255)
+    return (np.bincount(at.astype(np.int64), minlength=256) & 1).astype(np.uint64).reshape(4, 64) @ (np.uint64(1) << np.arange(64, dtype=np.uint64))
+
+
 def _missed(open_: DataFrame, tables: Tables, percent: int) -> DataFrame:
     """Pairs (a, b) of classes in different components that may be similar, by prefixes of their sets in order of rarity.
 
@@ -213,7 +250,7 @@ def _missed(open_: DataFrame, tables: Tables, percent: int) -> DataFrame:
 
     def prefixes(batches):
         for batch in batches:
-            shingles, places, rows = [], [], []
+            shingles, places, rows, odd = [], [], [], []
             at, flat = np.asarray(batch.column("shingles").offsets), np.asarray(batch.column("shingles").values).view(np.uint64)
             for r in range(batch.num_rows):
                 s = flat[at[r] : at[r + 1]]
@@ -221,22 +258,28 @@ def _missed(open_: DataFrame, tables: Tables, percent: int) -> DataFrame:
                 first = np.lexsort((s, seen))[: s.size - -(-s.size * percent // 100) + 1]
                 keep = np.flatnonzero(seen[first] > 1)
                 shingles.append(s[first[keep]]), places.append(keep + 1), rows.append(np.full(keep.size, r))
+                odd.append(np.tile(parities(s).view(np.int64), (keep.size, 1)))
+            odd = np.concatenate([*odd, np.empty((0, 4), np.int64)])
             taken = batch.select(["cls", "root", "n"]).take(pa.array(np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array(np.concatenate([*shingles, np.empty(0, np.uint64)]).view(np.int64)), pa.array(np.concatenate([*places, np.empty(0, np.int64)]).astype(np.int64))],
-                ["cls", "root", "n", "shingle", "place"],
+                [*taken.columns, pa.array(np.concatenate([*shingles, np.empty(0, np.uint64)]).view(np.int64)), pa.array(np.concatenate([*places, np.empty(0, np.int64)]).astype(np.int64)), *(pa.array(odd[:, i]) for i in range(4))],
+                ["cls", "root", "n", "shingle", "place", *odd_names],
             )
 
-    rows = tables.keep(sets.select("cls", "root", "n", "shingles").mapInArrow(prefixes, "cls binary, root binary, n bigint, shingle bigint, place bigint"), "prefixes")
+    odd_names = [f"odd{i}" for i in range(4)]
+    schema = "cls binary, root binary, n bigint, shingle bigint, place bigint, " + ", ".join(f"{c} bigint" for c in odd_names)
+    rows = tables.keep(sets.select("cls", "root", "n", "shingles").mapInArrow(prefixes, schema), "prefixes")
     shared = rows.groupBy("shingle", "root").agg(F.count("*").alias("members"), F.min("n").alias("least"))
     shared = shared.groupBy("shingle").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("members", "root")).alias("most"), F.min("least").alias("least"))
     shared = tables.keep(shared.where("roots > 1").drop("roots"), "shared")
     rows = rows.join(shared, "shingle")
     enough = (F.col("n") - F.col("place") + 1) * (100 + percent) >= percent * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * percent / 100)))
     rows = tables.keep(rows.where(enough).drop("least"), "early")
-    few = rows.where("root != most").select("shingle", F.col("cls").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("m"), F.col("place").alias("at"))
+    few = rows.where("root != most").select("shingle", F.col("cls").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("m"), F.col("place").alias("at"), *[F.col(c).alias(f"of_hub_{c}") for c in odd_names])
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"of_hub_{c}"))) for c in odd_names), F.lit(0))
+    close = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
     left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1
-    met = rows.join(few, "shingle").where((F.col("root") != F.col("hub_root")) & (left * (100 + percent) >= percent * (F.col("n") + F.col("m"))))
+    met = rows.join(few, "shingle").where((F.col("root") != F.col("hub_root")) & (left * (100 + percent) >= percent * (F.col("n") + F.col("m"))) & close)
     return met.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
 
 
