@@ -24,14 +24,20 @@ TITLES = {
     "n": "Dr Prof Доктор",
 }
 _TITLE = "(?:" + "|".join(t for g in TITLES.values() for t in g.split()) + ")"
-_NAME = rf"(?<![\p{{L}}\p{{N}}]){_TITLE}\.? \p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,2}}"
+# What may stand before a family name or at its beginning.
+_PARTICLE = "(?:von|van|zu|de|der|den|del|della|da|di|du|la|le|al|bin)"
+_WORD = r"(?:Mc|Mac|[OD]['’])?\p{Lu}\p{Ll}++"
+_NAME = rf"(?<![\p{{L}}\p{{N}}]){_TITLE}\.? (?:{_PARTICLE} ){{0,2}}{_WORD}(?:[ -](?:{_PARTICLE} ){{0,2}}{_WORD}){{0,2}}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_HEX4 = "[0-9A-Fa-f]{1,4}"
 _ALONE, _END = r"(?<![\p{L}\p{N}_.+-])", r"(?![\p{L}\p{N}_])"
-# Kinds in the order in which they are tried at a place.
+# Kinds in the order in which they are tried at a place. A repeated group is bounded or possessive: Java keeps a frame
+# of its stack for each turn of any other, and a long text of short parts would use it up.
 KINDS = {
-    "email": r"(?<![\p{L}\p{N}_.%+-])[\p{L}\p{N}_%+-]+(?:\.[\p{L}\p{N}_%+-]+)*@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}",
-    "secret": r"(?<=(?i:password|passwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})[\p{L}\p{N}_/+-]{6,}"
+    "email": r"(?<![\p{L}\p{N}_.%+-])[\p{L}\p{N}_%+-]++(?:\.[\p{L}\p{N}_%+-]++)*+@(?:[\p{L}\p{N}-]{1,63}+\.){1,126}\p{L}{2,}+",
+    "secret": r"(?<=(?i:password|passwd|secret|token|api_key|apikey)\s{0,3}[=:]\s{0,3}[\"']{0,1})[^\s\"'<>]{5,}[\p{L}\p{N}_/+=-]"
     rf"|{_ALONE}(?:AKIA|ASIA)[0-9A-Z]{{16}}{_END}",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}_.:])(?=[A-Fa-f:]{{0,30}}[0-9])(?:(?:{_HEX4}:){{7}}{_HEX4}|(?:{_HEX4}:){{1,7}}(?::{_HEX4}){{1,6}})(?![\p{{L}}\p{{N}}_:])",
     "ip": rf"(?<![\p{{L}}\p{{N}}_.-]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}_]|\.\d)",
     "iban": rf"{_ALONE}[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?){_END}",
     "card": rf"{_ALONE}(?:\d{{16}}|\d{{4}}([ -])\d{{4}}\1\d{{4}}\1\d{{4}}|3\d{{14}}){_END}",
@@ -42,7 +48,7 @@ KINDS = {
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 # Any mention has one of these, which are quick to look for.
-HINT = rf"[0-9@]|(?i:password|passwd|secret|token|api_key|apikey)|{_TITLE}\.? \p{{Lu}}"
+HINT = rf"[0-9@]|::|(?i:password|passwd|secret|token|api_key|apikey)|{_TITLE}\.? (?:\p{{Lu}}|{_PARTICLE} )"
 _SCRIPTS = {  # first letters, and how many follow
     r"\p{IsCyrillic}": (0x430, 32),
     r"\p{IsGreek}": (0x3B1, 17),
@@ -89,6 +95,20 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, b: a + b)
 
 
+def _mod97(chars: Column) -> Column:
+    """Remainder by 97 of the number that letters (A is 10) and digits make."""
+    value = lambda c: F.when(c.rlike("[0-9]"), c.try_cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(_chars(F.upper(chars)), F.lit(0), lambda a, c: F.pmod(a * F.when(c.rlike("[0-9]"), 10).otherwise(100) + value(c), F.lit(97)))
+
+
+def _iban(plain: Column, identity: Column) -> Column:
+    """An account number with check digits as good as the identity's."""
+    country, rest = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5))
+    right = _mod97(F.concat(F.substr(identity, F.lit(5)), F.substr(identity, F.lit(1), F.lit(4)))) == 1
+    digits = F.lpad((98 - _mod97(F.concat(rest, country, F.lit("00")))).cast("string"), 2, "0")
+    return F.when(right, F.concat(country, digits, rest)).otherwise(plain)
+
+
 def _script(text: Column) -> Column:
     return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").when(text.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
@@ -129,10 +149,13 @@ def _described(mentions: DataFrame) -> DataFrame:
     title = F.regexp_extract(m, rf"^({_TITLE})", 1)
     gender = F.when(title.isin(TITLES["m"].split()), "m").when(title.isin(TITLES["f"].split()), "f").otherwise("n")
     mentions = mentions.withColumn("kind", kind)
-    fixed = F.when(F.col("kind") == "phone", F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0)).when(F.col("kind") == "name", F.regexp_extract(m, rf"^{_TITLE}\.? ", 0)).otherwise("")
+    # A country code stays; without a separator it is known as what stands before ten digits.
+    code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0)
+    code = F.when(code != "", code).otherwise(F.regexp_extract(m, r"^\+\d{1,3}(?=[0-9]{10}$)", 0))
+    fixed = F.when(F.col("kind") == "phone", code).when(F.col("kind") == "name", F.regexp_extract(m, rf"^{_TITLE}\.? ", 0)).otherwise("")
     mentions = mentions.withColumn("fixed", fixed).withColumn("gender", F.when(F.col("kind") == "name", gender).otherwise(""))
     rest = F.substr(m, F.length("fixed") + 1)
-    identity = F.when(F.col("kind").isin("card", "phone", "ssn", "iban"), _bare(rest)).when(F.col("kind").isin("email", "name"), F.lower(rest)).otherwise(m)
+    identity = F.when(F.col("kind").isin("card", "phone", "ssn", "iban"), _bare(rest)).when(F.col("kind").isin("email", "name", "ip6"), F.lower(rest)).otherwise(m)
     return mentions.withColumn("identity", F.when(F.col("kind") == "name", F.concat_ws("|", "gender", identity)).otherwise(identity))
 
 
@@ -140,7 +163,7 @@ def _core(key: str) -> Column:
     """The surrogate of an identity in its plainest form, from kind, identity and attempt."""
     kind, identity = F.col("kind"), F.col("identity")
     stream = F.col("stream")
-    hexadecimal = (kind == "secret") & identity.rlike("^[0-9a-fA-F]+$")
+    hexadecimal = (kind == "ip6") | (kind == "secret") & identity.rlike("^[0-9a-fA-F]+$")
     tail = F.when(kind == "email", F.length(F.regexp_extract(identity, r"\.\p{L}+$", 0))).otherwise(0)
     chars, size = _chars(identity), F.length(identity)
     lead = F.when(kind == "iban", 2).when(kind == "card", 1).when((kind == "secret") & identity.rlike("^A[KS]IA"), 4).otherwise(0)
@@ -154,7 +177,7 @@ def _core(key: str) -> Column:
     valid = F.pmod(_luhn(identity), F.lit(10)) == 0
     card = F.concat(short, F.when(valid, check).otherwise(F.pmod(check + 1 + F.pmod(_number(stream, F.lit(99)), F.lit(9)), F.lit(10))).cast("string"))
     names = F.regexp_replace(identity, r"^.\|", "")
-    return F.when(kind == "ip", address).when(kind == "card", card).when(kind == "name", _person(names, F.substr(identity, F.lit(1), F.lit(1)), stream)).otherwise(plain)
+    return F.when(kind == "ip", address).when(kind == "card", card).when(kind == "iban", _iban(plain, identity)).when(kind == "name", _person(names, F.substr(identity, F.lit(1), F.lit(1)), stream)).otherwise(plain)
 
 
 def _drawn_for(identities: DataFrame, key: str) -> DataFrame:
@@ -214,4 +237,4 @@ def surrogated(docs: DataFrame, key: str) -> DataFrame:
     rebuilt = F.array_join(F.transform(F.split("text", PATTERN, -1), lambda gap, i: F.concat(gap, F.coalesce(F.get(subs, i), F.lit("")))), "")
     joined = touched.join(known, uid, "left").withColumn("text", F.when(F.col(subs).isNull(), F.col("text")).otherwise(rebuilt))
     joined = joined.withColumn("n_entities", F.coalesce(F.size(subs), F.lit(0)))
-    return joined.select(plain.columns).union(plain)
+    return joined.select([F.col(f"`{c}`") for c in plain.columns]).union(plain)
