@@ -11,22 +11,31 @@ from pyspark.sql import functions as F
 
 from tailrace.llm import bpe, decontaminate, near_dup, quality, surrogates
 from tailrace.llm.queries import SURROGATE_KEY, trained_quality, vocabulary
+from tailrace.llm.ranks import numbered
 from tailrace.llm.tables import Tables, source
 
 ORACLE_SQL = None  # a trained classifier, MinHash and keyed digests have no form in SQL
 
 
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that score below 0.3."""
     model, _ = trained_quality(docs, sf_dir)
-    return quality.scored(docs, model).where("predicted = 1").select(docs.columns)
+    return quality.scored(docs, model).where("predicted = 1").select(_columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group. A row without id cannot be told apart by one and stays."""
-    marked = near_dup.near_duplicates(docs)
-    gone = marked.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("not kept")
-    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    """Keeps one row of each group, of the smallest doc_id. Ids that are null or repeated do not matter: rows are told apart by number."""
+    rows = docs.select("doc_id", F.col("doc_id").isNull().alias("nameless"), F.struct(_columns(docs)).alias("row"))
+    if rows.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
+        rows = rows.withColumn("pos", F.col("doc_id"))
+    else:
+        rows = numbered(rows, [], ["nameless", "doc_id"], Tables(spark, "pipeline-rows"), "rows")
+    gone = near_dup.near_duplicates(rows.select(F.col("pos").alias("doc_id"), F.col("row.text").alias("text"))).where("not kept")
+    return rows.join(gone.select(F.col("doc_id").alias("pos")), "pos", "left_anti").select("row.*")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +49,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     if "n_chars" in docs.columns:
         size = F.when(F.col("n_entities") > 0, F.length("text")).otherwise(F.col("n_chars"))
         new = new.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
-    return new.select(docs.columns)
+    return new.select(_columns(docs))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
