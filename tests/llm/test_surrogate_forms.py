@@ -2,8 +2,6 @@
 
 import re
 
-import pytest
-
 from tailrace.llm import surrogates
 
 
@@ -37,7 +35,7 @@ def test_forms(spark):
     assert new[numbers[4]] != numbers[4] and re.fullmatch("at [0-9a-f:]+", new[numbers[4]]) and re.fullmatch("[0-9a-f:]+", new[numbers[5]])
 
 
-@pytest.mark.parametrize("part", ["a.", "a@", "1.", "Aa-", "a:", "Mr. A", "+1 ", "x=a.b@"])
-def test_long_texts_of_short_parts(spark, part):
-    text = part * (10_000_000 // len(part))
-    assert len(replaced(spark, ["see " + text + " b and 1"])) == 1
+def test_long_texts_of_short_parts(spark):
+    """A megabyte each; a greedy group would overflow the stack after some thousand turns."""
+    parts = ["a.", "a@", "1.", "Aa-", "a:", "Mr. A", "+1 ", "x=a.b@"]
+    assert len(replaced(spark, [p * (1_000_000 // len(p)) + " b and 1" for p in parts])) == len(parts)
