@@ -1,27 +0,0 @@
-from tailrace.functions.columns import (
-    floor_div,
-    frame_size,
-    full_match,
-    java_string_hash,
-    message_id,
-    name_offset,
-    offset_name,
-    same_hosts,
-    server_key,
-    stream_offset,
-    varint_size,
-)
-
-__all__ = [
-    "floor_div",
-    "frame_size",
-    "full_match",
-    "java_string_hash",
-    "message_id",
-    "name_offset",
-    "offset_name",
-    "same_hosts",
-    "server_key",
-    "stream_offset",
-    "varint_size",
-]
