@@ -7,12 +7,14 @@ of a text among them and no word seen once, have vectors of their own, as contex
 All other words share one class and one context vector; within it the corpus counts of every word decide, so the
 model is normalised over all words and one unseen.
 
-Training goes in rounds, each over its own part of the texts. In a round every task trains on all texts it reads,
-from the same start, and each row of the parameters is averaged over the tasks that changed it, weighted by how often.
+Training goes in rounds, each over its own part of the texts. A round deals its texts by hash to groups of some 4 million
+tokens, so neither the model nor its traffic depends on how the input is split over files. Every group trains on all its
+texts from the same start, and each row of the parameters is averaged over the groups that changed it, weighted by how often.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,13 +30,15 @@ _SLICE = 4 << 20
 _HELD = 4 << 20  # entries a task holds before it hands counts on or trains on what it has read
 _NOISE = 32  # classes
 _WORD_NOISE = 8  # words of the class
-_BATCH = 1024
+_GROUP = 8  # triples of a class that share their noise words
+_BATCH = 2048
+_BLOCK = 1024  # contexts whose products with a class's words are held at once
 _ROUNDS = 3
+_GROUP_TOKENS = 4 << 20  # training tokens of a group in a round
 _SIZE = 32
-_PARTS = 5
 _HEAVY = 2.0  # times the mean weight
-_COLUMNS = ["square", *[f"x{i}" for i in range(_SIZE + 1)]]
-_WEIGHTS = "part int, row int, weight double, " + ", ".join(f"{c} float" for c in _COLUMNS)
+_ROWS = 1024  # of the parameters, in a record that tells how they changed
+_CHANGES = "block int, salt int, at binary, weight binary, square binary, change binary"
 
 
 @dataclass
@@ -152,6 +156,7 @@ class Model:
         held = np.bincount(own, words.counts, minlength=m)
         self.log_in_class = np.log(words.counts / held[own]).astype(np.float32)
         self.until = np.concatenate(([0], np.cumsum(words.counts)))
+        self.share_until = np.cumsum(words.share)
         self.parts = [
             rng.normal(0, 0.1, (v + 2, _SIZE)), np.eye(_SIZE), np.eye(_SIZE) * 0.5,
             np.column_stack([np.zeros((m, _SIZE)), np.log(words.share)]),
@@ -161,50 +166,74 @@ class Model:
         self.squares = [np.ones(len(p), np.float32) for p in self.parts]
         self.changes = [np.zeros(len(p)) for p in self.parts]
 
-    def _add(self, part: int, rows: np.ndarray, g: np.ndarray, rate: float) -> None:
+    def _add(self, part: int, rows: np.ndarray, g: np.ndarray, rate: float, in_order: bool = False) -> None:
         """Adds the gradients of some rows, a row's step scaled by the squares of its gradients so far."""
         if not rows.size:
             return
-        order = np.argsort(rows, kind="stable")
-        rows = rows[order]
+        if not in_order:
+            order = np.argsort(rows, kind="stable")
+            rows, g = rows[order], g[order]
         start = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        row, g = rows[start], np.add.reduceat(g[order], start)
+        row, g = rows[start], np.add.reduceat(g, start)
         self.squares[part][row] += np.einsum("ij,ij->i", g, g) / g.shape[1]
         self.parts[part][row] += rate * g / np.sqrt(self.squares[part][row])[:, None]
         self.changes[part][row] += np.diff(np.concatenate((start, [rows.size])))
 
     def step(self, c1, c2, word, weight, rng, rate: float) -> None:
-        """One noise-contrastive step: the true class against classes that the batch shares, the true word against words of its class."""
+        """One noise-contrastive step on triples in order of their class.
+
+        The true class stands against classes that the batch shares, the true word against words of its class that up to
+        ``_GROUP`` triples of this class share, so that all products are dense.
+        """
         e, m1, m2, qc, qw = self.parts
         share, per = self.words.share, self.words.per_class
         v1, v2 = e[c1], e[c2]
         r = np.column_stack([v1 @ m1 + v2 @ m2, np.ones(word.size, np.float32)])
         own = self.words.class_of(word)
-        noise = rng.choice(share.size, _NOISE, p=share)
+        noise = np.sort(np.searchsorted(self.share_until, rng.random(_NOISE) * self.share_until[-1], "right"))
+        noise = np.minimum(noise, share.size - 1)
         log_noise = (np.log(share) + np.log(_NOISE)).astype(np.float32)
-        true = np.einsum("ij,ij->i", r, qc[own]) - log_noise[own]
+        q_own = qc[own]
+        true = np.einsum("ij,ij->i", r, q_own) - log_noise[own]
         false = r @ qc[noise].T - log_noise[noise]
         up = weight / (1 + np.exp(np.clip(true, -30, 30)))
         down = -weight[:, None] / (1 + np.exp(np.clip(-false, -30, 30)))
-        dr = up[:, None] * qc[own] + down @ qc[noise]
-        self._add(3, np.concatenate((own, noise)), np.concatenate((up[:, None] * r, down.T @ r)), rate)
-        at = np.flatnonzero(word > 0) if per > 1 else np.empty(0, np.int64)
-        if at.size:
-            w, r_at, first = word[at] - 1, r[at], (own[at] - 1) * per
-            low, high = self.until[first], self.until[np.minimum(first + per, qw.shape[0])]
-            u = low[:, None] + (rng.random((at.size, _WORD_NOISE)) * (high - low)[:, None]).astype(np.int64)
-            both = np.column_stack([w, np.searchsorted(self.until, u.ravel(), "right").reshape(u.shape) - 1])
-            q = qw[both]
-            x = np.matmul(q, r_at[:, :, None])[:, :, 0] - self.log_in_class[both] - np.float32(np.log(_WORD_NOISE))
-            x[:, 0] = -x[:, 0]
-            g = -weight[at, None] / (1 + np.exp(np.clip(-x, -30, 30)))
-            g[:, 0] = -g[:, 0]
-            dr[at] += np.matmul(g[:, None, :], q)[:, 0]
-            self._add(4, both.ravel(), (g[:, :, None] * r_at[:, None, :]).reshape(-1, r.shape[1]), rate)
+        dr = up[:, None] * q_own + down @ qc[noise]
+        at = int(np.searchsorted(own, 1))  # where the shared class ends
+        if per > 1 and at < own.size:
+            self._step_words(word[at:] - 1, own[at:], r[at:], weight[at:], dr[at:], rng, rate)
+        self._add(3, own, up[:, None] * r, rate, in_order=True)
+        self._add(3, noise, down.T @ r, rate, in_order=True)
         dr = dr[:, :_SIZE]
         self._add(0, np.concatenate((c1, c2)), np.concatenate((dr @ m1.T, dr @ m2.T)), rate)
         for part, v in ((1, v1), (2, v2)):
-            self._add(part, np.arange(_SIZE), v.T @ dr, rate)
+            self._add(part, np.arange(_SIZE), v.T @ dr, rate, in_order=True)
+
+    def _step_words(self, word, own, r, weight, dr, rng, rate: float) -> None:
+        """The part of a step that tells a word from others of its class; adds to ``dr`` in place."""
+        qw, per, width = self.parts[4], self.words.per_class, r.shape[1]
+        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        size = np.diff(np.concatenate((first, [own.size])))
+        rank = np.arange(own.size) - np.repeat(first, size)
+        group = np.cumsum(rank % _GROUP == 0) - 1
+        head = np.flatnonzero(rank % _GROUP == 0)
+        place = group * _GROUP + rank % _GROUP
+        wide = np.zeros((head.size * _GROUP, width + 1), np.float32)  # of no weight where a group is not full
+        wide[place, :width], wide[place, width] = r, weight
+        held = wide[:, :width].reshape(head.size, _GROUP, width)
+        low = (own[head] - 1) * per
+        low, high = self.until[low], self.until[np.minimum(low + per, qw.shape[0])]
+        u = low[:, None] + (rng.random((head.size, _WORD_NOISE)) * (high - low)[:, None]).astype(np.int64)
+        noise = np.searchsorted(self.until, u.ravel(), "right") - 1
+        prior = self.log_in_class + np.float32(np.log(_WORD_NOISE))
+        q_own, q = qw[word], qw[noise].reshape(head.size, _WORD_NOISE, width)
+        true = np.einsum("ij,ij->i", r, q_own) - prior[word]
+        false = np.matmul(held, q.transpose(0, 2, 1)) - prior[noise].reshape(head.size, 1, _WORD_NOISE)
+        up = weight / (1 + np.exp(np.clip(true, -30, 30)))
+        down = -wide[:, width].reshape(head.size, _GROUP, 1) / (1 + np.exp(np.clip(-false, -30, 30)))
+        dr += up[:, None] * q_own + np.matmul(down, q).reshape(-1, width)[place]
+        back = np.matmul(down.transpose(0, 2, 1), held).reshape(-1, width)
+        self._add(4, np.concatenate((word, noise)), np.concatenate((up[:, None] * r, back)), rate)
 
     def train(self, keys: np.ndarray, counts: np.ndarray, rng, rate: float = 0.05) -> None:
         """One pass over distinct (before, previous, word) triples in random order, weighted by their counts."""
@@ -215,26 +244,29 @@ class Model:
         keys, weight = keys[order], (weight / copies)[order].astype(np.float32)
         for a in range(0, keys.size, _BATCH):
             k = keys[a : a + _BATCH]
-            self.step(k // m % (m + 1), k // m // (m + 1), k % m, weight[a : a + _BATCH], rng, rate)
-
-    def changed(self):
-        """The rows that training has changed, as batches of ``_WEIGHTS``."""
-        for part, (p, s, n) in enumerate(zip(self.parts, self.squares, self.changes)):
+            by_class = np.argsort(k % m, kind="stable")  # classes are runs of words
+            k, w = k[by_class], weight[a : a + _BATCH][by_class]
+            self.step(k // m % (m + 1), k // m // (m + 1), k % m, w, rng, rate)
+
+    def changed(self, start: Model, salt: int):
+        """How training from ``start`` changed each row: batches of ``_CHANGES``, in blocks of rows over all parts."""
+        begin = 0
+        for p, old, square, n in zip(self.parts, start.parts, self.squares, self.changes):
             rows = np.flatnonzero(n)
-            for a in range(0, rows.size, 1 << 13):
-                row = rows[a : a + (1 << 13)]
-                x = np.zeros((_SIZE + 1, row.size), np.float32)
-                x[: p.shape[1]] = p[row].T
-                arrays = [pa.array(np.full(row.size, part, np.int32)), pa.array(row.astype(np.int32)), pa.array(n[row]), pa.array(s[row]), *map(pa.array, x)]
-                yield pa.RecordBatch.from_arrays(arrays, ["part", "row", "weight", *_COLUMNS])
-
-    def load(self, rows: pa.Table) -> None:
-        part, row = np.array(rows.column("part")), np.array(rows.column("row"))
-        x = np.column_stack([np.array(rows.column(c)) for c in _COLUMNS]).astype(np.float32)
-        for n in range(_PARTS):
-            at = part == n
-            self.squares[n][row[at]] = x[at, 0]
-            self.parts[n][row[at]] = x[at, 1 : self.parts[n].shape[1] + 1]
+            change = np.zeros((rows.size, _SIZE + 1), np.float32)
+            change[:, : p.shape[1]] = p[rows] - old[rows]
+            yield from _records(rows + begin, n[rows], square[rows], change, salt)
+            begin += len(p)
+
+    def load(self, changes: pa.Table) -> None:
+        """Takes the mean changes of a round."""
+        begin = np.cumsum([0, *map(len, self.parts)])
+        for block, at, _, square, change in _read(changes):
+            rows = block * _ROWS + at
+            for part, (p, a, b) in enumerate(zip(self.parts, begin, begin[1:])):
+                here = (rows >= a) & (rows < b)
+                self.squares[part][rows[here] - a] = square[here]
+                p[rows[here] - a] += change[here, : p.shape[1]]
 
     def log_probs(self, c1: np.ndarray, c2: np.ndarray, word: np.ndarray) -> np.ndarray:
         """log10 probability of each word after the words ``c2``, ``c1``; of the shared class for word 0."""
@@ -244,19 +276,22 @@ class Model:
         r = np.ones((pairs.size, _SIZE + 1), np.float32)
         z = np.empty(pairs.size, np.float32)
         em1, em2 = self._products()
-        for a in range(0, pairs.size, 4096):
-            k = pairs[a : a + 4096]
-            r[a : a + 4096, :_SIZE] = em1[k % starts] + em2[k // starts]
-            z[a : a + 4096] = _log_sums(r[a : a + 4096] @ qc.T)
+        room = np.empty((_BLOCK, max(per, qc.shape[0])), np.float32)
+        for a in range(0, pairs.size, _BLOCK):
+            k = pairs[a : a + _BLOCK]
+            r[a : a + _BLOCK, :_SIZE] = em1[k % starts] + em2[k // starts]
+            z[a : a + _BLOCK] = _log_sums(r[a : a + _BLOCK], qc, room)
         own = self.words.class_of(word)
-        out = np.einsum("ij,ij->i", r[which], qc[own]) - z[which]
-        if per > 1:
-            order = np.argsort(own, kind="stable")
-            edges = np.searchsorted(own[order], np.arange(1, qc.shape[0] + 1))
-            for c, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
-                for at in np.split(order[a:b], range(1 << 14, b - a, 1 << 14)) if b > a else ():
-                    x = r[which[at]] @ qw[c * per : (c + 1) * per].T
-                    out[at] += x[np.arange(at.size), word[at] - 1 - c * per] - _log_sums(x)
+        order = np.argsort(own.astype(np.uint16 if qc.shape[0] <= 1 << 16 else np.int64), kind="stable")
+        edges = np.searchsorted(own[order], np.arange(qc.shape[0] + 1))
+        out = np.empty(word.size, np.float32)
+        for c, (a, b) in enumerate(zip(edges.tolist(), [*edges[1:].tolist(), word.size])):
+            for i in range(a, b, _BLOCK):
+                at = order[i : min(b, i + _BLOCK)]
+                r_at = r[which[at]]
+                out[at] = r_at @ qc[c] - z[which[at]]
+                if c and per > 1:
+                    out[at] += np.einsum("ij,ij->i", r_at, qw[word[at] - 1]) - _log_sums(r_at, qw[(c - 1) * per : c * per], room)
         return out.astype(np.float64) / np.log(10)
 
     def _products(self) -> tuple[np.ndarray, np.ndarray]:
@@ -265,14 +300,63 @@ class Model:
         return self._held
 
 
-def _log_sums(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    return np.log(np.exp(x - top[:, None]).sum(axis=1)) + top
+def _log_sums(r: np.ndarray, q: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exp(r_i q_j) over all j, for each i; ``room`` holds the products."""
+    x = room.ravel()[: len(r) * len(q)].reshape(len(r), len(q))
+    np.matmul(r, q.T, out=x)
+    with np.errstate(over="ignore", divide="ignore"):
+        np.exp(x, out=x)
+        out = np.log(x @ np.ones(len(q), np.float32))
+    wrong = np.flatnonzero(~(np.abs(out) < 60))  # too large or too small for single precision
+    if wrong.size:
+        x = r[wrong].astype(np.float64) @ q.T
+        top = x.max(axis=1)
+        out[wrong] = np.log(np.exp(x - top[:, None]).sum(axis=1)) + top
+    return out
+
+
+def _records(rows: np.ndarray, weight: np.ndarray, square: np.ndarray, change: np.ndarray, salt: int):
+    """Batches of ``_CHANGES`` for ascending rows; changes in half precision."""
+    if not rows.size:
+        return
+    cut = np.concatenate(([0], np.flatnonzero(np.diff(rows // _ROWS)) + 1, [rows.size]))
+    columns = [(rows % _ROWS).astype("<u2"), weight.astype("<f4"), square.astype("<f4"), change.astype("<f2")]
+    for a, b in zip(cut, cut[1:]):
+        packed = [pa.array([c[a:b].tobytes()], pa.binary()) for c in columns]
+        numbers = [pa.array([int(x)], pa.int32()) for x in (rows[a] // _ROWS, salt)]
+        yield pa.RecordBatch.from_arrays([*numbers, *packed], ["block", "salt", "at", "weight", "square", "change"])
+
+
+def _read(changes: pa.RecordBatch | pa.Table):
+    names = ("block", "at", "weight", "square", "change")
+    for block, *packed in zip(*(changes.column(c).to_pylist() for c in names)):
+        at, weight, square, change = (np.frombuffer(x, t) for x, t in zip(packed, ("<u2", "<f4", "<f4", "<f2")))
+        yield block, at.astype(np.int64), weight, square, change.astype(np.float32).reshape(at.size, -1)
+
+
+def _mean_changes(changes: DataFrame, *keys: str) -> DataFrame:
+    """One record per block in each task, the weighted mean of all that came to it; tasks get whole ``keys``."""
+
+    def run(batches):
+        sums = {}
+        for batch in batches:
+            for block, at, weight, square, change in _read(batch):
+                total = sums.setdefault(block, np.zeros((_ROWS, change.shape[1] + 2)))
+                total[at] += np.column_stack([np.ones(at.size), square, change]) * weight[:, None]
+        for block, total in sums.items():
+            at = np.flatnonzero(total[:, 0])
+            mean = total[at, 1:] / total[at, :1]
+            yield from _records(block * _ROWS + at, total[at, 0], mean[:, 0], mean[:, 1:], 0)
+
+    return changes.repartition(*keys).mapInArrow(run, _CHANGES)
 
 
 def trained(texts: DataFrame, words: Vocabulary, tables: Tables) -> Model:
-    """The model after all rounds; ``texts`` has doc_id, which tells a text's round."""
+    """The model after all rounds; ``texts`` has doc_id and text, whose hash tells a text's round and group."""
     model = Model(words)
+    deal = F.xxhash64("doc_id", "text")
+    groups = -(-max(words.total, 1) // (_ROUNDS * _GROUP_TOKENS))
+    salts = math.isqrt(groups)  # a block's means are taken in two steps, so no task gets the records of all groups
     for turn in range(_ROUNDS):
         sent = texts.sparkSession.sparkContext.broadcast(model)
 
@@ -281,8 +365,9 @@ def trained(texts: DataFrame, words: Vocabulary, tables: Tables) -> Model:
 
             from pyspark import TaskContext
 
+            group = TaskContext.get().partitionId()
             model = copy.deepcopy(sent.value)  # a worker may serve several tasks
-            v, rng = model.words.counts.size, np.random.default_rng([turn, TaskContext.get().partitionId()])
+            v, rng = model.words.counts.size, np.random.default_rng([turn, group])
             keys, counts, held = [], [], 0
             for batch in slices(batches, "text", _SLICE):
                 found = Texts(batch.column("text"))
@@ -296,11 +381,12 @@ def trained(texts: DataFrame, words: Vocabulary, tables: Tables) -> Model:
                     keys, counts, held = [], [], 0
             if keys:
                 model.train(*_merge_counts(keys, counts), rng)
-            yield from model.changed()
+            yield from model.changed(sent.value, group % salts)
 
-        rows = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(_ROUNDS)) == turn).select("text").mapInArrow(run, _WEIGHTS)
-        mean = [(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")).cast("float").alias(c) for c in _COLUMNS]
-        model.load(tables.keep(rows.groupBy("part", "row").agg(*mean), f"model{turn}").toArrow())
+        own = texts.where(F.pmod(deal, F.lit(_ROUNDS)) == turn).select("text", deal.alias("deal"))
+        changes = own.repartition(groups, "deal").sortWithinPartitions("deal").select("text").mapInArrow(run, _CHANGES)
+        means = _mean_changes(_mean_changes(changes, "block", "salt"), "block")
+        model.load(tables.keep(means, f"model{turn}").toArrow())
         sent.unpersist()
     return model
 
@@ -352,7 +438,7 @@ def _frequent_parts(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, _SCORED)
 
 
-def scores(docs: DataFrame, held_out: F.Column, classes: int = 1024, frequent: int = 1 << 16) -> DataFrame:
+def scores(docs: DataFrame, held_out: F.Column, classes: int = 256, frequent: int = 1 << 16) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
 
     The model and all counts come from the rows where ``held_out`` is false; a row for which it is null (as of a

@@ -130,6 +130,36 @@ def test_language_model_is_normalised():
         assert (10 ** model.log_probs(np.full(24, c1), np.full(24, c2), every)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_language_model_does_not_depend_on_files(spark, monkeypatch):
+    monkeypatch.setattr(lm, "_GROUP_TOKENS", 2000)
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, " ".join(f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(40))) for i in range(600)], "doc_id bigint, text string")
+    few, many = ({r.doc_id: r.score for r in lm.scores(docs.repartition(n), F.col("doc_id") % 10 == 0, classes=8).collect()} for n in (2, 13))
+    assert few == pytest.approx(many, rel=1e-4)
+
+
+def test_language_model_equals_a_plain_softmax():
+    """Probabilities from a loop over words in double precision, also where logits are beyond what single precision can sum."""
+    n = np.sort(np.random.default_rng(4).integers(2, 50, 21))[::-1]
+    words = lm.Vocabulary(np.arange(21, dtype=np.uint64), np.arange(21) + 1, n, 4, np.full(7, 1 / 7), int(n.sum()) + 5, 23, 5, 2)
+    model, every = lm.Model(words), np.arange(22)
+    model.train(np.arange(23 * 22 * 4), np.arange(23 * 22 * 4) % 7 + 1, np.random.default_rng(5))
+    for scale in (1, 400):
+        model.parts[3], model.parts[4] = model.parts[3] * np.float32(scale), model.parts[4] * np.float32(scale)
+        e, m1, m2, qc, qw = (p.astype(float) for p in model.parts)
+        for c1, c2 in ((22, 22), (4, 0), (0, 17)):
+            r = np.append(e[c1] @ m1 + e[c2] @ m2, 1)
+            got = model.log_probs(np.full(22, c1), np.full(22, c2), every)
+            for w in every:
+                own = (w + 3) // 4
+                logit = [r @ q for q in qc]
+                want = logit[own] - np.logaddexp.reduce(logit)
+                if w:
+                    inside = [r @ q for q in qw[(own - 1) * 4 : own * 4]]
+                    want += inside[(w - 1) % 4] - np.logaddexp.reduce(inside)
+                assert got[w] == pytest.approx(want / np.log(10), abs=2e-3, rel=1e-4)
+
+
 def test_top_k(spark):
     v = [(20, [1.0, 0.5]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [1.0]), (None, [1.0, 1.0])]
     vectors = topk.quantized(spark.createDataFrame(v, "vec_id bigint, embedding array<float>"))
