@@ -1,6 +1,6 @@
 """Scores of texts by a log-bilinear language model trained with noise-contrastive estimation.
 
-The context vector is a sum of the two previous words' vectors, each through its own matrix. A word's probability
+The context vector is a sum of the two previous words' vectors, each times its place's weights (a diagonal matrix). A word's probability
 is that of its class times that of the word in its class, and both are log-bilinear: a logit is the product of the
 context vector with a target vector, plus a bias. The ``frequent`` most frequent words of the training texts, the end
 of a text among them and no word seen once, have vectors of their own, as context and as target; a class is a run of them by frequency.
@@ -27,11 +27,12 @@ from tailrace.llm.words import Words, utf8
 
 END = np.uint64(0x0E0DE0DE0DE0DE0D)  # stands for the end of a text among word hashes
 _SLICE = 4 << 20
-_HELD = 4 << 20  # entries a task holds before it hands counts on or trains on what it has read
+_HELD = 4 << 20  # entries a task holds before it hands counts on
 _NOISE = 32  # classes
 _WORD_NOISE = 8  # words of the class
 _GROUP = 8  # triples of a class that share their noise words
 _BATCH = 2048
+_STEPS = 128  # at least, in a round of a group; little text goes in smaller batches
 _BLOCK = 1024  # contexts whose products with a class's words are held at once
 _ROUNDS = 3
 _GROUP_TOKENS = 4 << 20  # training tokens of a group in a round
@@ -143,7 +144,7 @@ def vocabulary(counts: DataFrame, classes: int, frequent: int) -> Vocabulary:
 
 
 class Model:
-    """Context vectors (the last for the start of a text), a matrix per context place, target vectors of classes and words.
+    """Context vectors (the last for the start of a text), weights per context place, target vectors of classes and words.
 
     The last entry of a target vector is its bias.
     """
@@ -158,7 +159,7 @@ class Model:
         self.until = np.concatenate(([0], np.cumsum(words.counts)))
         self.share_until = np.cumsum(words.share)
         self.parts = [
-            rng.normal(0, 0.1, (v + 2, _SIZE)), np.eye(_SIZE), np.eye(_SIZE) * 0.5,
+            rng.normal(0, 0.1, (v + 2, _SIZE)), np.ones((_SIZE, 1)), np.full((_SIZE, 1), 0.5),
             np.column_stack([np.zeros((m, _SIZE)), np.log(words.share)]),
             np.column_stack([np.zeros((v, _SIZE)), self.log_in_class]),
         ]
@@ -188,7 +189,7 @@ class Model:
         e, m1, m2, qc, qw = self.parts
         share, per = self.words.share, self.words.per_class
         v1, v2 = e[c1], e[c2]
-        r = np.column_stack([v1 @ m1 + v2 @ m2, np.ones(word.size, np.float32)])
+        r = np.column_stack([v1 * m1.T + v2 * m2.T, np.ones(word.size, np.float32)])
         own = self.words.class_of(word)
         noise = np.sort(np.searchsorted(self.share_until, rng.random(_NOISE) * self.share_until[-1], "right"))
         noise = np.minimum(noise, share.size - 1)
@@ -205,9 +206,9 @@ class Model:
         self._add(3, own, up[:, None] * r, rate, in_order=True)
         self._add(3, noise, down.T @ r, rate, in_order=True)
         dr = dr[:, :_SIZE]
-        self._add(0, np.concatenate((c1, c2)), np.concatenate((dr @ m1.T, dr @ m2.T)), rate)
+        self._add(0, np.concatenate((c1, c2)), np.concatenate((dr * m1.T, dr * m2.T)), rate)
         for part, v in ((1, v1), (2, v2)):
-            self._add(part, np.arange(_SIZE), v.T @ dr, rate, in_order=True)
+            self._add(part, np.arange(_SIZE), np.einsum("ij,ij->j", v, dr)[:, None], rate, in_order=True)
 
     def _step_words(self, word, own, r, weight, dr, rng, rate: float) -> None:
         """The part of a step that tells a word from others of its class; adds to ``dr`` in place."""
@@ -242,10 +243,11 @@ class Model:
         copies = np.ceil(weight / _HEAVY).astype(np.int64)  # a heavy triple goes into several steps, in equal parts
         order = rng.permutation(np.repeat(np.arange(keys.size), copies))
         keys, weight = keys[order], (weight / copies)[order].astype(np.float32)
-        for a in range(0, keys.size, _BATCH):
-            k = keys[a : a + _BATCH]
+        batch = min(_BATCH, max(1, keys.size // _STEPS))
+        for a in range(0, keys.size, batch):
+            k = keys[a : a + batch]
             by_class = np.argsort(k % m, kind="stable")  # classes are runs of words
-            k, w = k[by_class], weight[a : a + _BATCH][by_class]
+            k, w = k[by_class], weight[a : a + batch][by_class]
             self.step(k // m % (m + 1), k // m // (m + 1), k % m, w, rng, rate)
 
     def changed(self, start: Model, salt: int):
@@ -296,7 +298,7 @@ class Model:
 
     def _products(self) -> tuple[np.ndarray, np.ndarray]:
         if not hasattr(self, "_held"):
-            self._held = self.parts[0] @ self.parts[1], self.parts[0] @ self.parts[2]
+            self._held = self.parts[0] * self.parts[1].T, self.parts[0] * self.parts[2].T
         return self._held
 
 
@@ -368,19 +370,18 @@ def trained(texts: DataFrame, words: Vocabulary, tables: Tables) -> Model:
             group = TaskContext.get().partitionId()
             model = copy.deepcopy(sent.value)  # a worker may serve several tasks
             v, rng = model.words.counts.size, np.random.default_rng([turn, group])
-            keys, counts, held = [], [], 0
+            keys, held = [], 0
             for batch in slices(batches, "text", _SLICE):
                 found = Texts(batch.column("text"))
                 own = model.words.number(found.tokens)
                 c1, c2 = found.contexts(own, v + 1)
-                k, n = np.unique((c2 * (v + 2) + c1) * (v + 1) + own, return_counts=True)
-                keys.append(k), counts.append(n)
-                held += k.size
-                if held > _HELD:
-                    model.train(*_merge_counts(keys, counts), rng)
-                    keys, counts, held = [], [], 0
-            if keys:
-                model.train(*_merge_counts(keys, counts), rng)
+                keys.append((c2 * (v + 2) + c1) * (v + 1) + own)
+                held += own.size
+                if held > 2 * _GROUP_TOKENS:
+                    model.train(*np.unique(np.concatenate(keys), return_counts=True), rng)
+                    keys, held = [], 0
+            if held:
+                model.train(*np.unique(np.concatenate(keys), return_counts=True), rng)
             yield from model.changed(sent.value, group % salts)
 
         own = texts.where(F.pmod(deal, F.lit(_ROUNDS)) == turn).select("text", deal.alias("deal"))
