@@ -8,15 +8,17 @@ are the 25 nations; those of region 0 are the ones that fail.
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import gcd
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tailrace.functions.columns import frame_size, message_id, name_offset, offset_name, same_hosts, stream_offset
-from tailrace.operators import audit, delivery, metrics, offsets, routing, status
+from tailrace.operators import audit, delivery, metrics, offsets, routing, sketches, status
 from tailrace.plans.rollover import rollover_plan
 from tailrace.session import fresh_dir
 from tailrace.sinks.topic_log import valid_topics, write_count_blob, write_metrics, write_topic_log
+from tailrace.sources import parsers
 from tailrace.sources.batch import parse_payload, read_count_blob, read_metrics, read_topic_log, split_words
 from tailrace.sources.progress import read_progress, write_progress
 from tailrace.streaming import metrics as metric_stream
@@ -189,6 +191,22 @@ def interval_metrics(spark, sf_dir):
     return metrics.interval_metrics(messages(spark, sf_dir), INTERVALS)
 
 
+@query(
+    f"""WITH {_sql_messages(SQL_BY_USER)}, ticks AS ({" UNION ALL ".join(
+        f"SELECT {i} AS interval, time // {i * 1000} AS tick, topic FROM msgs" for i in INTERVALS)})
+    SELECT interval, tick, count(*) AS messages, TRUE AS near FROM ticks GROUP BY interval, tick"""
+)
+def sketch_metrics(spark, sf_dir):
+    """Interval metrics from stored sketches; ``near`` tells whether unique topics are within the stated error of the exact ones."""
+    msgs, slot = messages(spark, sf_dir), gcd(*INTERVALS)
+    path = fresh_dir(spark, "sketches")
+    sketches.topic_sketches(msgs, slot).write.parquet(path)
+    rolled = sketches.metrics_from_sketches(spark.read.parquet(path), slot, INTERVALS)
+    exact = metrics.interval_metrics(msgs, INTERVALS, t0=0, fill=False).select("interval", "tick", F.col("unique_topics").alias("exact"))
+    near = F.abs(F.col("unique_topics") - F.col("exact")) <= sketches.sketch_error() * F.col("exact")
+    return rolled.join(exact, ["interval", "tick"]).select("interval", "tick", "messages", near.alias("near"))
+
+
 @query(
     f"""WITH {_sql_messages(SQL_BY_TYPE)} SELECT topic, count(*) AS messages,
     sum(octet_length(encode(payload)))::BIGINT AS bytes, count(DISTINCT client) AS clients FROM msgs GROUP BY topic"""
@@ -438,6 +456,18 @@ def payload_words(spark, sf_dir):
     return parse_payload(turns, lambda p: split_words(p, ["word", "n"])).drop("payload")
 
 
+@query(
+    """SELECT conv_id, turn, string_split(coalesce(text, ''), ' ')[1] AS word,
+    CASE WHEN regexp_full_match(string_split(coalesce(text, ''), ' ')[2], '[0-9]{1,18}')
+    THEN string_split(coalesce(text, ''), ' ')[2] END::BIGINT AS n FROM conversations"""
+)
+def parser_function(spark, sf_dir):
+    """Every turn through a table function in SQL, whose columns are named in the call."""
+    parsers.register_parser(spark, "words_of", parsers.split_at_spaces)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.encode("text", "UTF-8").alias("payload"))
+    return spark.sql("SELECT * FROM words_of(TABLE(SELECT * FROM {turns}), 'word string, n bigint')", turns=turns)
+
+
 # --- delivery -----------------------------------------------------------------------------------------
 
 _EMITTED = """emitted AS (SELECT event_id AS msg_id, 'topic-' || user_id AS file, event_id * 16 AS record_offset,
@@ -688,6 +718,52 @@ def stream_interval_metrics(spark, sf_dir):
     return spark.read.parquet(f"{work}/out")
 
 
+_FILLED_FROM = "(SELECT min(time) // 86400000 * 86400000 FROM msgs)"
+
+
+def _sql_filled_metrics() -> str:
+    ends = ", ".join(f"max((time - {_FILLED_FROM}) // {i * 1000} + 1) * {i}" for i in (3600, 86400))
+    parts = [
+        f"""SELECT {i} AS interval, s.tick AS tick, ((s.tick + 1) * {i})::DOUBLE AS time, coalesce(c.u, 0)::BIGINT AS unique_topics,
+        coalesce(c.n, 0)::BIGINT AS messages FROM (SELECT unnest(generate_series(0::BIGINT, (SELECT closed // {i} FROM mark) - 1)) AS tick) s
+        LEFT JOIN (SELECT (time - {_FILLED_FROM}) // {i * 1000} AS tick, count(*) AS n, count(DISTINCT topic) AS u FROM msgs GROUP BY 1) c
+        ON c.tick = s.tick"""
+        for i in (3600, 86400)
+    ]
+    return f"WITH {_sql_messages(SQL_BY_USER)}, mark AS (SELECT greatest({ends}) - 86410 AS closed FROM msgs) " + " UNION ALL ".join(parts)
+
+
+@query(_sql_filled_metrics())
+def stream_filled_metrics(spark, sf_dir):
+    """Ticks up to the watermark, from the first day of the events, with those in which nothing arrived."""
+    work = fresh_dir(spark, "stream")
+    events = messages(spark, sf_dir, source=_event_stream(spark, sf_dir))
+    t0 = messages(spark, sf_dir).agg(F.min("time")).first()[0] // 86_400_000 * 86_400_000
+    ticks = metric_stream.stream_interval_metrics(events, (3600, 86400), t0=t0, fill=True)
+    with metric_stream.timers(spark):
+        _run(metric_stream.on_tick(ticks, lambda df: df.write.mode("append").parquet(f"{work}/out")), f"{work}/checkpoint")
+    return spark.read.parquet(f"{work}/out")
+
+
+_SLOT_ENDS = "(time // 3600000 + 1) * 3600"
+
+
+@query(
+    f"""WITH {_sql_messages(SQL_BY_USER)} SELECT time // 3600000 AS slot, count(*) AS messages, TRUE AS near FROM msgs GROUP BY 1
+    HAVING max({_SLOT_ENDS}) <= (SELECT max({_SLOT_ENDS}) FROM msgs) - 3610"""
+)
+def stream_sketches(spark, sf_dir):
+    """Slots of an hour that the watermark has closed, with topics counted by sketches."""
+    work = fresh_dir(spark, "stream")
+    slots = metric_stream.stream_topic_sketches(messages(spark, sf_dir, source=_event_stream(spark, sf_dir)), 3600)
+    _run(metric_stream.on_tick(slots, lambda df: df.write.mode("append").parquet(f"{work}/out")), f"{work}/checkpoint")
+    rolled = sketches.metrics_from_sketches(spark.read.parquet(f"{work}/out"), 3600, (3600,))
+    exact = messages(spark, sf_dir).groupBy(F.call_function("div", F.col("time"), F.lit(3_600_000)).alias("tick"))
+    near = F.abs(F.col("unique_topics") - F.col("exact")) <= sketches.sketch_error() * F.col("exact")
+    joined = rolled.join(exact.agg(F.countDistinct("topic").alias("exact")), "tick")
+    return joined.select(F.col("tick").alias("slot"), "messages", near.alias("near"))
+
+
 @query(ORACLES["fold_status_counters"])
 def stream_status_counters(spark, sf_dir):
     """Counters after all events have gone through streaming state."""
