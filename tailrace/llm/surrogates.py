@@ -6,8 +6,13 @@ classes of characters, a card number of the same network that passes or fails th
 a name of the same gender and script. The core then fills a mention's letters and digits in its own case and with
 its own separators, so mentions of one identity stay mentions of one.
 
+A name is found by its title and taken word by word: each word is an identity of its own. So a person stays the same
+under another title, and different names stay different. Where a text has a titled name, its words are replaced
+without a title too. A word's gender is what titles with a gender say before it in all of the corpus, none if they disagree.
+
 Cores are checked over the corpus: where two identities would share one, or one equals a real identity, all but
-the first draw again with the next attempt number, until all are distinct.
+the first draw again with the next attempt number. What a kind's forms have no room for after all attempts trades
+values among itself: these are distinct, as no core equals a real identity.
 """
 
 from __future__ import annotations
@@ -47,6 +52,9 @@ KINDS = {
     "name": _NAME,
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
+# In a text with a titled name any capitalised word is looked at; group 1 is the separator within a card number.
+_WORD_GROUP = 2
+PATTERN_WITH_WORDS = rf"{PATTERN}|((?<![\p{{L}}\p{{N}}]){_WORD})"
 # Any mention has one of these, which are quick to look for.
 HINT = rf"[0-9@]|::|(?i:password|passwd|secret|token|api_key|apikey)|{_TITLE}\.? (?:\p{{Lu}}|{_PARTICLE} )"
 _SCRIPTS = {  # first letters, and how many follow
@@ -113,22 +121,18 @@ def _script(text: Column) -> Column:
     return F.when(text.rlike(r"\p{IsCyrillic}"), "cyrillic").when(text.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def _person(names: Column, gender: Column, stream: Column) -> Column:
-    """As many names as there were, of invented syllables in the same script; the first one's ending tells the gender."""
+def _person(name: Column, gender: Column, stream: Column, attempt: Column) -> Column:
+    """A word of invented syllables in the name's script, whose ending tells the gender; later attempts give longer ones."""
 
     def build(script: str) -> Column:
         on, vo = _ONSETS[script], _VOWELS[script]
         end = F.when(gender == "m", _CLOSING[script]["m"]).when(gender == "f", _CLOSING[script]["f"]).otherwise(_CLOSING[script]["n"])
+        letter = lambda s, i: F.substr(F.lit(s), F.pmod(_number(stream, i), F.lit(len(s))) + 1, F.lit(1))
+        last = 2 + F.call_function("div", attempt, F.lit(8)).cast("int")
+        syllables = F.transform(F.sequence(F.lit(0), last), lambda i: F.concat(letter(on, i * 2 + 1), letter(vo, i * 2 + 2)))
+        return F.concat(F.array_join(syllables, ""), letter(on, F.lit(0)), end)
 
-        def one(_: Column, i: Column) -> Column:
-            at = lambda j: _number(stream, i * 8 + j)
-            letter = lambda s, n: F.substr(F.lit(s), F.pmod(n, F.lit(len(s))) + 1, F.lit(1))
-            body = F.concat(*[F.concat(letter(on, at(2 * j)), letter(vo, at(2 * j + 1))) for j in range(3)], letter(on, at(6)))
-            return F.concat(body, F.when(i == 0, end).otherwise(_CLOSING[script]["n"]))
-
-        return F.array_join(F.transform(F.split(names, "[ -]"), one), " ")
-
-    script = _script(names)
+    script = _script(name)
     return F.when(script == "cyrillic", build("cyrillic")).when(script == "greek", build("greek")).otherwise(build("latin"))
 
 
@@ -136,27 +140,42 @@ def _bare(mention: Column) -> Column:
     return F.upper(F.regexp_replace(mention, r"[^\p{L}\p{N}]", ""))
 
 
-def _names_of(mention: Column) -> Column:
-    return F.regexp_replace(mention, rf"^{_TITLE}\.? ", "")
-
-
 def _described(mentions: DataFrame) -> DataFrame:
-    """Adds kind, identity and gender of each ``mention``, and ``fixed``, the part of it that stays as it is."""
+    """A row per part of each ``mention``: kind, identity, gender, ``fixed``, which stays as it is, and ``rest``, which does not.
+
+    A titled name has a part per word; anything else has one. ``word`` is filled where nothing but a capital letter speaks for a mention.
+    """
     m = F.col("mention")
     kind = F.lit("secret")  # only a key's context tells it, which the mention is without
     for k in reversed([k for k in KINDS if k != "secret"]):
         kind = F.when(m.rlike(f"^(?:{KINDS[k]})$"), k).otherwise(kind)
-    title = F.regexp_extract(m, rf"^({_TITLE})", 1)
-    gender = F.when(title.isin(TITLES["m"].split()), "m").when(title.isin(TITLES["f"].split()), "f").otherwise("n")
-    mentions = mentions.withColumn("kind", kind)
+    mentions = mentions.withColumn("kind", F.when(F.col("word") != "", "word").otherwise(kind))
     # A country code stays; without a separator it is known as what stands before ten digits.
     code = F.regexp_extract(m, r"^\+\d{1,3}(?=[ .(-])", 0)
     code = F.when(code != "", code).otherwise(F.regexp_extract(m, r"^\+\d{1,3}(?=[0-9]{10}$)", 0))
-    fixed = F.when(F.col("kind") == "phone", code).when(F.col("kind") == "name", F.regexp_extract(m, rf"^{_TITLE}\.? ", 0)).otherwise("")
-    mentions = mentions.withColumn("fixed", fixed).withColumn("gender", F.when(F.col("kind") == "name", gender).otherwise(""))
-    rest = F.substr(m, F.length("fixed") + 1)
-    identity = F.when(F.col("kind").isin("card", "phone", "ssn", "iban"), _bare(rest)).when(F.col("kind").isin("email", "name", "ip6"), F.lower(rest)).otherwise(m)
-    return mentions.withColumn("identity", F.when(F.col("kind") == "name", F.concat_ws("|", "gender", identity)).otherwise(identity))
+    lead = F.when(F.col("kind") == "phone", code).when(F.col("kind") == "name", F.regexp_extract(m, rf"^{_TITLE}\.? ", 0)).otherwise("")
+    mentions = mentions.withColumn("lead", lead).withColumn("rest", F.substr(m, F.length("lead") + 1))
+    joints = F.split("rest", _WORD, -1)
+    first = lambda i: F.when(i == 0, F.col("lead")).otherwise("")
+    words = F.transform(
+        F.regexp_extract_all("rest", F.lit(_WORD), F.lit(0)),
+        lambda w, i: F.struct(F.concat(first(i), F.get(joints, i)).alias("fixed"), w.alias("rest")),
+    )
+    whole = F.array(F.struct(F.col("lead").alias("fixed"), F.col("rest").alias("rest")))
+    parts = F.posexplode(F.when(F.col("kind") == "name", words).otherwise(whole)).alias("part", "p")
+    mentions = mentions.select("uid", "pos", "mention", "kind", "lead", parts).select("*", "p.fixed", "p.rest").drop("p")
+    title = F.regexp_extract("lead", rf"^({_TITLE})\.? $", 1)
+    gender = F.when(title.isin(TITLES["m"].split()), "m").when(title.isin(TITLES["f"].split()), "f").otherwise("")
+    rest = F.col("rest")
+    identity = F.when(F.col("kind").isin("card", "phone", "ssn", "iban"), _bare(rest)).when(F.col("kind").isin("email", "name", "word", "ip6"), F.lower(rest)).otherwise(rest)
+    return mentions.withColumn("gender", F.when((F.col("kind") == "name") & (F.col("part") == 0), gender).otherwise("")).withColumn("identity", identity).drop("lead")
+
+
+def _identities(found: DataFrame) -> DataFrame:
+    """kind, identity and the gender that all of its titles with a gender tell."""
+    told = found.groupBy("kind", "identity").agg(F.bool_or(F.col("gender") == "m").alias("m"), F.bool_or(F.col("gender") == "f").alias("f"))
+    gender = F.when(F.col("m") & ~F.col("f"), "m").when(F.col("f") & ~F.col("m"), "f").otherwise("n")
+    return told.select("kind", "identity", gender.alias("gender"))
 
 
 def _core(key: str) -> Column:
@@ -176,42 +195,62 @@ def _core(key: str) -> Column:
     check = F.pmod(10 - F.pmod(_luhn(F.concat(short, F.lit("0"))), F.lit(10)), F.lit(10))
     valid = F.pmod(_luhn(identity), F.lit(10)) == 0
     card = F.concat(short, F.when(valid, check).otherwise(F.pmod(check + 1 + F.pmod(_number(stream, F.lit(99)), F.lit(9)), F.lit(10))).cast("string"))
-    names = F.regexp_replace(identity, r"^.\|", "")
-    return F.when(kind == "ip", address).when(kind == "card", card).when(kind == "iban", _iban(plain, identity)).when(kind == "name", _person(names, F.substr(identity, F.lit(1), F.lit(1)), stream)).otherwise(plain)
+    person = _person(identity, F.col("gender"), stream, F.col("attempt"))
+    return F.when(kind == "ip", address).when(kind == "card", card).when(kind == "iban", _iban(plain, identity)).when(kind == "name", person).otherwise(plain)
 
 
 def _drawn_for(identities: DataFrame, key: str) -> DataFrame:
     return identities.withColumn("stream", _stream(key, F.col("kind"), F.col("identity"), F.col("attempt"))).withColumn("core", _core(key)).drop("stream")
 
 
-def surrogate_table(identities: DataFrame, key: str, tables: Tables) -> DataFrame:
-    """kind, identity and core, one distinct core for each identity of a kind and none that is an identity itself."""
-    real = identities.select("kind", F.when(F.col("kind") == "name", F.regexp_replace("identity", r"^.\|", "")).otherwise(F.lower("identity")).alias("plain")).distinct()
+def surrogate_table(identities: DataFrame, key: str, tables: Tables, attempts: int = _ATTEMPTS) -> DataFrame:
+    """kind, identity and core, one distinct core for each identity of a kind and none that is an identity itself.
+
+    Only where a kind has more identities than free forms after all attempts, the rest gets each other's values.
+    """
+    real = identities.select("kind", F.lower("identity").alias("plain")).distinct()
+    columns = ["kind", "identity", "gender", "attempt"]
     drawn = tables.keep(_drawn_for(identities.withColumn("attempt", F.lit(0)), key), "draw0")
-    for attempt in range(1, _ATTEMPTS):
+    for attempt in range(1, attempts + 1):
         same = F.row_number().over(Window.partitionBy("kind", F.lower("core")).orderBy("attempt", "identity"))
         marked = drawn.withColumn("again", same > 1).withColumn("plain", F.lower("core"))
         marked = marked.join(real.withColumn("is_real", F.lit(True)), ["kind", "plain"], "left")
         again = F.col("again") | F.coalesce("is_real", F.lit(False))
-        marked = tables.keep(marked.select("kind", "identity", "attempt", "core", again.alias("again")), f"marked{attempt}")
+        marked = tables.keep(marked.select(*columns, "core", again.alias("again")), f"marked{attempt}")
         if marked.where("again").isEmpty():
             return marked.select("kind", "identity", "core")
-        redrawn = _drawn_for(marked.where("again").select("kind", "identity", (F.col("attempt") + 1).alias("attempt")), key)
-        drawn = tables.keep(marked.where("not again").select("kind", "identity", "attempt", "core").unionByName(redrawn), f"draw{attempt}")
-    raise ValueError("no distinct surrogates found; a kind has more identities than forms")
-
-
-def _poured(mention: Column, kind: Column, fixed: Column, core: Column) -> Column:
+        if attempt == attempts:
+            break
+        redrawn = _drawn_for(marked.where("again").select("kind", "identity", "gender", (F.col("attempt") + 1).alias("attempt")), key)
+        drawn = tables.keep(marked.where("not again").select(*columns, "core").unionByName(redrawn), f"draw{attempt}")
+    traded = tables.keep(_traded(marked.where("again").select("kind", "identity"), key), "traded")
+    if not traded.where("core = identity").isEmpty():
+        raise ValueError("an identity found no distinct surrogate and is alone in its form")
+    return tables.keep(marked.where("not again").select("kind", "identity", "core").unionByName(traded), "cores")
+
+
+def _traded(identities: DataFrame, key: str) -> DataFrame:
+    """Each identity gets the value of the next one of its form, in keyed order; the last one gets the first's."""
+    form = F.regexp_replace(F.regexp_replace(F.regexp_replace("identity", r"\p{Lu}", "A"), r"\p{Ll}", "a"), r"\p{N}", "0")
+    country = F.substr("identity", F.lit(1), F.lit(2))
+    right = _mod97(F.concat(F.substr("identity", F.lit(5)), F.substr("identity", F.lit(1), F.lit(4)))) == 1
+    checked = F.when(F.col("kind") == "card", (F.pmod(_luhn(F.col("identity")), F.lit(10)) == 0).cast("string"))
+    checked = checked.when(F.col("kind") == "iban", F.concat(country, right.cast("string")))
+    private = F.regexp_extract("identity", r"^(?:10|127|192\.168|172\.(?:1[6-9]|2\d|3[01]))\.", 0) != ""
+    form = F.when(F.col("kind") == "ip", private.cast("string")).otherwise(form)
+    among = Window.partitionBy("kind", form, checked).orderBy(F.sha2(F.concat_ws("\x00", F.lit(key), "identity").cast("binary"), 256))
+    everyone = among.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return identities.select("kind", "identity", F.coalesce(F.lead("identity").over(among), F.first("identity").over(everyone)).alias("core"))
+
+
+def _poured(rest: Column, kind: Column, fixed: Column, core: Column) -> Column:
     """The core in the form of a mention: its fixed part, its separators, its case."""
-    rest = F.substr(mention, F.length(fixed) + 1)
     slots = _chars(rest)
     letters = F.regexp_replace(core, r"[^\p{L}\p{N}]", "")
     place = lambda i: F.length(F.regexp_replace(F.substr(rest, F.lit(1), i + 1), r"[^\p{L}\p{N}]", ""))
     cased = lambda c, x: F.when(c.rlike(r"^\p{Lu}$"), F.upper(x)).when(c.rlike(r"^\p{Ll}$"), F.lower(x)).otherwise(x)
     filled = F.array_join(F.transform(slots, lambda c, i: F.when(c.rlike(r"^[\p{L}\p{N}]$"), cased(c, F.substr(letters, place(i), F.lit(1)))).otherwise(c)), "")
-    joints = F.split(F.regexp_replace(rest, r"[^ -]", ""), "")
-    words = F.transform(F.split(core, " "), lambda w, i: F.concat(F.initcap(w), F.when(i < F.size(F.split(core, " ")) - 1, joints[i]).otherwise("")))
-    return F.concat(fixed, F.when(kind == "ip", core).when(kind == "name", F.array_join(words, "")).otherwise(filled))
+    return F.concat(fixed, F.when(kind == "ip", core).when(kind == "name", F.initcap(core)).otherwise(filled))
 
 
 def surrogated(docs: DataFrame, key: str) -> DataFrame:
@@ -227,14 +266,25 @@ def surrogated(docs: DataFrame, key: str) -> DataFrame:
     uid, subs = (next(n for i in range(99) if (n := f"{base}{i}") not in taken) for base in ("uid", "subs"))
     touched = tables.keep(docs.where(F.col("text").rlike(HINT)).withColumn(uid, F.monotonically_increasing_id()), "touched")
     plain = docs.where(F.col("text").isNull() | ~F.col("text").rlike(HINT)).withColumn("n_entities", F.lit(0))
-    found = touched.select(F.col(uid).alias("uid"), F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("pos", "mention"))
-    found = tables.keep(_described(found), "found")
-    cores = surrogate_table(found.select("kind", "identity").distinct(), key, tables)
-    known = found.join(cores, ["kind", "identity"])
-    known = known.select("uid", F.struct("pos", _poured(F.col("mention"), F.col("kind"), F.col("fixed"), F.col("core")).alias("new")).alias("sub"))
-    known = known.groupBy(F.col("uid").alias(uid)).agg(F.transform(F.array_sort(F.collect_list("sub")), lambda s: s["new"]).alias(subs))
+    matches = lambda pattern, group: F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
+    named = F.col("text").rlike(_NAME)
+    with_words = F.zip_with(matches(PATTERN_WITH_WORDS, 0), matches(PATTERN_WITH_WORDS, _WORD_GROUP), lambda m, w: F.struct(m.alias("mention"), w.alias("word")))
+    without = F.transform(matches(PATTERN, 0), lambda m: F.struct(m.alias("mention"), F.lit("").alias("word")))
+    found = touched.select(F.col(uid).alias("uid"), F.posexplode(F.when(named, with_words).otherwise(without)).alias("pos", "p"))
+    found = tables.keep(_described(found.select("uid", "pos", "p.mention", "p.word")), "found")
+    names = found.where("kind = 'name'").select("uid", "identity").distinct().withColumn("kind", F.lit("name"))
+    words = found.where("kind = 'word'").drop("kind").join(names, ["uid", "identity"], "left")  # no kind: not a name of this text
+    sure = found.where("kind <> 'word'")
+    cores = surrogate_table(_identities(sure), key, tables)
+    known = sure.unionByName(words).join(cores, ["kind", "identity"], "left")
+    new = F.when(F.col("core").isNull(), F.col("mention")).otherwise(_poured(F.col("rest"), F.col("kind"), F.col("fixed"), F.col("core")))
+    known = known.select(F.col("uid").alias(uid), "pos", F.struct("part", new.alias("new")).alias("sub"), F.col("core").isNotNull().alias("entity"))
+    joined = lambda subs_: F.array_join(F.transform(F.array_sort(subs_), lambda s: s["new"]), "")
+    known = known.repartition(F.col(uid)).groupBy(uid, "pos").agg(joined(F.collect_list("sub")).alias("new"), F.bool_or("entity").cast("int").alias("entity"))
+    known = known.groupBy(uid).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "new"))), lambda s: s["new"]).alias(subs), F.sum("entity").cast("int").alias("n_entities"))
     known = tables.keep(known, "replacements")
-    rebuilt = F.array_join(F.transform(F.split("text", PATTERN, -1), lambda gap, i: F.concat(gap, F.coalesce(F.get(subs, i), F.lit("")))), "")
+    between = F.when(named, F.split("text", PATTERN_WITH_WORDS, -1)).otherwise(F.split("text", PATTERN, -1))
+    rebuilt = F.array_join(F.transform(between, lambda gap, i: F.concat(gap, F.coalesce(F.get(subs, i), F.lit("")))), "")
     joined = touched.join(known, uid, "left").withColumn("text", F.when(F.col(subs).isNull(), F.col("text")).otherwise(rebuilt))
-    joined = joined.withColumn("n_entities", F.coalesce(F.size(subs), F.lit(0)))
+    joined = joined.withColumn("n_entities", F.coalesce("n_entities", F.lit(0)))
     return joined.select([F.col(f"`{c}`") for c in plain.columns]).union(plain)
