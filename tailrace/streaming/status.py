@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tailrace.operators.status import counter_changes
 
 _VALUES = ("int_add", "int_set", "double_add", "double_set")
-_BLOCK_BITS = (12, 24)  # of milliseconds: 4 seconds, then 4.7 hours
+# Bits of milliseconds (4 seconds, then 4.7 hours), and into how many shares the counters are dealt.
+_LEVELS = ((12, 16), (24, 1024))
 _STATE = "int_value bigint, double_value double"
 
 
@@ -38,38 +39,74 @@ def stream_status_counters(log: DataFrame) -> DataFrame:
 def folded_in_blocks(changes: DataFrame) -> DataFrame:
     """One change per counter and stretch of time that has the effect of all of its changes in order.
 
-    Streams take no aggregate here. A group is at most what one counter got in 4 seconds, then 4,096 such rows.
+    Streams take no aggregate here. A group is what a share of the counters got in 4 seconds, then 4,096 rows of each of
+    a smaller share; counters are folded side by side, since a group for each would cost more than its rows.
     """
     schema = changes.schema
-    for bits in _BLOCK_BITS:
-        groups = changes.groupBy("id", "key", F.shiftright(F.col("time").cast("bigint"), bits).alias("block"))
-        changes = groups.applyInArrow(_as_one, schema)
+    for bits, shares in _LEVELS:
+        share = F.pmod(F.xxhash64("id", "key"), F.lit(shares)).alias("share")
+        groups = changes.groupBy(share, F.shiftright(F.col("time").cast("bigint"), bits).alias("block"))
+        changes = groups.applyInArrow(_as_one_each, schema)
     return changes
 
 
-def _as_one(changes: pa.Table) -> pa.Table:
+def _as_one_each(changes: pa.Table) -> pa.Table:
+    """One row for every counter of a table of changes."""
     if changes.num_rows == 1:
         return changes
+    ids, keys = (changes.column(c).combine_chunks().dictionary_encode("encode") for c in ("id", "key"))
+    counter = ids.indices.to_numpy().astype(np.int64) * len(keys.dictionary) + keys.indices.to_numpy()
     time, pos = (changes.column(c).to_numpy() for c in ("time", "pos"))
-    order = np.lexsort((pos, time))
-    changes, time, pos = changes.take(pa.array(order)), time[order], pos[order]
-    row = changes.slice(changes.num_rows - 1).to_pylist()[0]
-    for kind, total in (("int", lambda added: int(added.to_numpy().sum())), ("double", lambda added: math.fsum(added.to_pylist()))):
-        sets, adds = changes.column(f"{kind}_set"), changes.column(f"{kind}_add")
-        first = 0
-        places = np.flatnonzero(sets.is_valid().to_numpy())
-        if places.size:  # what was set last, with all that stands at the same time and place
-            last = int(places[-1])
-            first = int(np.flatnonzero((time == time[last]) & (pos == pos[last]))[0])
-            row[f"{kind}_set"] = max(sets.slice(first, last + 1 - first).drop_null().to_pylist())
-        added = adds.slice(first).drop_null()
-        row[f"{kind}_add"] = total(added) if len(added) else None
-    return pa.Table.from_pylist([row], changes.schema)
+    order = np.lexsort((pos, time, counter))
+    changes, counter, time, pos = changes.take(pa.array(order)), counter[order], time[order], pos[order]
+    place, n = np.arange(len(order)), len(order)
+    starts = np.append(True, np.diff(counter) != 0)
+    moments = starts | np.append(True, (time[1:] != time[:-1]) | (pos[1:] != pos[:-1]))
+    moment = np.maximum.accumulate(np.where(moments, place, 0))
+    begin = np.flatnonzero(starts)
+    end = np.append(begin[1:], n)
+    folded = changes.take(pa.array(end - 1))
+    for kind, total in (("int", _int_sums), ("double", _double_sums)):
+        sets, adds = (changes.column(f"{kind}_{c}").combine_chunks() for c in ("set", "add"))
+        last = np.maximum.reduceat(np.where(sets.is_valid(), place, -1), begin)
+        # What was set last counts, with all that stands at the same time and place.
+        first = np.where(last < 0, begin, moment[last])
+        value = sets.take(pa.array(np.where(last < 0, end - 1, last)))
+        several = np.flatnonzero((last >= 0) & (first < last)).tolist()
+        if several:
+            value = value.to_pylist()
+            for i in several:
+                value[i] = max(sets.slice(int(first[i]), int(last[i] + 1 - first[i])).drop_null().to_pylist())
+            value = pa.array(value, sets.type)
+        counts = adds.is_valid().to_numpy(zero_copy_only=False) & (place >= np.repeat(first, end - begin))
+        added = pa.array(total(adds.fill_null(0).to_numpy(), counts, begin), adds.type, mask=~np.logical_or.reduceat(counts, begin))
+        for name, column in ((f"{kind}_set", value), (f"{kind}_add", added)):
+            folded = folded.set_column(folded.schema.get_field_index(name), folded.schema.field(name), column)
+    return folded
+
+
+def _int_sums(added: np.ndarray, counts: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(np.where(counts, added, 0), begin)
+
+
+def _double_sums(added: np.ndarray, counts: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Correctly rounded sums of what counts from each of ``begin`` on."""
+    before = np.append(0, np.cumsum(counts))
+    first, end = before[begin], before[np.append(begin[1:], len(added))]
+    added = added[counts]
+    sums = np.zeros(len(begin))
+    single = end - first == 1
+    sums[single] = added[first[single]]
+    for i in np.flatnonzero(end - first > 1).tolist():
+        sums[i] = math.fsum(added[first[i] : end[i]].tolist())
+    return sums
 
 
 def _apply_changes(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    changes = pd.concat(list(chunks)).sort_values(["time", "pos"], kind="stable")
-    changes["place"] = range(len(changes))
+    chunks = list(chunks)
+    changes = chunks[0] if len(chunks) == 1 else pd.concat(chunks)
+    if len(changes) > 1:
+        changes = changes.sort_values(["time", "pos"], kind="stable")
     ints, doubles = state.get if state.exists else (None, None)
     ints = _folded(changes, "int", ints, lambda added: int(added.sum()))
     doubles = _folded(changes, "double", doubles, lambda added: math.fsum(added))
@@ -86,10 +123,10 @@ def _apply_changes(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.Da
 
 def _folded(changes: pd.DataFrame, kind: str, value, total):
     sets = changes[f"has_{kind}_set"].to_numpy().nonzero()[0]
-    adds = changes.loc[changes[f"has_{kind}_add"], ["place", f"{kind}_add"]]
+    counts, adds = changes[f"has_{kind}_add"].to_numpy(), changes[f"{kind}_add"].to_numpy()
     if len(sets):
-        value = changes[f"{kind}_set"].iloc[sets[-1]].item()
-        adds = adds[adds["place"] >= sets[-1]]
-    if len(adds):
-        value = (value or 0) + total(adds[f"{kind}_add"])
+        value = changes[f"{kind}_set"].to_numpy()[sets[-1]].item()
+        counts, adds = counts[sets[-1] :], adds[sets[-1] :]
+    if counts.any():
+        value = (value or 0) + total(adds[counts])
     return value

@@ -210,3 +210,18 @@ def test_a_busy_counter_reaches_its_state_as_few_rows(spark):
     notes = [(1, 7 * i, [("k", 1, 0.5, 100 if i == 900 else None, None)]) for i in range(3000)]
     changes = status.folded_in_blocks(counter_changes(spark.createDataFrame(notes, NOTES).repartition(5)))
     assert [(r.int_set, r.int_add, r.double_set, r.double_add) for r in changes.collect()] == [(100, 2100, None, 1500.0)]
+
+
+def test_counters_are_folded_side_by_side(spark, monkeypatch):
+    calls, one_each = spark.sparkContext.accumulator(0), status._as_one_each
+
+    def counted(changes):
+        calls.add(1)
+        return one_each(changes)
+
+    monkeypatch.setattr(status, "_as_one_each", counted)
+    notes = [(i % 500, 8 * i, [("k", 1, 0.25, 7 if i == 2100 else None, None)]) for i in range(4000)]
+    changes = status.folded_in_blocks(counter_changes(spark.createDataFrame(notes, NOTES)))
+    got = {r.id: (r.int_set, r.int_add, r.double_add) for r in changes.collect()}
+    assert got == {i: (7, 4, 2.0) if i == 100 else (None, 8, 2.0) for i in range(500)}
+    assert calls.value < 1000  # a group for each counter and stretch would make 4,500
