@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tailrace.operators.audit import MAX_FILE_BYTES, TAKEOVER_PAD
-from tailrace.operators.offsets import exclusive_prefix, required
+from tailrace.operators.offsets import exclusive_prefix, required, tasks_for
 
-SEGMENT_ROWS = 1 << 20
+SEGMENT_ROWS = 1 << 17
 FAN_OUT_BITS = 3
 
 _UNCHANGED = -1
@@ -47,29 +47,31 @@ def rollover_plan(
     Runs one small job when called, to see whether any topic needs more than one segment.
     """
     light = required(msgs_sizes.select("topic", "seq", "size"), "topic", "seq")
-    largest = largest_topic(light)
-    return plan_records(light, ends, max_file_bytes, pad, largest, segment_rows)
+    largest, records = largest_topic(light)
+    return plan_records(light, ends, max_file_bytes, pad, largest, segment_rows, records)
 
 
-def largest_topic(sizes: DataFrame) -> int:
+def largest_topic(sizes: DataFrame) -> tuple[int, int]:
+    """Records of the largest topic, and of all."""
     counts = sizes.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+    row = counts.agg(F.max("n"), F.sum("n")).first()
+    return row[0] or 0, row[1] or 0
 
 
-def plan_records(sizes, ends, max_file_bytes, pad, largest, segment_rows=SEGMENT_ROWS) -> DataFrame:
-    placed = _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows)
+def plan_records(sizes, ends, max_file_bytes, pad, largest, segment_rows=SEGMENT_ROWS, records=0) -> DataFrame:
+    placed = _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows, records)
     return placed.mapInArrow(_fold(max_file_bytes, _record_rows), PLAN_SCHEMA)
 
 
 def plan_spans(
-    sizes, ends, max_file_bytes, pad, largest, block_bits, segment_rows=SEGMENT_ROWS
+    sizes, ends, max_file_bytes, pad, largest, block_bits, segment_rows=SEGMENT_ROWS, records=0
 ) -> DataFrame:
     """The plan as ranges: one row per file and block of ``2**block_bits`` sequence numbers."""
 
     def spans(*columns):
         return _span_rows(*columns, block_bits)
 
-    placed = _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows)
+    placed = _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows, records)
     # A file that crosses a batch or a segment yields a partial row on either side.
     return (
         placed.mapInArrow(_fold(max_file_bytes, spans), SPAN_SCHEMA)
@@ -83,30 +85,32 @@ def plan_spans(
     )
 
 
-def _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows) -> DataFrame:
+def _placed(sizes, ends, max_file_bytes, pad, largest, segment_rows, records) -> DataFrame:
     """Records with their start in the topic, the file that is open when their segment begins, and the
     topic's begin; each segment in one partition and in order."""
     zero = F.lit(0).cast("bigint")
+    columns = ["topic", "segment", "seq", "size", "start", "open", "begin"]
+    tasks = tasks_for(sizes.sparkSession, max(largest, records))
     if largest <= segment_rows:
         in_topic = Window.partitionBy("topic").orderBy("seq")
         before = F.sum("size").over(in_topic.rowsBetween(Window.unboundedPreceding, -1))
         placed = (
-            _with_begin(sizes, ends, pad)
+            _with_begin(sizes.repartition(tasks, "topic"), ends, pad)
             .withColumns({"segment": zero, "start": F.coalesce(before, zero), "open": zero})
-            .select("topic", "segment", "seq", "size", "start", "open", "begin")
+            .select(*columns)
         )
         return placed.sortWithinPartitions("topic", "seq")
     segment_bits = segment_rows.bit_length() - 1
-    placed = exclusive_prefix(sizes, "topic", "seq", {"start": F.col("size"), "nth": F.lit(1)})
+    placed = exclusive_prefix(sizes, "topic", "seq", {"start": F.col("size"), "nth": F.lit(1)}, records=records)
     placed = placed.withColumn("segment", F.shiftright("nth", segment_bits)).drop("nth")
-    entries = _segment_entries(placed, ends, pad, max_file_bytes, (largest - 1) >> segment_bits)
-    tasks = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        placed.join(entries, ["topic", "segment"])
-        .select("topic", "segment", "seq", "size", "start", "open", "begin")
-        .repartition(tasks, "topic", "segment")
-        .sortWithinPartitions("topic", "segment", "seq")
-    )
+    placed = placed.repartition(tasks, "topic", "segment")
+    entries = _segment_entries(placed, _with_begin(sizes.select("topic").distinct(), ends, pad), max_file_bytes, (largest - 1) >> segment_bits)
+    # Only a window makes Spark keep a segment in one partition: it may leave out a repartition before a map, or read its
+    # parts as they were written, once the join turns out to be small.
+    in_segment = Window.partitionBy("topic", "segment").orderBy("seq")
+    twice = F.raise_error(F.concat(F.lit("seq is not unique in topic "), F.col("topic"))).cast("bigint")
+    checked = F.when(F.lag("seq").over(in_segment) == F.col("seq"), twice).otherwise(F.col("open"))
+    return placed.join(entries, ["topic", "segment"]).withColumn("open", checked).select(*columns).sortWithinPartitions("topic", "segment", "seq")
 
 
 def _with_begin(df: DataFrame, ends: DataFrame | None, pad: int) -> DataFrame:
@@ -118,7 +122,7 @@ def _with_begin(df: DataFrame, ends: DataFrame | None, pad: int) -> DataFrame:
     return df.join(begins, "topic", "left").withColumn("begin", F.coalesce("begin", zero))
 
 
-def _segment_entries(placed, ends, pad, max_file_bytes, last_segment) -> DataFrame:
+def _segment_entries(placed, begins, max_file_bytes, last_segment) -> DataFrame:
     """Start of the file that is open when each segment begins, relative to the topic's begin."""
     keys = ["topic", "segment"]
     tree = [
@@ -136,8 +140,7 @@ def _segment_entries(placed, ends, pad, max_file_bytes, last_segment) -> DataFra
             )
         )
     zero = F.lit(0).cast("bigint")
-    entries = _with_begin(placed.select("topic").distinct(), ends, pad)
-    entries = entries.select("topic", zero.alias("parent"), zero.alias("open"), "begin")
+    entries = begins.select("topic", zero.alias("parent"), zero.alias("open"), "begin")
     for level in reversed(tree):
         children = level.withColumn("parent", F.shiftright("segment", FAN_OUT_BITS))
         by = ["topic", "parent"]

@@ -135,7 +135,7 @@ def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id, manifest,
         # Blocks as long as a file: a record then finds its file among one or two candidates.
         per_file = max(1.0, max_file_bytes * total.records / total.bytes)
         block_bits = min(62, max(0, int(math.log2(per_file * total.span / total.records))))
-        plan = plan_spans(sizes, ends, max_file_bytes, pad, total.largest, block_bits)
+        plan = plan_spans(sizes, ends, max_file_bytes, pad, total.largest, block_bits, records=total.records)
         with written(plan, "spans") as spans:
             _write_files(msgs, spans, block_bits, total, root, envelope, options)
 

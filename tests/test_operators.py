@@ -201,3 +201,19 @@ def test_interval_metrics_counts_messages_before_the_start(spark):
     msgs = spark.createDataFrame([("a", -1500), ("a", 200), ("b", 2200)], "topic string, time bigint")
     rows = {(r.tick, r.messages) for r in metrics.interval_metrics(msgs, (1,), t0=0).collect()}
     assert rows == {(-2, 1), (0, 1), (1, 0), (2, 1)}
+
+
+def test_a_segment_stays_whole_where_blocks_of_seq_meet(spark):
+    rng = random.Random(4)
+    rows = [(t, (1 << 22) + i, rng.randint(4, 60)) for t in ("a", "b", "c") for i in range(-700, 700)]
+    # As with large tables: many parts, and a join whose smaller side can be broadcast, as turns out when it runs.
+    conf = {"adaptive.coalescePartitions.enabled": "false", "autoBroadcastJoinThreshold": "1", "adaptive.autoBroadcastJoinThreshold": "30k"}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(f"spark.sql.{name}", value)
+        plan = rollover.rollover_plan(spark.createDataFrame(rows, "topic string, seq bigint, size bigint"), None, 900, 0, segment_rows=64)
+        got = {(r.topic, r.seq): (r.base_offset, r.record_offset) for r in plan.collect()}
+    finally:
+        for name in conf:
+            spark.conf.unset(f"spark.sql.{name}")
+    assert got == sequential_plan(rows, 900, {}, 0)
