@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -36,6 +36,8 @@ from tailrace.sources.index import STRIDE_BYTES, SparseIndex, index_path, write_
 from tailrace.sources.manifest import Manifest, ManifestFile
 
 TASK_BYTES = 128 << 20
+TASK_RECORDS = 1 << 20
+MAX_NUMBERED_FILES = 100_000
 MAX_BROADCAST_SPANS = 500_000
 _COMMITS = ".commits"
 _KEPT_BATCHES = 10
@@ -143,17 +145,18 @@ def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id, manifest,
 def _write_files(msgs, spans, block_bits, total, root, envelope, options) -> None:
     spark = msgs.sparkSession
     count, files = spans.agg(F.count(F.lit(1)), F.count_distinct("topic", "base_offset")).first()
-    index = spans.select("topic", "block", "base_offset", "first_seq", "last_seq")
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(max(math.ceil(total.bytes / TASK_BYTES), math.ceil(total.records / TASK_RECORDS), parallel), files)
+    index = _dealt(spans, files, tasks).select("topic", "block", "base_offset", "first_seq", "last_seq", "task")
     if count <= MAX_BROADCAST_SPANS:
         index = F.broadcast(index)
     in_block = msgs.withColumn("block", F.shiftright("seq", block_bits))
     in_file = F.col("seq").between(F.col("first_seq"), F.col("last_seq"))
-    tasks = max(math.ceil(total.bytes / TASK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.dataSource.register(TopicLogSink)
     (
         in_block.join(index, ["topic", "block"])
         .where(in_file)
-        .repartition(min(tasks, files), "topic", "base_offset")
+        .repartitionById(tasks, F.col("task"))
         .sortWithinPartitions("topic", "base_offset", "seq")
         .select("topic", "base_offset", "time", "payload")
         .write.format("topic_log_sink")
@@ -164,6 +167,16 @@ def _write_files(msgs, spans, block_bits, total, root, envelope, options) -> Non
     )
 
 
+def _dealt(spans: DataFrame, files: int, tasks: int) -> DataFrame:
+    """Spans with the task that writes their file. Files are dealt in turn, since a few that a hash deals often meet in one
+    task; many are dealt evenly enough by a hash."""
+    if files > MAX_NUMBERED_FILES:
+        return spans.withColumn("task", F.pmod(F.xxhash64("topic", "base_offset"), F.lit(tasks)).cast("int"))
+    nth = F.row_number().over(Window.orderBy("topic", "base_offset")) - 1
+    numbered = spans.select("topic", "base_offset").distinct().withColumn("task", F.pmod(nth, F.lit(tasks)).cast("int"))
+    return spans.join(F.broadcast(numbered), ["topic", "base_offset"])
+
+
 def _checked_topic():
     bad = F.raise_error(F.concat(F.lit("Invalid topic name "), F.coalesce("topic", F.lit("NULL"))))
     return F.when(full_match("topic", TOPIC_PATTERN), F.col("topic")).otherwise(bad)

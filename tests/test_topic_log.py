@@ -300,3 +300,13 @@ def test_messages_that_change_between_reads_are_not_published(spark, tmp_path):
         write_topic_log(msgs, base)
     assert list_files(spark, base).count() == 0
     assert [n for _, _, names in os.walk(base) for n in names] == []
+
+
+def test_files_are_dealt_evenly_to_tasks(spark):
+    from tailrace.sinks import topic_log
+
+    spans = spark.createDataFrame([(t, 100 * i, b) for t in "ab" for i in range(4) for b in (0, 1)], "topic string, base_offset bigint, block bigint")
+    for tasks in (8, 4):
+        dealt = topic_log._dealt(spans, 8, tasks).select("topic", "base_offset", "task").distinct().collect()
+        assert len(dealt) == 8
+        assert sorted(r.task for r in dealt) == sorted(i % tasks for i in range(8))
