@@ -27,12 +27,15 @@ from tailrace.llm.words import Words, utf8
 
 END = np.uint64(0x0E0DE0DE0DE0DE0D)  # stands for the end of a text among word hashes
 _SLICE = 4 << 20
+_BUCKET_BITS = 18
+_BUCKET_SHIFT = np.uint64(64 - _BUCKET_BITS)
 _HELD = 4 << 20  # entries a task holds before it hands counts on
 _NOISE = 32  # classes
 _WORD_NOISE = 8  # words of the class
 _GROUP = 8  # triples of a class that share their noise words
 _BATCH = 2048
 _STEPS = 128  # at least, in a round of a group; little text goes in smaller batches
+_SHORT_RUN = 4  # rows of a sum that are added side by side with those of others
 _BLOCK = 1024  # contexts whose products with a class's words are held at once
 _ROUNDS = 3
 _GROUP_TOKENS = 4 << 20  # training tokens of a group in a round
@@ -61,10 +64,28 @@ class Vocabulary:
 
     def number(self, tokens: np.ndarray) -> np.ndarray:
         """Number of each token, 0 if it is no frequent word."""
+        out = np.zeros(tokens.size, np.int64)
         if not self.words.size:
-            return np.zeros(tokens.size, np.int64)
-        at = np.minimum(np.searchsorted(self.words, tokens), self.words.size - 1)
-        return np.where(self.words[at] == tokens, self.numbers[at], 0)
+            return out
+        first = self._buckets()
+        bucket = (tokens >> _BUCKET_SHIFT).view(np.int64)
+        at, until = first.take(bucket), first.take(bucket + 1)
+        left = np.flatnonzero(at < until)
+        tokens, at, until = tokens[left], at[left], until[left]
+        while left.size:
+            word = self.words.take(at)
+            found = word == tokens
+            out[left[found]] = self.numbers.take(at[found])
+            more = np.flatnonzero((word < tokens) & (at + 1 < until))
+            left, tokens, at, until = left[more], tokens[more], at[more] + 1, until[more]
+        return out
+
+    def _buckets(self) -> np.ndarray:
+        """Where the words of each bucket begin, which share their first bits; hashes fill buckets evenly."""
+        if not hasattr(self, "_first"):
+            ends = np.arange(1, 1 << _BUCKET_BITS, dtype=np.uint64) << _BUCKET_SHIFT
+            self._first = np.concatenate(([0], np.searchsorted(self.words, ends), [self.words.size])).astype(np.int32)
+        return self._first
 
 
 class Texts:
@@ -171,14 +192,23 @@ class Model:
         """Adds the gradients of some rows, a row's step scaled by the squares of its gradients so far."""
         if not rows.size:
             return
+        order = None
         if not in_order:
-            order = np.argsort(rows, kind="stable")
-            rows, g = rows[order], g[order]
+            keys = np.sort(rows << 32 | np.arange(rows.size))  # quicker than a stable argsort
+            rows, order = keys >> 32, keys & 0xFFFFFFFF
         start = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        row, g = rows[start], np.add.reduceat(g, start)
-        self.squares[part][row] += np.einsum("ij,ij->i", g, g) / g.shape[1]
-        self.parts[part][row] += rate * g / np.sqrt(self.squares[part][row])[:, None]
-        self.changes[part][row] += np.diff(np.concatenate((start, [rows.size])))
+        row, times = rows[start], np.diff(np.concatenate((start, [rows.size])))
+        g = np.add.reduceat(g, start) if in_order else _run_sums(g, order, start, times)
+        self._move(part, row, g, times, rate)
+
+    def _move(self, part: int, row: np.ndarray, g: np.ndarray, times, rate: float) -> None:
+        """Moves distinct rows along their gradients, which are overwritten."""
+        square = self.squares[part].take(row) + np.einsum("ij,ij->i", g, g) / g.shape[1]
+        self.squares[part][row] = square
+        g *= (rate / np.sqrt(square))[:, None]
+        g += self.parts[part].take(row, axis=0)
+        self.parts[part][row] = g
+        self.changes[part][row] += times
 
     def step(self, c1, c2, word, weight, rng, rate: float) -> None:
         """One noise-contrastive step on triples in order of their class.
@@ -188,13 +218,14 @@ class Model:
         """
         e, m1, m2, qc, qw = self.parts
         share, per = self.words.share, self.words.per_class
-        v1, v2 = e[c1], e[c2]
-        r = np.column_stack([v1 * m1.T + v2 * m2.T, np.ones(word.size, np.float32)])
+        v1, v2 = e.take(c1, axis=0), e.take(c2, axis=0)
+        r = np.ones((word.size, _SIZE + 1), np.float32)
+        np.add(v1 * m1.T, v2 * m2.T, out=r[:, :_SIZE])
         own = self.words.class_of(word)
         noise = np.sort(np.searchsorted(self.share_until, rng.random(_NOISE) * self.share_until[-1], "right"))
         noise = np.minimum(noise, share.size - 1)
         log_noise = (np.log(share) + np.log(_NOISE)).astype(np.float32)
-        q_own = qc[own]
+        q_own = qc.take(own, axis=0)
         true = np.einsum("ij,ij->i", r, q_own) - log_noise[own]
         false = r @ qc[noise].T - log_noise[noise]
         up = weight / (1 + np.exp(np.clip(true, -30, 30)))
@@ -206,9 +237,12 @@ class Model:
         self._add(3, own, up[:, None] * r, rate, in_order=True)
         self._add(3, noise, down.T @ r, rate, in_order=True)
         dr = dr[:, :_SIZE]
-        self._add(0, np.concatenate((c1, c2)), np.concatenate((dr * m1.T, dr * m2.T)), rate)
+        both = np.empty((2 * word.size, _SIZE), np.float32)
+        np.multiply(dr, m1.T, out=both[: word.size])
+        np.multiply(dr, m2.T, out=both[word.size :])
+        self._add(0, np.concatenate((c1, c2)), both, rate)
         for part, v in ((1, v1), (2, v2)):
-            self._add(part, np.arange(_SIZE), np.einsum("ij,ij->j", v, dr)[:, None], rate, in_order=True)
+            self._move(part, np.arange(_SIZE), np.einsum("ij,ij->j", v, dr)[:, None], 1, rate)
 
     def _step_words(self, word, own, r, weight, dr, rng, rate: float) -> None:
         """The part of a step that tells a word from others of its class; adds to ``dr`` in place."""
@@ -216,26 +250,35 @@ class Model:
         first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
         size = np.diff(np.concatenate((first, [own.size])))
         rank = np.arange(own.size) - np.repeat(first, size)
-        group = np.cumsum(rank % _GROUP == 0) - 1
-        head = np.flatnonzero(rank % _GROUP == 0)
-        place = group * _GROUP + rank % _GROUP
-        wide = np.zeros((head.size * _GROUP, width + 1), np.float32)  # of no weight where a group is not full
-        wide[place, :width], wide[place, width] = r, weight
-        held = wide[:, :width].reshape(head.size, _GROUP, width)
+        leads = rank % _GROUP == 0
+        head = np.flatnonzero(leads)
+        place = (np.cumsum(leads) - 1) * _GROUP + rank % _GROUP
+        source = np.full(head.size * _GROUP, own.size)  # the row of zeros, of no weight, where a group is not full
+        source[place] = np.arange(own.size)
+        held = np.concatenate((r, np.zeros((1, width), np.float32))).take(source, axis=0).reshape(head.size, _GROUP, width)
+        held_weight = np.append(weight, np.float32(0)).take(source).reshape(head.size, _GROUP, 1)
         low = (own[head] - 1) * per
         low, high = self.until[low], self.until[np.minimum(low + per, qw.shape[0])]
         u = low[:, None] + (rng.random((head.size, _WORD_NOISE)) * (high - low)[:, None]).astype(np.int64)
-        noise = np.searchsorted(self.until, u.ravel(), "right") - 1
-        prior = self.log_in_class + np.float32(np.log(_WORD_NOISE))
-        q_own, q = qw[word], qw[noise].reshape(head.size, _WORD_NOISE, width)
-        true = np.einsum("ij,ij->i", r, q_own) - prior[word]
-        false = np.matmul(held, q.transpose(0, 2, 1)) - prior[noise].reshape(head.size, 1, _WORD_NOISE)
+        noise = self._word_at(u.ravel(), np.repeat((own[head] - 1) * per, _WORD_NOISE))
+        prior = np.float32(np.log(_WORD_NOISE))
+        q_own, q = qw.take(word, axis=0), qw.take(noise, axis=0).reshape(head.size, _WORD_NOISE, width)
+        true = np.einsum("ij,ij->i", r, q_own) - (self.log_in_class[word] + prior)
+        false = np.matmul(held, q.transpose(0, 2, 1)) - (self.log_in_class[noise] + prior).reshape(head.size, 1, _WORD_NOISE)
         up = weight / (1 + np.exp(np.clip(true, -30, 30)))
-        down = -wide[:, width].reshape(head.size, _GROUP, 1) / (1 + np.exp(np.clip(-false, -30, 30)))
-        dr += up[:, None] * q_own + np.matmul(down, q).reshape(-1, width)[place]
+        down = -held_weight / (1 + np.exp(np.clip(-false, -30, 30)))
+        dr += up[:, None] * q_own + np.matmul(down, q).reshape(-1, width).take(place, axis=0)
         back = np.matmul(down.transpose(0, 2, 1), held).reshape(-1, width)
         self._add(4, np.concatenate((word, noise)), np.concatenate((up[:, None] * r, back)), rate)
 
+    def _word_at(self, u: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The word that holds the token ``u`` among all in order of words; ``word`` is the first of its class."""
+        last = self.until.size - 2
+        for step in (1 << i for i in reversed(range(self.words.per_class.bit_length()))):
+            further = np.minimum(word + step, last)
+            word = np.where(self.until.take(further) <= u, further, word)
+        return word
+
     def train(self, keys: np.ndarray, counts: np.ndarray, rng, rate: float = 0.05) -> None:
         """One pass over distinct (before, previous, word) triples in random order, weighted by their counts."""
         m = self.words.counts.size + 1
@@ -288,12 +331,17 @@ class Model:
         edges = np.searchsorted(own[order], np.arange(qc.shape[0] + 1))
         out = np.empty(word.size, np.float32)
         for c, (a, b) in enumerate(zip(edges.tolist(), [*edges[1:].tolist(), word.size])):
+            inside = None
+            if c and per > 1:
+                pair, where = np.unique(which[order[a:b]], return_inverse=True)  # words of a class often follow the same two words
+                targets = qw[(c - 1) * per : c * per]
+                inside = np.concatenate([_log_sums(r.take(pair[i : i + _BLOCK], axis=0), targets, room) for i in range(0, pair.size, _BLOCK)] or [z[:0]])
             for i in range(a, b, _BLOCK):
                 at = order[i : min(b, i + _BLOCK)]
-                r_at = r[which[at]]
+                r_at = r.take(which[at], axis=0)
                 out[at] = r_at @ qc[c] - z[which[at]]
-                if c and per > 1:
-                    out[at] += np.einsum("ij,ij->i", r_at, qw[word[at] - 1]) - _log_sums(r_at, qw[(c - 1) * per : c * per], room)
+                if inside is not None:
+                    out[at] += np.einsum("ij,ij->i", r_at, qw.take(word[at] - 1, axis=0)) - inside[where[i - a : i - a + at.size]]
         return out.astype(np.float64) / np.log(10)
 
     def _products(self) -> tuple[np.ndarray, np.ndarray]:
@@ -302,6 +350,23 @@ class Model:
         return self._held
 
 
+def _run_sums(g: np.ndarray, order: np.ndarray, start: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``g``, taken in ``order``, over runs. Most runs are short and added up side by side."""
+    out = g.take(order[start], axis=0)
+    for nth in range(1, _SHORT_RUN):
+        longer = np.flatnonzero(times > nth)
+        if not longer.size:
+            return out
+        out[longer] += g.take(order[start[longer] + nth], axis=0)
+    longer = np.flatnonzero(times > _SHORT_RUN)
+    if longer.size:
+        left = times[longer] - _SHORT_RUN
+        begin = np.cumsum(left) - left
+        at = np.repeat(start[longer] + _SHORT_RUN - begin, left) + np.arange(left.sum())
+        out[longer] += np.add.reduceat(g.take(order[at], axis=0), begin)
+    return out
+
+
 def _log_sums(r: np.ndarray, q: np.ndarray, room: np.ndarray) -> np.ndarray:
     """Logarithm of the sum of exp(r_i q_j) over all j, for each i; ``room`` holds the products."""
     x = room.ravel()[: len(r) * len(q)].reshape(len(r), len(q))
@@ -387,7 +452,8 @@ def trained(texts: DataFrame, words: Vocabulary, tables: Tables) -> Model:
         own = texts.where(F.pmod(deal, F.lit(_ROUNDS)) == turn).select("text", deal.alias("deal"))
         changes = own.repartition(groups, "deal").sortWithinPartitions("deal").select("text").mapInArrow(run, _CHANGES)
         means = _mean_changes(_mean_changes(changes, "block", "salt"), "block")
-        model.load(tables.keep(means, f"model{turn}").toArrow())
+        model.load(tables.keep(means, f"model{turn}", once=True).toArrow())
+        tables.drop(f"model{turn}")
         sent.unpersist()
     return model
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tailrace.session import fresh_dir
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Tables:
     """Written tables of one run. A table cuts lineage and survives the loss of executors.
@@ -25,8 +27,15 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(self.path(name))
+    def keep(self, df: DataFrame, name: str, once: bool = False) -> DataFrame:
+        """Writes ``df``. What it shuffled is removed at once if ``once`` says that nothing else will read it; else Spark removes
+        it some time after the driver's next garbage collection."""
+        before = self.spark.conf.get(_CLEAN_UP, "false")
+        self.spark.conf.set(_CLEAN_UP, "true" if once else before)
+        try:
+            df.write.parquet(self.path(name))
+        finally:
+            self.spark.conf.set(_CLEAN_UP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

@@ -210,3 +210,57 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)]
     rows = components(spark.createDataFrame(chain, "a bigint, b bigint"), Tables(spark, uuid.uuid4().hex)).collect()
     assert all(r.root == (0 if r.node <= 40 else 100) for r in rows) and len(rows) == 41 + 60 - 2
+
+
+def test_sums_and_lookups_of_the_language_model(monkeypatch):
+    rng = np.random.default_rng(5)
+    n = np.sort(rng.integers(2, 90, 5000))[::-1]
+    hashes = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2) >> np.uint64(3))  # eight times as dense
+    numbers = rng.permutation(hashes.size) + 1
+    n = n[: hashes.size]
+    words = lm.Vocabulary(hashes, numbers, n, 300, np.full(18, 1 / 18), int(n.sum()) + 5, hashes.size + 3, 5, 3)
+    tokens = np.concatenate((rng.choice(hashes, 3000), hashes + np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64)))
+    at = {int(h): int(i) for h, i in zip(hashes, numbers)}
+    assert words.number(tokens).tolist() == [at.get(int(t), 0) for t in tokens]
+
+    model = lm.Model(words)
+    u = np.concatenate((model.until[:-1], model.until[1:] - 1, rng.integers(0, model.until[-1], 999)))
+    want = np.searchsorted(model.until, u, "right") - 1
+    assert (model._word_at(u, want // 300 * 300) == want).all()
+
+    rows = np.sort(np.minimum(rng.geometric(0.02, 4000), 97))
+    order, g = rng.permutation(rows.size), rng.normal(size=(rows.size, 3))
+    start = np.flatnonzero(np.diff(rows, prepend=-1))
+    times = np.diff(np.append(start, rows.size))
+    assert np.allclose(lm._run_sums(g, order, start, times), np.add.reduceat(g[order], start))
+
+    # A context that many words of a class follow is summed over the class once.
+    summed, log_sums = [], lm._log_sums
+    monkeypatch.setattr(lm, "_log_sums", lambda r, q, room: summed.append(len(r)) or log_sums(r, q, room))
+    c1 = rng.integers(1, 4, 2000)
+    word = rng.integers(1, 301, 2000)
+    each = model.log_probs(c1, c1, word)
+    assert sum(summed) == 6
+    assert np.allclose(each[:50], [model.log_probs(c1[i : i + 1], c1[i : i + 1], word[i : i + 1])[0] for i in range(50)], atol=1e-5)
+
+
+def test_shuffles_of_tables_read_once_are_removed(spark):
+    import glob
+    import time
+
+    from tailrace.llm.tables import Tables
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    held = lambda: {f for d in folders for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    tables, rows = Tables(spark, "once"), spark.range(5000)
+    before = held()
+    tables.keep(rows.repartition(3, "id"), "kept")
+    kept = held() - before
+    assert kept
+    once = tables.keep(rows.repartition(5, "id"), "once", once=True)
+    end = time.time() + 20
+    while held() - before - kept and time.time() < end:
+        time.sleep(0.1)
+    assert not held() - before - kept
+    assert once.count() == 5000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
