@@ -38,10 +38,10 @@ def pruned_scan(spark, sf_dir):
 
 @query(f"{_BY_TYPE} SELECT topic, stream_offset, time, payload FROM recs WHERE stream_offset BETWEEN 20000 AND 90000")
 def indexed_seek(spark, sf_dir):
-    """One large file per topic, read from an offset on in parts that its index makes; the index is built afterwards."""
+    """Large files, read from one offset of their topic to another in parts that the index makes; it is built afterwards."""
     base = _log(spark, sf_dir, stride_bytes=1 << 40)
     index_topic_log(spark, base, stride_bytes=FILE_BYTES)
-    recs = read_topic_log(spark, base, part_bytes=2 * FILE_BYTES, where=[("record_offset", ">=", 20000), ("record_offset", "<=", 90000)])
+    recs = read_topic_log(spark, base, part_bytes=2 * FILE_BYTES, where=[("stream_offset", ">=", 20000), ("stream_offset", "<=", 90000)])
     return recs.select("topic", "stream_offset", "time", _text("payload"))
 
 

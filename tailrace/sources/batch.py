@@ -67,8 +67,8 @@ def read_topic_log(
     """Messages of a topic log; an unfinished record at the end of a file is left out.
 
     ``columns`` are decoded and nothing else. ``where`` has conditions (column, operator, value) that all have to be true,
-    with ``=``, ``<``, ``<=``, ``>``, ``>=``, ``in`` or ``startswith``. Those on topic, file and base_offset keep folders
-    from being listed and files from being opened; those on time and record_offset skip strides of indexed files.
+    with ``=``, ``<``, ``<=``, ``>``, ``>=``, ``in`` or ``startswith``. Those on topic, file, base_offset and stream_offset keep
+    folders from being listed and files from being opened; those on time, record_offset and stream_offset skip strides of indexed files.
     """
     return _read(spark, base, "envelope", pattern, starting_offsets, topic_dirs, topics, part_bytes, columns, where)
 

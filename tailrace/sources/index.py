@@ -7,7 +7,9 @@ file at record starts. Without it, or when it does not fit the file any more, fi
 from __future__ import annotations
 
 import io
+from bisect import bisect_left
 from dataclasses import dataclass, field
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -74,8 +76,9 @@ class SparseIndex:
     def cuts(self, start: int, end: int, part_bytes: int) -> list[tuple[int, int]]:
         """[start, end) in parts of about ``part_bytes`` that begin at record starts."""
         bounds = [start]
-        for row in self.rows:
-            if row[0] - bounds[-1] >= part_bytes and row[0] < end:
+        low, high = (bisect_left(self.rows, at, key=itemgetter(0)) for at in (start, end))
+        for row in self.rows[low:high]:
+            if row[0] - bounds[-1] >= part_bytes:
                 bounds.append(row[0])
         return list(zip(bounds, [*bounds[1:], end]))
 

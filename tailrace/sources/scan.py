@@ -1,7 +1,8 @@
 """The topic log as a Spark data source whose reader prunes.
 
-Conditions on topic, file and base offset decide which folders are listed and which files are opened; those on time and
-record offset select strides of a file by its sparse index. Only the columns of the schema are decoded.
+Conditions on topic, file, base offset and stream offset decide which folders are listed and which files are opened; those
+on time, record offset and stream offset select strides of a file by its sparse index. A file that is cut into parts has
+its index read once, when the parts are made, and what may not pass becomes no part. Only the columns of the schema are decoded.
 
 The conditions are an option of the read, not filters that Spark pushes: in PySpark 4.1.2 all uses of a loaded DataFrame
 share what was pushed last, so the union of two filtered halves of a log would return one of them twice.
@@ -20,7 +21,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tailrace.sources.batch import BLOBS, RECORDS, blob_reader, envelope_reader, placer
 from tailrace.sources.files import locate
-from tailrace.sources.index import read_index
+from tailrace.sources.index import SparseIndex, read_index
 from tailrace.sources.listing import LogFile, full_path, packed, topic_files
 
 Condition = tuple[str, str, object]  # column, operator, value
@@ -89,7 +90,7 @@ class TopicLogRecords(DataSource):
 
 
 class _Parts(InputPartition):
-    """Parts of files: topic, name, path, base offset, first byte, end."""
+    """Parts of files: topic, path, base offset, size, first byte, end, and whether an index has left out what may not pass."""
 
     def __init__(self, parts: list[tuple]):
         self.parts = parts
@@ -108,7 +109,7 @@ class _RecordReader(DataSourceReader):
         self.columns = columns
         conditions = [tuple(c) for c in json.loads(options.get("conditions", "[]"))]
         self.about_files = [c for c in conditions if c[0] in _ABOUT_FILES]
-        self.times, self.places = (_Bounds([c for c in conditions if c[0] == name]) for name in ("time", "record_offset"))
+        self.times, self.places, self.streams = (_Bounds([c for c in conditions if c[0] == name]) for name in ("time", "record_offset", "stream_offset"))
 
     def _passes(self, **known) -> bool:
         return all(holds(c, known[c[0]]) for c in self.about_files if c[0] in known)
@@ -118,33 +119,38 @@ class _RecordReader(DataSourceReader):
         parts = []
         for f in found:
             path = full_path(self.base, f.topic, f.physical, self.topic_dirs)
-            if self._passes(topic=f.topic, file=path, base_offset=f.base_offset):
+            if self._passes(topic=f.topic, file=path, base_offset=f.base_offset) and self._meets(f.base_offset, 0, f.size):
                 start = min(self.starts.get(path, 0), f.size)
-                cuts = self._cuts(path, f, start)
-                parts += [(f.topic, path, f.base_offset, f.size, a, b) for a, b in cuts]
+                parts += [(f.topic, path, f.base_offset, f.size, *cut) for cut in self._cuts(path, f, start)]
         return [_Parts(p) for p in packed(parts, lambda p: p[5] - p[4], self.tasks)]
 
-    def _cuts(self, path: str, f: LogFile, start: int) -> list[tuple[int, int]]:
+    def _meets(self, base_offset: int | None, a: int, b: int) -> bool:
+        """Whether a record that begins in bytes [a, b) of a file may pass by its offsets."""
+        first, last = (None, None) if base_offset is None else (base_offset + a, base_offset + b - 1)
+        return self.places.meets(a, b - 1) and self.streams.meets(first, last)
+
+    def _ranges(self, index: SparseIndex, base_offset: int | None, start: int, end: int) -> list[tuple[int, int]]:
+        return index.ranges(start, end, lambda a, b, first, last: self._meets(base_offset, a, b) and self.times.meets(first, last))
+
+    def _cuts(self, path: str, f: LogFile, start: int) -> list[tuple[int, int, bool]]:
         if f.size - start > 2 * self.part_bytes:
             system, name = locate(path)
             index = read_index(system, name, f.size)
             if index is not None:
-                return index.cuts(start, f.size, self.part_bytes)
-        return [(start, f.size)]
+                return [(*cut, True) for a, b in self._ranges(index, f.base_offset, start, f.size) for cut in index.cuts(a, b, self.part_bytes)]
+        return [(start, f.size, False)]
 
-    def _wanted(self, path: str, size: int, start: int, end: int) -> list[tuple[int, int]]:
+    def _wanted(self, path: str, size: int, start: int, end: int, base_offset: int | None = None) -> list[tuple[int, int]]:
         """What of a part may hold records that pass, by the index of its file."""
-        if not (self.times.known or self.places.known):
+        if not (self.times.known or self.places.known or self.streams.known):
             return [(start, end)]
         system, name = locate(path)
         index = read_index(system, name, size)
-        if index is None:
-            return [(start, end)]
-        return index.ranges(start, end, lambda a, b, first, last: self.places.meets(a, b - 1) and self.times.meets(first, last))
+        return [(start, end)] if index is None else self._ranges(index, base_offset, start, end)
 
     def read(self, partition: _Parts) -> Iterator[pa.RecordBatch]:
         reader = envelope_reader if self.kind == "envelope" else blob_reader
-        for topic, path, base_offset, size, start, end in partition.parts:
+        for topic, path, base_offset, size, start, end, pruned in partition.parts:
             place = placer({"topic": topic, "file": path, "base_offset": base_offset}, self.columns)
-            for a, b in self._wanted(path, size, start, end):
+            for a, b in [(start, end)] if pruned else self._wanted(path, size, start, end, base_offset):
                 yield from reader(path, a, b, place, columns=self.columns)

@@ -12,6 +12,7 @@ from test_streaming import drain
 from tailrace.sinks import topic_log
 from tailrace.sinks.topic_log import write_count_blob, write_topic_log
 from tailrace.sources.batch import index_topic_log, list_files, read_count_blob, read_topic_log
+from tailrace.sources import scan
 from tailrace.sources.files import locate
 from tailrace.sources.index import SparseIndex, index_path, read_index
 from tailrace.sources.listing import topic_files
@@ -96,6 +97,27 @@ def test_index_bounds_what_is_read(spark, tmp_path):
     assert read_index(*locate(path), os.path.getsize(path)) is None and read_topic_log(spark, base, where=[("time", "=", 2999)]).count() == 1
 
 
+def test_stream_offsets_select_files_and_parts(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "log")
+    write_topic_log(logs.numbered(spark, 1, 3000), base, max_file_bytes=20_000, stride_bytes=1 << 40)
+    assert index_topic_log(spark, base, stride_bytes=500) > 2
+    recs = read_topic_log(spark, base)
+    where = [("stream_offset", ">=", 30_000), ("stream_offset", "<", 45_000)]
+    expected = sorted(recs.where("stream_offset >= 30000 and stream_offset < 45000").select("stream_offset", "payload").collect())
+    assert len(expected) > 100 and expected == sorted(read_topic_log(spark, base, part_bytes=1000, where=where).select("stream_offset", "payload").collect())
+
+    opened = []
+    monkeypatch.setattr(scan, "read_index", lambda system, path, size: opened.append(path) or read_index(system, path, size))
+    options = {"path": base, "kind": "envelope", "pattern": ".*", "partBytes": "1000", "tasks": "4", "conditions": json.dumps(where)}
+    reader = TopicLogRecords(options).reader(recs.schema)
+    groups = reader.partitions()
+    parts = [p for group in groups for p in group.parts]
+    rows = sum(batch.num_rows for group in groups for batch in reader.read(group))
+    assert len(parts) > 10 and len(opened) == len({p[1] for p in parts}) == 2  # an index is read once, not once a part
+    assert len(expected) <= rows < len(expected) + 60
+    assert all(p[2] + p[5] > 30_000 and p[2] + p[4] < 45_000 for p in parts)
+
+
 def test_index_of_long_records_and_blobs(spark, tmp_path):
     base = str(tmp_path / "blobs")
     rows = [("t", i, None, bytes([65 + i]) * n) for i, n in enumerate((10, 5000, 0, 20, 7000, 1, 1, 3000))]
