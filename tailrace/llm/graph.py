@@ -23,7 +23,15 @@ def _stars(edges: DataFrame, tables: Tables, name: str, large: bool) -> DataFram
     out = moved.select(F.col("b").alias("a"), F.col("low").alias("b"))
     if not large:
         out = out.union(lowest.select("a", F.col("low").alias("b")))
-    return tables.keep(out.where("a != b").distinct(), name)
+    out = out.where("a != b")
+    return tables.keep(out if large else out.distinct(), name)
+
+
+def _settled(stars: DataFrame) -> bool:
+    """Whether each node has one edge up, or edges down only: then ``b`` is the smallest node of every component."""
+    ends = stars.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(stars.select("b", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return (ends.agg(F.max(F.col("up") + F.col("down"))).first()[0] or 0) <= 1
 
 
 def components(edges: DataFrame, tables: Tables) -> DataFrame:
@@ -32,14 +40,13 @@ def components(edges: DataFrame, tables: Tables) -> DataFrame:
     Minima are combined before the shuffle and rejoined as a table of one row per node, so a hub with a large
     share of all edges is a skewed join that Spark splits, not a group in one task.
     """
-    run, step, seen = uuid.uuid4().hex[:8], 0, None
+    run, step = uuid.uuid4().hex[:8], 0
     while True:
         names = [f"star-{run}-{step}-{x}" for x in "ls"]
-        stars = _stars(_stars(edges, tables, names[0], True), tables, names[1], False)
-        mark = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        edges = _stars(_stars(edges, tables, names[0], True), tables, names[1], False)
         if step:
             tables.drop(f"star-{run}-{step - 1}-s")
         tables.drop(names[0], f"{names[0]}-low", f"{names[1]}-low")
-        if tuple(mark) == seen:
-            return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen, edges, step = tuple(mark), stars, step + 1
+        if _settled(edges):
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        step += 1

@@ -6,13 +6,13 @@ smallest hash of a bin is kept, and an empty bin copies a filled one that a fixe
 (optimal densification), so two sketches agree in a bin with the probability of their similarity.
 
 Buckets are bands of bins. In each, every class is compared with one hub only, so a bucket of n classes costs
-n - 1 pairs. The links a star does not see can only join components that meet in a bucket. Such buckets get further
-stars, each around a member of a component that is not the bucket's largest, while these find links. What is left is
+n - 1 pairs. The links a star does not see can only join components that meet in a bucket. These are
 taken up once more, exactly: each class lists its rarest shingles, as many as a similar set cannot all
 lack, and only classes of different components that share one of these, early enough in both lists for the
 rest to suffice, are compared on the full sets. Before that, parities tell most pairs apart: where two sets hold an even and an
 odd number of shingles with the same 8 bits, they differ in one of them, so sets that do so in too many of the 256
-places are no pair.
+places are no pair. Where the lists would meet too often for that, the buckets first get further stars, each around a member of
+a component that is not the bucket's largest, while these find links.
 """
 
 from __future__ import annotations
@@ -31,7 +31,9 @@ from tailrace.llm.words import Words, scramble, shingle_hashes, utf8
 
 _PROBES = 1024
 _STARS = 3
+_MEETINGS = 32
 _COUNTER_BITS = 21
+_ODD = [f"odd{i}" for i in range(4)]
 _SKETCHES = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("bands", pa.list_(pa.int64()))])
 _SETS = pa.schema([("cls", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
@@ -174,11 +176,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int =
     wanted = tables.keep(classes.select("cls", "id").join(crowd.select("cls").distinct(), "cls", "left_semi"), "wanted")
     sets = tables.keep(full_sets(docs, wanted, k), "sets")
     tables.drop("met", "lowest-order")
-    links = tables.keep(_verified(pairs, sets, percent), "links0")
+    known = tables.keep(_verified(pairs, sets, percent), "links0")
     for star in range(1, _STARS + 1):
-        roots = components(links, tables)
+        roots = components(known, tables)
         open_ = tables.keep(_open(crowd, roots), f"open{star}")
-        if star == _STARS or open_.isEmpty():
+        early = _early(open_.select("cls", "root", "n").distinct().join(sets, "cls"), tables, percent, star)
+        if star == _STARS or _few_meetings(early):
             break
         fresh = _star(open_, f"star{star}", near).join(pairs, ["a", "b"], "left_anti")
         fresh = tables.keep(fresh, f"pairs{star}")
@@ -186,12 +189,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bins: int =
         pairs = pairs.union(fresh)
         if more.isEmpty():
             break
-        links = links.union(more)
-    left = open_.select("cls", "root", "n").distinct()
-    fresh = _missed(left.join(sets, "cls"), tables, percent).join(pairs, ["a", "b"], "left_anti")
+        known = roots.toDF("a", "b").union(more)
+    fresh = _missed(early, percent).join(pairs, ["a", "b"], "left_anti")
     more = tables.keep(_verified(tables.keep(fresh, "pairs-left"), sets, percent), "links-left")
     if not more.isEmpty():
-        roots = components(links.union(more), tables)
+        roots = components(roots.toDF("a", "b").union(more), tables)
     named = classes.select("cls", "id").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     named = tables.keep(named, "named")
     lowest = tables.keep(named.groupBy("root").agg(F.min("id").alias("component_id")), "lowest")
@@ -225,12 +227,13 @@ def parities(s: np.ndarray) -> np.ndarray:
     return (np.bincount(at.astype(np.int64), minlength=256) & 1).astype(np.uint64).reshape(4, 64) @ (np.uint64(1) << np.arange(64, dtype=np.uint64))
 
 
-def _missed(open_: DataFrame, tables: Tables, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes in different components that may be similar, by prefixes of their sets in order of rarity.
+def _early(open_: DataFrame, tables: Tables, percent: int, star: int) -> DataFrame:
+    """Rows of class and rare shingle that may meet one of another component, by prefixes of the sets in order of rarity.
 
-    ``open_`` has cls, root, n and shingles. Sets with ``need`` common shingles, none of them before places i and j,
-    have need <= min(n - i, m - j) + 1; so a common shingle must come early in both. Rarity is a count in a table of
-    fixed size: where it errs it makes more candidates, never fewer.
+    ``open_`` has cls, root, n and shingles; ``most`` is the component with the most members in a shingle. Sets with
+    ``need`` common shingles, none of them before places i and j, have need <= min(n - i, m - j) + 1; so a common
+    shingle must come early in both. Rarity is a count in a table of fixed size: where it errs it makes more
+    candidates, never fewer.
     """
 
     def count(batches):
@@ -242,7 +245,7 @@ def _missed(open_: DataFrame, tables: Tables, percent: int) -> DataFrame:
         for a in range(0, at.size, 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(at[a : a + (1 << 16)]), pa.array(total[at[a : a + (1 << 16)]])], ["slot", "n"])
 
-    sets = tables.keep(open_, "open-sets")
+    sets = tables.keep(open_, f"open-sets{star}")
     counts = sets.select("shingles").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(1 << _COUNTER_BITS, np.int64)
     table[np.asarray(counts.column("slot"))] = np.asarray(counts.column("n"))
@@ -263,20 +266,32 @@ def _missed(open_: DataFrame, tables: Tables, percent: int) -> DataFrame:
             taken = batch.select(["cls", "root", "n"]).take(pa.array(np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [*taken.columns, pa.array(np.concatenate([*shingles, np.empty(0, np.uint64)]).view(np.int64)), pa.array(np.concatenate([*places, np.empty(0, np.int64)]).astype(np.int64)), *(pa.array(odd[:, i]) for i in range(4))],
-                ["cls", "root", "n", "shingle", "place", *odd_names],
+                ["cls", "root", "n", "shingle", "place", *_ODD],
             )
 
-    odd_names = [f"odd{i}" for i in range(4)]
-    schema = "cls binary, root binary, n bigint, shingle bigint, place bigint, " + ", ".join(f"{c} bigint" for c in odd_names)
-    rows = tables.keep(sets.select("cls", "root", "n", "shingles").mapInArrow(prefixes, schema), "prefixes")
+    schema = "cls binary, root binary, n bigint, shingle bigint, place bigint, " + ", ".join(f"{c} bigint" for c in _ODD)
+    rows = tables.keep(sets.select("cls", "root", "n", "shingles").mapInArrow(prefixes, schema), f"prefixes{star}")
     shared = rows.groupBy("shingle", "root").agg(F.count("*").alias("members"), F.min("n").alias("least"))
     shared = shared.groupBy("shingle").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("members", "root")).alias("most"), F.min("least").alias("least"))
-    shared = tables.keep(shared.where("roots > 1").drop("roots"), "shared")
+    shared = tables.keep(shared.where("roots > 1").drop("roots"), f"shared{star}")
     rows = rows.join(shared, "shingle")
     enough = (F.col("n") - F.col("place") + 1) * (100 + percent) >= percent * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * percent / 100)))
-    rows = tables.keep(rows.where(enough).drop("least"), "early")
-    few = rows.where("root != most").select("shingle", F.col("cls").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("m"), F.col("place").alias("at"), *[F.col(c).alias(f"of_hub_{c}") for c in odd_names])
-    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"of_hub_{c}"))) for c in odd_names), F.lit(0))
+    rows = tables.keep(rows.where(enough).drop("least"), f"early{star}")
+    tables.drop(f"open-sets{star}", f"prefixes{star}", f"shared{star}")
+    return rows
+
+
+def _few_meetings(early: DataFrame) -> bool:
+    """Whether ``_missed`` looks at no more than ``_MEETINGS`` pairs for each of its rows."""
+    shingles = early.groupBy("shingle").agg(F.count("*").alias("n"), F.sum((F.col("root") != F.col("most")).cast("int")).alias("few"))
+    rows, pairs = shingles.agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("few"))).first()
+    return (pairs or 0) <= _MEETINGS * (rows or 0)
+
+
+def _missed(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes in different components that may be similar, from rows of ``_early``."""
+    few = rows.where("root != most").select("shingle", F.col("cls").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("m"), F.col("place").alias("at"), *[F.col(c).alias(f"of_hub_{c}") for c in _ODD])
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"of_hub_{c}"))) for c in _ODD), F.lit(0))
     close = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
     left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1
     met = rows.join(few, "shingle").where((F.col("root") != F.col("hub_root")) & (left * (100 + percent) >= percent * (F.col("n") + F.col("m"))) & close)

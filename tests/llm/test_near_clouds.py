@@ -61,3 +61,31 @@ def test_parities_bound_the_difference():
     for a, b in zip(sets, sets[1:]):
         differ = sum(int(x).bit_count() for x in near_dup.parities(a) ^ near_dup.parities(b))
         assert differ <= np.setxor1d(a, b).size
+
+
+def test_few_meetings_need_no_further_stars(spark, monkeypatch):
+    """Groups of similar texts that share a bucket with others: the exact step alone finds what the first hubs missed."""
+    stars = []
+    star = near_dup._star
+    monkeypatch.setattr(near_dup, "_star", lambda *args: stars.append(args) or star(*args))
+    texts = [t.replace("w", f"g{g}w") if g else t for g in range(4) for t in cloud(12, changed=4, seed=g)]
+    rows = near_dup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), k=4).collect()
+    assert [r.component_id for r in sorted(rows)] == plain_components(texts, 4)
+    assert not stars
+
+
+def test_components_stop_at_stars(spark, monkeypatch):
+    """Edges that are stars already take one step, not a second one to see that nothing changed."""
+    from tailrace.llm import graph
+    from tailrace.llm.tables import Tables
+
+    steps = []
+    step = graph._stars
+    monkeypatch.setattr(graph, "_stars", lambda *args: steps.append(args) or step(*args))
+    edges = spark.createDataFrame([(i, i % 5) for i in range(5, 60)], "a bigint, b bigint")
+    rows = graph.components(edges, Tables(spark, "stop-at-stars")).collect()
+    assert sorted(map(tuple, rows)) == [(i, i % 5) for i in range(5, 60)]
+    assert len(steps) == 2
+    chain = spark.createDataFrame([(i, i + 1) for i in range(9)] + [(20, 21), (22, 21)], "a bigint, b bigint")
+    rows = graph.components(chain, Tables(spark, "stop-at-stars")).collect()
+    assert sorted(map(tuple, rows)) == [(i, 0) for i in range(1, 10)] + [(21, 20), (22, 20)]
