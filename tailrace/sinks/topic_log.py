@@ -1,9 +1,10 @@
 """Writers of topic logs.
 
 Tasks write each planned file under a hidden name. When all are done, the driver gives the files their final names, or,
-with a manifest, adds them to the log by one new file that lists them. A task that runs twice leaves a hidden file that is
-removed, never a doubled record. Files do not hold their own offset, so those of a writer that comes second to a topic
-are placed behind the other's without being written again.
+with a manifest, adds them to the log by one new file that names the tasks' lists of them. A task that runs twice leaves a
+hidden file that is removed, never a doubled record. Files do not hold their own offset, so those of a writer that comes second
+to a topic are placed behind the other's without being written again. With a manifest, what the driver holds grows with the
+tasks, not with the files.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -30,15 +31,17 @@ from tailrace.functions.columns import METRICS_TOPIC, OFFSET_NAME_PATTERN, TOPIC
 from tailrace.operators.audit import MAX_FILE_BYTES, TAKEOVER_PAD, topic_end_offset
 from tailrace.plans.rollover import plan_spans
 from tailrace.session import written
-from tailrace.sources.batch import list_files
+from tailrace.sources.batch import MAX_PLANNED_FILES, list_files, tasks_for_files
 from tailrace.sources.files import locate
 from tailrace.sources.index import STRIDE_BYTES, SparseIndex, index_path, write_index
-from tailrace.sources.manifest import Manifest, ManifestFile
+from tailrace.sources.manifest import INLINE_FILES, FileList, Manifest, ManifestFile, Snapshot, moved
 
 TASK_BYTES = 128 << 20
 TASK_RECORDS = 1 << 20
 MAX_NUMBERED_FILES = 100_000
 MAX_BROADCAST_SPANS = 500_000
+LISTED = "topic string, base_offset bigint, file string, bytes bigint, records bigint"
+_LIST = pa.schema([("name", pa.string()), ("files", pa.int64()), ("bytes", pa.int64())])
 _COMMITS = ".commits"
 _KEPT_BATCHES = 10
 
@@ -112,12 +115,11 @@ def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id, manifest,
     spark = msgs.sparkSession
     root = base.rstrip("/")
     journal = _Journal(root, sink, batch_id)
-    options = {"pad": pad, "stride": stride_bytes} | journal.options()
+    options = {"pad": pad, "stride": stride_bytes, "run": uuid.uuid4().hex, "listed": manifest} | journal.options()
     if manifest:
         listed = Manifest(*locate(root)).snapshot()
         if journal.active and journal.batch_id in listed.batches.get(sink, []):
             return
-        options["version"] = listed.version
     elif journal.finish_earlier_try(pad):
         return
     if envelope and "time" not in msgs.columns:
@@ -140,6 +142,8 @@ def _append(msgs, base, max_file_bytes, pad, envelope, sink, batch_id, manifest,
         plan = plan_spans(sizes, ends, max_file_bytes, pad, total.largest, block_bits, records=total.records)
         with written(plan, "spans") as spans:
             _write_files(msgs, spans, block_bits, total, root, envelope, options)
+    if manifest:
+        _list(spark, root, options["run"], listed, pad, journal)
 
 
 def _write_files(msgs, spans, block_bits, total, root, envelope, options) -> None:
@@ -161,7 +165,7 @@ def _write_files(msgs, spans, block_bits, total, root, envelope, options) -> Non
         .select("topic", "base_offset", "time", "payload")
         .write.format("topic_log_sink")
         .mode("append")
-        .options(path=root, envelope=envelope, run=uuid.uuid4().hex, **options)
+        .options(path=root, envelope=envelope, **options)
         .options(records=total.records, bytes=total.bytes)
         .save()
     )
@@ -221,7 +225,10 @@ class _File:
 
 @dataclass
 class _Written(WriterCommitMessage):
+    """What a task wrote: its files or, with a manifest, lists of them."""
+
     files: list[_File]
+    lists: list[FileList]
     records: int
     bytes: int
 
@@ -248,7 +255,7 @@ class _Writer(DataSourceArrowWriter):
         self.run = options["run"]
         self.pad, self.stride = int(options["pad"]), int(options["stride"])
         self.planned = int(options["records"]), int(options["bytes"])
-        self.version = int(options["version"]) if "version" in options else None
+        self.listed = options["listed"] == "true"
         self.journal = _Journal(self.root, options.get("sink"), options.get("batchid"))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
@@ -286,7 +293,11 @@ class _Writer(DataSourceArrowWriter):
         finally:
             if out is not None and not out.closed:
                 out.close()
-        return _Written(done, sum(f.records for f in done), sum(f.bytes for f in done))
+        written = sum(f.records for f in done), sum(f.bytes for f in done)
+        if not self.listed:
+            return _Written(done, [], *written)
+        rows = [ManifestFile(f.topic, f.base_offset, f.hidden.rsplit("/", 1)[1], f.bytes, f.records) for f in done]
+        return _Written([], Manifest(system, root).put_lists(f"{self.run}/{attempt}", rows), *written)
 
     def commit(self, messages) -> None:
         done = [m for m in messages if m is not None]
@@ -295,32 +306,22 @@ class _Writer(DataSourceArrowWriter):
             raise RuntimeError(
                 f"planned {self.planned} but wrote {written} records and bytes: the messages changed between two reads"
             )
+        if self.listed:  # the rest needs the session
+            return Manifest(*locate(self.root)).put_run(self.run, [x for m in done for x in m.lists])
         files = [f for m in done for f in m.files]
-        if self.version is not None:
-            return self._list(files)
         indexed = {f.hidden for f in files if f.indexed}
         _publish_behind(self.root, [(f.hidden, f.final) for f in files], self.pad, self.journal, indexed)
         self.journal.close()
         self._sweep({f.final.rsplit("/", 1)[0] for f in files})
 
-    def _list(self, files: list[_File]) -> None:
-        """Add the files to the manifest, under the names they have."""
-        manifest = Manifest(*locate(self.root))
-        rows = [ManifestFile(f.topic, f.base_offset, f.hidden.rsplit("/", 1)[1], f.bytes, f.records) for f in files]
-        sink = (self.journal.sink, self.journal.batch_id) if self.journal.active else (None, None)
-        added = manifest.append(rows, manifest.snapshot(self.version), self.pad, *sink)
-        kept = {p for f in files for p in (f.hidden, index_path(f.hidden))} if added else set()
-        self._sweep({f.final.rsplit("/", 1)[0] for f in files}, kept)
-
     def abort(self, messages) -> None:
         system, root = locate(self.root)
         if system.get_file_info(root).type == pafs.FileType.Directory:
             entries = system.get_file_info(pafs.FileSelector(root))
             # What a plan names is left for the next try of the batch, which completes it.
             kept = {h for h, _ in self.journal.intended()}
-            listed = {f"{root}/{f.topic}/{f.file}" for f in Manifest(system, root).files()} if self.version is not None else set()
-            kept |= listed
             self._sweep({e.path for e in entries if e.type == pafs.FileType.Directory}, kept | {index_path(p) for p in kept})
+            Manifest(system, root).sweep_lists(self.run, set())
 
     def _sweep(self, folders: set[str], keep: set[str] = frozenset()) -> None:
         """Remove hidden files that repeated or failed tasks of this run left behind."""
@@ -334,6 +335,95 @@ class _Writer(DataSourceArrowWriter):
         _in_parallel(sweep, folders)
 
 
+# --- manifest -----------------------------------------------------------------------------------------
+
+
+def _list(spark: SparkSession, root: str, run: str, base: Snapshot, pad: int, journal: _Journal) -> None:
+    """Add the files of a run to the manifest, under the names they have."""
+    manifest = Manifest(*locate(root))
+    lists = manifest.of_run(run)
+    few = sum(x.files for x in lists) <= INLINE_FILES
+    files = [f for x in lists for f in manifest.read_list(x.name)] if few else []
+
+    def behind(files: list[ManifestFile], lists: list[FileList], since: Snapshot):
+        if not lists and since.count <= MAX_PLANNED_FILES:
+            return moved(files, since.ends(), pad), lists
+        if not since.count:
+            return files, lists
+        lists = lists + manifest.put_lists(f"{run}/{uuid.uuid4().hex}", files)
+        others = since.lists + manifest.put_lists(f"{run}/{uuid.uuid4().hex}", since.inline)
+        return [], _moved_lists(spark, root, run, lists, others, pad)
+
+    named = (journal.sink, journal.batch_id) if journal.active else (None, None)
+    try:
+        manifest.add(files, [] if few else lists, base, behind, *named)
+    finally:
+        added = manifest.between(base.version, manifest.snapshot().version)
+        there = {x.name for x in added.lists if x.name.startswith(f"{run}/")}
+        whole = there or any(f".{run}." in f.file for f in added.inline)
+        attempts = {x.name.rpartition("/")[2].partition(".")[0] for x in lists} if whole else set()
+        if few:
+            _in_parallel(lambda topic: _sweep_folder(root, topic, run, attempts), {f.topic for f in files})
+        else:
+            _sweep_by_tasks(spark, root, run, lists, attempts)
+        manifest.sweep_lists(run, there)
+
+
+def _listed_files(spark: SparkSession, root: str, lists: list[FileList]) -> DataFrame:
+    """Files of lists that are on their way into the manifest."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        manifest = Manifest(*locate(root))
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                columns = zip(*manifest.read_list(name))
+                yield pa.RecordBatch.from_pydict(dict(zip(ManifestFile._fields, map(list, columns))))
+
+    names = spark.createDataFrame([(x.name,) for x in lists], "name string")
+    return names.repartition(len(lists), "name").mapInArrow(read, LISTED)
+
+
+def _moved_lists(spark: SparkSession, root: str, run: str, lists: list[FileList], others: list[FileList], pad: int) -> list[FileList]:
+    """New lists of the same files, in which topics that ``others`` have grown go on behind their new end."""
+    end = F.max(F.col("base_offset") + F.col("bytes")) + pad
+    ends = _listed_files(spark, root, others).groupBy("topic").agg(end.alias("begin"))
+    files = _listed_files(spark, root, lists)
+    first = files.groupBy("topic").agg(F.min("base_offset").alias("first"))
+    shift = first.join(ends, "topic").where("begin > first").select("topic", (F.col("begin") - F.col("first")).alias("shift"))
+    placed = files.join(shift, "topic", "left").withColumn("base_offset", F.col("base_offset") + F.coalesce("shift", F.lit(0)))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (ManifestFile(*r) for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+        done = Manifest(*locate(root)).put_lists(f"{run}/{uuid.uuid4().hex}", rows)
+        yield pa.RecordBatch.from_pylist([x._asdict() for x in done], _LIST)
+
+    return [FileList(*r) for r in placed.select(*ManifestFile._fields).mapInArrow(put, "name string, files bigint, bytes bigint").collect()]
+
+
+def _sweep_by_tasks(spark: SparkSession, root: str, run: str, lists: list[FileList], attempts: set[str]) -> None:
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for topic in batch.column("topic").to_pylist():
+                _sweep_folder(root, topic, run, attempts)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    tasks = tasks_for_files(spark, sum(x.files for x in lists))
+    topics = _listed_files(spark, root, lists).select("topic").repartition(tasks, "topic").distinct()
+    topics.mapInArrow(sweep, "n bigint").agg(F.sum("n")).first()
+
+
+def _sweep_folder(root: str, topic: str, run: str, attempts: set[str]) -> None:
+    """Remove what tasks of a run left in a topic's folder, but the files and indexes of ``attempts``."""
+    system, path = locate(f"{root}/{topic}")
+    for entry in system.get_file_info(pafs.FileSelector(path)):
+        _, of_run, attempt = entry.base_name.removesuffix(".index").rpartition(f".{run}.")
+        if of_run and attempt not in attempts:
+            system.delete_file(entry.path)
+
+
+# --- names --------------------------------------------------------------------------------------------
+
+
 def _runs(batch: pa.RecordBatch):
     """Stretches of rows that go to the same file."""
     if batch.num_rows == 0:
@@ -347,7 +437,8 @@ def _runs(batch: pa.RecordBatch):
 
 def _in_parallel(fn, items) -> None:
     with ThreadPoolExecutor(32) as pool:
-        list(pool.map(fn, items))
+        for some in _chunks(list(items)):  # a pool holds an object for every call it was given
+            list(pool.map(fn, some))
 
 
 def _exists(system: pafs.FileSystem, path: str) -> bool:
@@ -416,9 +507,9 @@ def _behind_others(root: str, files: list[tuple[str, str]], pad: int) -> list[tu
     return [(h, new_names.get(h, f)) for h, f in files]
 
 
-def _chunks(paths: list[str], size: int = 1000) -> Iterator[list[str]]:
-    for i in range(0, len(paths), size):
-        yield paths[i : i + size]
+def _chunks(items: list, size: int = 1000) -> Iterator[list]:
+    for i in range(0, len(items), size):
+        yield items[i : i + size]
 
 
 class _Journal:

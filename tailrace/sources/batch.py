@@ -3,6 +3,9 @@
 The files are listed and packed into tasks by size; each task then streams its files in chunks, so memory
 does not grow with a file. The bytes of a file have no marks at which it could be split; its sparse index tells
 where records begin, so a file far above the usual size is cut there and its parts are spread out.
+
+The files of a log whose manifest has very many are not listed on the driver: tasks read the manifest's lists and the
+folders, and the files they find are shuffled.
 """
 
 from __future__ import annotations
@@ -23,9 +26,11 @@ from tailrace.functions.codec import decode_data_point, decode_envelopes, frame_
 from tailrace.functions.columns import METRICS_TOPIC, OFFSET_NAME_PATTERN
 from tailrace.sources.files import locate, read_complete
 from tailrace.sources.index import STRIDE_BYTES, SparseIndex, read_index, write_index
-from tailrace.sources.listing import TopicLogFiles
+from tailrace.sources.listing import FILES, TASK_BYTES, ManifestFiles, TopicLogFiles, TopicLogTopics, list_folders, manifest_of
 
 PART_BYTES = 256 << 20
+MAX_PLANNED_FILES = 10_000
+FILES_PER_TASK = 4096
 
 _PLACE = "topic string, file string, base_offset bigint"
 _PLACE_NAMES = ("topic", "file", "base_offset")
@@ -45,6 +50,8 @@ def list_files(
     are not offsets. Files whose names begin with a dot or an underscore are hidden, as everywhere in Spark;
     topics may begin with an underscore.
     """
+    if tasks := _listing_tasks(spark, base, topic_dirs):
+        return _listed_by_tasks(spark, base, pattern, topic_dirs, topics, tasks)
     spark.dataSource.register(TopicLogFiles)
     tasks = spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.sparkContext.defaultParallelism
     options = {"path": base, "pattern": pattern, "topicDirs": str(topic_dirs).lower(), "tasks": str(tasks)}
@@ -53,6 +60,29 @@ def list_files(
     return spark.read.format("topic_log_files").options(**options).load()
 
 
+def _listing_tasks(spark: SparkSession, base: str, topic_dirs: bool) -> int:
+    """Tasks for the files of a log whose manifest has too many for the driver to hold; 0 for others."""
+    now = manifest_of(base, topic_dirs).snapshot()
+    return tasks_for_files(spark, now.count, now.bytes) if now.count > MAX_PLANNED_FILES else 0
+
+
+def tasks_for_files(spark: SparkSession, files: int, size: int = 0) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-files // FILES_PER_TASK), -(-size // TASK_BYTES))
+
+
+def _listed_by_tasks(spark, base, pattern, topic_dirs, topics, tasks, kept: Column | None = None) -> DataFrame:
+    """As ``list_files``, with no more than the names of lists on the driver; ``kept`` is a condition on the topic."""
+    spark.dataSource.register(TopicLogTopics)
+    spark.dataSource.register(ManifestFiles)
+    options = {"path": base, "pattern": pattern, "topicDirs": str(topic_dirs).lower(), "tasks": str(tasks)}
+    if topics is not None:
+        options["topics"] = topics
+    kept = F.lit(True) if kept is None else kept
+    folders = spark.read.format("topic_log_topics").options(**options).load().where(kept).repartition(tasks, "topic")
+    listed = spark.read.format("topic_log_manifest").options(**options).load().where(kept)
+    return folders.mapInArrow(list_folders(base, pattern, topic_dirs), FILES).unionByName(listed)
+
+
 def read_topic_log(
     spark: SparkSession,
     base: str,
@@ -89,7 +119,7 @@ def read_count_blob(
 
 
 def _read(spark, base, kind, pattern, starting_offsets, topic_dirs, topics, part_bytes, columns, where) -> DataFrame:
-    from tailrace.sources.scan import TopicLogRecords, as_column  # which uses the readers below
+    from tailrace.sources.scan import TopicLogRecords, as_column, read_spread  # which uses the readers below
 
     schema = T._parse_datatype_string(RECORDS if kind == "envelope" else BLOBS)
     columns, where = columns or schema.names, where or []
@@ -104,8 +134,12 @@ def _read(spark, base, kind, pattern, starting_offsets, topic_dirs, topics, part
     options |= {"partBytes": str(part_bytes), "startingOffsets": json.dumps(starting_offsets or {}), "conditions": json.dumps(where)}
     if topics is not None:
         options["topics"] = topics
-    decoded = [c for c in schema.names if c in columns or c in {name for name, _, _ in where}]
-    recs = spark.read.format("topic_log").schema(T.StructType([schema[c] for c in decoded])).options(**options).load()
+    decoded = T.StructType([schema[c] for c in schema.names if c in columns or c in {name for name, _, _ in where}])
+    if tasks := _listing_tasks(spark, base, topic_dirs):
+        about_topics = reduce(and_, [as_column(c) for c in where if c[0] == "topic"], F.lit(True))
+        files = _listed_by_tasks(spark, base, pattern, topic_dirs, topics, tasks, about_topics)
+        return read_spread(files, options, decoded, tasks).where(kept).select(columns)
+    recs = spark.read.format("topic_log").schema(decoded).options(**options).load()
     return recs.where(kept).select(columns)
 
 

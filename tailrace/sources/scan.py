@@ -15,14 +15,15 @@ from collections.abc import Iterator
 from operator import eq, ge, gt, le, lt
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tailrace.sources.batch import BLOBS, RECORDS, blob_reader, envelope_reader, placer
 from tailrace.sources.files import locate
 from tailrace.sources.index import SparseIndex, read_index
-from tailrace.sources.listing import LogFile, full_path, packed, topic_files
+from tailrace.sources.listing import full_path, packed, topic_files
 
 Condition = tuple[str, str, object]  # column, operator, value
 
@@ -116,14 +117,17 @@ class _RecordReader(DataSourceReader):
 
     def partitions(self):
         found = topic_files(self.base, self.pattern, self.topic_dirs, self.topics, lambda topic: self._passes(topic=topic))
-        parts = []
-        for f in found:
-            path = full_path(self.base, f.topic, f.physical, self.topic_dirs)
-            if self._passes(topic=f.topic, file=path, base_offset=f.base_offset) and self._meets(f.base_offset, 0, f.size):
-                start = min(self.starts.get(path, 0), f.size)
-                parts += [(f.topic, path, f.base_offset, f.size, *cut) for cut in self._cuts(path, f, start)]
+        paths = (full_path(self.base, f.topic, f.physical, self.topic_dirs) for f in found)
+        parts = [part for f, path in zip(found, paths) for part in self.parts(f.topic, path, f.base_offset, f.size)]
         return [_Parts(p) for p in packed(parts, lambda p: p[5] - p[4], self.tasks)]
 
+    def parts(self, topic: str, path: str, base_offset: int | None, size: int) -> list[tuple]:
+        """Parts of a file in which records may pass."""
+        if not (self._passes(topic=topic, file=path, base_offset=base_offset) and self._meets(base_offset, 0, size)):
+            return []
+        start = min(self.starts.get(path, 0), size)
+        return [(topic, path, base_offset, size, *cut) for cut in self._cuts(path, base_offset, size, start)]
+
     def _meets(self, base_offset: int | None, a: int, b: int) -> bool:
         """Whether a record that begins in bytes [a, b) of a file may pass by its offsets."""
         first, last = (None, None) if base_offset is None else (base_offset + a, base_offset + b - 1)
@@ -132,13 +136,13 @@ class _RecordReader(DataSourceReader):
     def _ranges(self, index: SparseIndex, base_offset: int | None, start: int, end: int) -> list[tuple[int, int]]:
         return index.ranges(start, end, lambda a, b, first, last: self._meets(base_offset, a, b) and self.times.meets(first, last))
 
-    def _cuts(self, path: str, f: LogFile, start: int) -> list[tuple[int, int, bool]]:
-        if f.size - start > 2 * self.part_bytes:
+    def _cuts(self, path: str, base_offset: int | None, size: int, start: int) -> list[tuple[int, int, bool]]:
+        if size - start > 2 * self.part_bytes:
             system, name = locate(path)
-            index = read_index(system, name, f.size)
+            index = read_index(system, name, size)
             if index is not None:
-                return [(*cut, True) for a, b in self._ranges(index, f.base_offset, start, f.size) for cut in index.cuts(a, b, self.part_bytes)]
-        return [(start, f.size, False)]
+                return [(*cut, True) for a, b in self._ranges(index, base_offset, start, size) for cut in index.cuts(a, b, self.part_bytes)]
+        return [(start, size, False)]
 
     def _wanted(self, path: str, size: int, start: int, end: int, base_offset: int | None = None) -> list[tuple[int, int]]:
         """What of a part may hold records that pass, by the index of its file."""
@@ -154,3 +158,26 @@ class _RecordReader(DataSourceReader):
             place = placer({"topic": topic, "file": path, "base_offset": base_offset}, self.columns)
             for a, b in [(start, end)] if pruned else self._wanted(path, size, start, end, base_offset):
                 yield from reader(path, a, b, place, columns=self.columns)
+
+
+_PARTS = "topic string, path string, base_offset bigint, size bigint, start bigint, end bigint, pruned boolean"
+
+
+def read_spread(files: DataFrame, options: dict, schema: T.StructType, tasks: int) -> DataFrame:
+    """Records of files that tasks have listed. Their parts are shuffled; none is known to the driver."""
+    reader = _RecordReader({k.lower(): v for k, v in options.items()}, schema.names)
+    names = [part.split(" ")[0] for part in _PARTS.split(", ")]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = zip(*(batch.column(c).to_pylist() for c in ("topic", "file", "base_offset", "length")))
+            parts = [part for place in places for part in reader.parts(*place)]
+            columns = [pa.array([part[i] for part in parts], t) for i, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from reader.read(_Parts(list(zip(*(c.to_pylist() for c in batch.columns)))))
+
+    kinds = [pa.string(), pa.string(), *[pa.int64()] * 4, pa.bool_()]
+    return files.mapInArrow(cut, _PARTS).repartition(tasks, "path", "start").mapInArrow(read, schema)
